@@ -2,31 +2,45 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintara import schema as S
 
-ORIGINATION_FILE = "sample_orig_{year}.txt"
-SERVICING_FILE = "sample_svcg_{year}.txt"
+# File (or folder) name of each year.
+ORIGINATION_NAME = "sample_orig_{year}.txt"
+SERVICING_NAME = "sample_svcg_{year}.txt"
 
 
 def read_origination(
-    spark: SparkSession, folder: str, years: Iterable[int] = S.VINTAGE_YEARS
+    spark: SparkSession,
+    folder: str,
+    years: Iterable[int] = S.VINTAGE_YEARS,
+    name: str = ORIGINATION_NAME,
 ) -> DataFrame:
-    return _read(spark, folder, ORIGINATION_FILE, S.ORIGINATION_COLUMNS, years)
+    return _read(spark, folder, name, S.ORIGINATION_COLUMNS, years)
 
 
 def read_servicing(
-    spark: SparkSession, folder: str, years: Iterable[int] = S.VINTAGE_YEARS
+    spark: SparkSession,
+    folder: str,
+    years: Iterable[int] = S.VINTAGE_YEARS,
+    name: str = SERVICING_NAME,
 ) -> DataFrame:
-    return _read(spark, folder, SERVICING_FILE, S.SERVICING_COLUMNS, years)
+    return _read(spark, folder, name, S.SERVICING_COLUMNS, years)
+
+
+def year_of_file(name: str) -> Column:
+    """Vintage year out of the path of the file a row came from."""
+    pattern = re.escape(name).replace(re.escape("{year}"), r"(\d{4})")
+    return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).cast("int")
 
 
 def _read(
-    spark: SparkSession, folder: str, pattern: str, columns: tuple[str, ...], years: Iterable[int]
+    spark: SparkSession, folder: str, name: str, columns: tuple[str, ...], years: Iterable[int]
 ) -> DataFrame:
     """All years in one distributed read, every column as text.
 
@@ -34,11 +48,19 @@ def _read(
     rows by their place in the file: splits by byte offset, rows within a split by the
     generated id, which only grows inside a task.
     """
-    paths = [f"{folder.rstrip('/')}/{pattern.format(year=y)}" for y in years]
+    paths = [f"{folder.rstrip('/')}/{name.format(year=y)}" for y in years]
     raw = spark.read.schema(S.text_schema(columns)).option("sep", "|").csv(paths)
-    year = F.regexp_extract(F.col("_metadata.file_name"), r"(\d{4})\.txt", 1).cast("int")
     position = F.struct(
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return raw.select("*", year.alias("VINTAGE_YEAR"), position.alias("ROW_SEQ"))
+    return raw.select("*", year_of_file(name).alias("VINTAGE_YEAR"), position.alias("ROW_SEQ"))
+
+
+def malformed_rows(raw: DataFrame) -> DataFrame:
+    """Lines per year with too few or too many fields."""
+    broken = F.col("_corrupt_record").isNotNull()
+    return raw.groupBy("VINTAGE_YEAR").agg(
+        F.count("*").alias("raw_rows"), F.count_if(broken).alias("malformed_rows")
+    )
