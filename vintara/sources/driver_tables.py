@@ -154,14 +154,15 @@ RAW_SERVICING = {
     "CURRENT_UPB_SCHEDULED": "cast(l_partkey * 2 as string)",
 }
 
-# Scoring applications and scenario requests, some outside the allowed bounds.
+# Scoring applications and scenario requests, some outside the allowed bounds. Balances are
+# whole cents.
 APPLICATIONS = {
     "application_id": "o_orderkey",
     "credit_score": "cast(case when o_orderkey % 50 = 0 then null when o_orderkey % 50 = 1 then 250 + o_orderkey % 40 else 560 + o_orderkey * 37 % 320 end as int)",
     "original_ltv": "cast(case when o_custkey % 60 = 0 then null else 40 + o_custkey % 175 end as double)",
     "original_cltv": "cast(42 + o_custkey % 160 as double)",
     "original_dti": "cast(15 + o_orderkey % 60 as double)",
-    "original_upb": "o_totalprice / cast(20 as double)",
+    "original_upb": "floor(o_totalprice * 5) / cast(100 as double)",
     "original_interest_rate": "cast(300 + o_orderkey % 250 as double) / cast(100 as double)",
     "original_loan_term": "cast(case when o_orderkey % 101 = 0 then 600 when o_orderkey % 3 = 0 then 180 else 360 end as int)",
     "occ_status": "case o_orderstatus when 'O' then 'P' when 'P' then 'I' else 'S' end",
