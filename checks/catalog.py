@@ -681,7 +681,7 @@ def vintage_series(spark, sf_dir):
 
 def _ranking(spark, sf_dir, name):
     points = M.roc_points(pd_scores(spark, sf_dir), ["split"], "label", "score")
-    return rounded(M.ranking_metrics(points, ["split"]).select("split", name), **{name: 6})
+    return rounded(M.classification_metrics(points, ["split"]).select("split", name), **{name: 6})
 
 
 @query
@@ -706,7 +706,8 @@ def ks(spark, sf_dir):
 
 @query
 def brier(spark, sf_dir):
-    return rounded(M.brier(pd_scores(spark, sf_dir), ["split"], "label", "score"), brier=6)
+    points = M.roc_points(pd_scores(spark, sf_dir), ["split"], "label", "score")
+    return rounded(M.classification_metrics(points, ["split"]).select("split", "brier", "rows"), brier=6)
 
 
 @query

@@ -92,6 +92,11 @@ def _stage(pd: str, dlq: str) -> str:
     return f"case when {pd} > cast(0.10 as double) or coalesce({dlq}, 0) >= 3 then 3 when {pd} > cast(0.01 as double) or coalesce({dlq}, 0) >= 1 then 2 else 1 end"
 
 
+def _cents(x: str) -> str:
+    """Half-up rounding of the decimal value a double prints as (2202.615 -> 2202.62)."""
+    return f"cast(round(cast(cast({x} as varchar) as decimal(38, 14)), 2) as double)"
+
+
 def _last(c: str, where: str = "") -> str:
     return f"arg_max({c}, rn) filter (where {c} is not null{' and ' + where if where else ''})"
 
@@ -208,7 +213,7 @@ CTES = {
     "checked_apps": "select *, concat_ws('; ', case when credit_score < 300 then 'credit_score below 300' end, case when credit_score > 850 then 'credit_score above 850' end, case when original_ltv < 0 then 'original_ltv below 0' end, case when original_ltv > 200 then 'original_ltv above 200' end, case when original_cltv < 0 then 'original_cltv below 0' end, case when original_cltv > 200 then 'original_cltv above 200' end, case when original_dti < 0 then 'original_dti below 0' end, case when original_dti > 70 then 'original_dti above 70' end, case when original_upb < 1000 then 'original_upb below 1000' end, case when original_interest_rate < 0 then 'original_interest_rate below 0' end, case when original_interest_rate > 20 then 'original_interest_rate above 20' end, case when original_loan_term < 60 then 'original_loan_term below 60' end, case when original_loan_term > 480 then 'original_loan_term above 480' end, case when mi_pct < 0 then 'mi_pct below 0' end, case when mi_pct > 35 then 'mi_pct above 35' end, case when unemployment_shock < -5 then 'unemployment_shock below -5' end, case when unemployment_shock > 20 then 'unemployment_shock above 20' end, case when hpi_shock < -50 then 'hpi_shock below -50' end, case when hpi_shock > 20 then 'hpi_shock above 20' end, case when rate_shock < -3 then 'rate_shock below -3' end, case when rate_shock > 10 then 'rate_shock above 10' end) as violations from filled_apps",
     "app_pd": f"select application_id, ORIGINAL_UPB as ead, {_HPD.format(u='(b.unemployment_rate + unemployment_shock)')} as pd, {_hlgd('(b.hpi_yoy_chg + hpi_shock)')} as lgd from checked_apps cross join base b where violations = ''",
     "app_stage": f"select *, {_stage('pd', '0')} as ifrs9_stage from app_pd",
-    "app_scored": "select application_id, round(pd, 6) as pd_12m, round(lgd, 4) as lgd, round(ead, 2) as ead, round(ecl, 2) as ecl, round(ecl / greatest(ead, 1), 6) as ecl_rate, ifrs9_stage, case when pd < cast(0.01 as double) then 'LOW' when pd < cast(0.03 as double) then 'MEDIUM' when pd < cast(0.08 as double) then 'HIGH' else 'VERY HIGH' end as risk_level from (select *, least(pd * case when ifrs9_stage = 1 then 1.0 else 3.0 end, 1.0) * lgd * ead as ecl from app_stage)",
+    "app_scored": f"select application_id, round(pd, 6) as pd_12m, round(lgd, 4) as lgd, {_cents('ead')} as ead, {_cents('ecl')} as ecl, round(ecl / greatest(ead, 1), 6) as ecl_rate, ifrs9_stage, case when pd < cast(0.01 as double) then 'LOW' when pd < cast(0.03 as double) then 'MEDIUM' when pd < cast(0.08 as double) then 'HIGH' else 'VERY HIGH' end as risk_level from (select *, least(pd * case when ifrs9_stage = 1 then 1.0 else 3.0 end, 1.0) * lgd * ead as ecl from app_stage)",
 }
 
 

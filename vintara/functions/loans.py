@@ -77,8 +77,14 @@ def realised_lgd(
 
 
 def event_order(reporting_date: Column, row_seq: Column) -> Column:
-    """Order of a loan's records: by month with undated last, then by file position."""
-    return F.struct(reporting_date.isNull(), reporting_date, row_seq)
+    """Order of a loan's records: by month with undated last, then by file position.
+
+    One long: months since 1990 above 53 bits of ROW_SEQ, which must lie in [0, 2^53). A single
+    long keeps the ordered aggregates in hash aggregation; a struct would force a sort.
+    """
+    months = F.year(reporting_date) * 12 + F.month(reporting_date) - 1990 * 12 - 1
+    month = F.coalesce(F.least(months, F.lit(1022)), F.lit(1023)).cast("long")
+    return month * F.lit(1 << 53) + row_seq
 
 
 def last_known(value: Column, order: Column, where: Column | None = None) -> Column:

@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 
 from vintara.schema import NULL_TOKENS
 
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_INTEGRAL = ("short", "byte")
-
 
 def clip(x: Column, lo: float | Column, hi: float | Column) -> Column:
     """Bound ``x`` to [lo, hi]; null stays null."""
@@ -35,14 +32,20 @@ def blank_to_null(c: Column) -> Column:
     return F.when(~c.isin(*NULL_TOKENS), c)
 
 
-def to_number(c: Column, kind: str = "double") -> Column:
-    """Text to number; anything that is not a plain decimal literal becomes null.
+def to_number(c: Column) -> Column:
+    """Text to double; anything that is not a plain decimal literal becomes null.
 
-    Narrow integer kinds go through double, so '3.0' is 3; fractions and overflow are null.
+    The cast alone also takes type suffixes, hexadecimal, 'nan' and 'infinity'; all but
+    hexadecimal end in a letter.
     """
     text = F.trim(c)
-    value = F.when(text.rlike(_NUMBER), text.try_cast("double"))
-    if kind in _INTEGRAL:
+    plain = (F.right(text, F.lit(1)) <= "9") & ~F.contains(F.lower(text), F.lit("x"))
+    return F.when(plain, text.try_cast("double"))
+
+
+def narrow(value: Column, kind: str) -> Column:
+    """Double to a column type; fractions and overflow become null for integers."""
+    if kind in ("short", "byte"):
         return F.when(value == F.floor(value), value).try_cast(kind)
     return value.cast(kind)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vintara import schema as S
 from vintara.functions import loans as L
-from vintara.functions.nullsafe import blank_to_null, columns_present, to_month, to_number
+from vintara.functions.nullsafe import blank_to_null, columns_present, narrow, to_month, to_number
 
 
 def clean_codes(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
@@ -28,17 +28,29 @@ def _without_null_tokens(raw: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return raw.withColumns({c: blank_to_null(F.col(c)) for c in columns_present(raw, columns)})
 
 
-def clean_origination(raw: DataFrame) -> DataFrame:
-    """Typed origination rows from text rows tagged with VINTAGE_YEAR."""
-    df = _without_null_tokens(raw, S.ORIGINATION_COLUMNS)
-    numbers = {}
-    for name in columns_present(df, tuple(S.ORIGINATION_NUMBERS)):
-        value = to_number(F.col(name))
+def _typed(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """Text columns to numbers of the given kinds, sentinels to null.
+
+    Two projections, so that the parsed double is computed once however often the narrowing
+    expression uses it. A null token is not a number, so it needs no rule of its own here.
+    """
+    names = columns_present(df, tuple(kinds))
+    parsed = df.withColumns({c: to_number(F.col(c)) for c in names})
+
+    def final(name: str) -> Column:
+        value = F.col(name)
         if name in S.NUMERIC_SENTINELS:
             value = F.nullif(value, F.lit(float(S.NUMERIC_SENTINELS[name])))
-        numbers[name] = _narrow(value, S.ORIGINATION_NUMBERS[name])
+        return narrow(value, kinds[name])
+
+    return parsed.withColumns({c: final(c) for c in names})
+
+
+def clean_origination(raw: DataFrame) -> DataFrame:
+    """Typed origination rows from text rows tagged with VINTAGE_YEAR."""
+    df = _typed(_without_null_tokens(raw, S.ORIGINATION_CODES), S.ORIGINATION_NUMBERS)
     months = {c: to_month(F.col(c)) for c in columns_present(df, S.ORIGINATION_MONTHS)}
-    df = clean_codes(df.withColumns({**numbers, **months}), S.ORIGINATION_CODES)
+    df = clean_codes(df.withColumns(months), S.ORIGINATION_CODES)
     return df.withColumn("ORIGINATION_DATE", F.add_months("FIRST_PAYMENT_DATE", -1))
 
 
@@ -48,17 +60,13 @@ def clean_servicing(raw: DataFrame) -> DataFrame:
     Every output row depends on one input row only, so the same projection serves batch reads
     of any size and streaming reads.
     """
-    df = _without_null_tokens(raw, S.SERVICING_COLUMNS)
-    typed = {
-        c: _narrow(to_number(F.col(c)), kind)
-        for c, kind in S.SERVICING_NUMBERS.items()
-        if c in df.columns
-    }
+    text = tuple(c for c in S.SERVICING_COLUMNS if c not in S.SERVICING_NUMBERS)
+    df = _typed(_without_null_tokens(raw, text), S.SERVICING_NUMBERS)
     dates = {
         "REPORTING_DATE": to_month(F.col("MONTHLY_REPORTING_PERIOD")),
         "ZERO_BALANCE_DATE": to_month(F.col("ZERO_BALANCE_EFFECTIVE_DATE")),
     }
-    return add_event_flags(df.withColumns({**typed, **dates}))
+    return add_event_flags(df.withColumns(dates))
 
 
 def add_event_flags(df: DataFrame) -> DataFrame:
@@ -80,12 +88,6 @@ def add_event_flags(df: DataFrame) -> DataFrame:
     )
 
 
-def _narrow(value: Column, kind: str) -> Column:
-    if kind in ("short", "byte"):
-        return F.when(value == F.floor(value), value).try_cast(kind)
-    return value.cast(kind)
-
-
 def keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """One row per key: the first in ``order``.
 

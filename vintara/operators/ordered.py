@@ -53,7 +53,13 @@ def exact_quantiles(
     counts = (
         df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("n"))
     )
-    ranked = running_totals(counts, groups, F.col(value).asc(), ["n"])
+    return quantiles_of_counts(running_totals(counts, groups, F.col(value).asc(), ["n"]), groups, value, points)
+
+
+def quantiles_of_counts(
+    ranked: DataFrame, groups: list[str], value: str, points: list[float]
+) -> DataFrame:
+    """Quantiles from one row per (group, value) with its count ``n`` and running ``cum_n``."""
     sizes = ranked.groupBy(*groups).agg(F.max("cum_n").alias("_size"))
     # Two ranks per requested point bound each quantile; points are a short fixed list.
     wanted = sizes.withColumn("q", F.explode(F.array(*[F.lit(float(p)) for p in points])))

@@ -34,14 +34,12 @@ def servicing_history(servicing: DataFrame) -> DataFrame:
             fold(F.when(rows & age.isNull(), date)).alias(f"{name}_date"),
         ]
 
-    def at(names, alias: str, rows: Column) -> Column:
-        return F.max_by(F.struct(*names), F.when(rows, order)).alias(alias)
+    def at(column: Column, alias: str, rows: Column) -> Column:
+        """The value in the last of the given rows, null included."""
+        return F.max_by(column, F.when(rows, order)).alias(alias)
 
     zero, code = F.col("IS_ZERO_BALANCE"), F.col("ZERO_BALANCE_CODE")
-    present = [
-        F.col(c) if c in servicing.columns else F.lit(None).cast("double").alias(c)
-        for c in _RECOVERIES
-    ]
+    amounts = {c: F.col(c) if c in servicing.columns else F.lit(None).cast("double") for c in _RECOVERIES}
     has_date = "ZERO_BALANCE_DATE" in servicing.columns
     zb_date = F.col("ZERO_BALANCE_DATE") if has_date else F.lit(None).cast("date")
     return servicing.where(F.col(S.LOAN).isNotNull()).groupBy(S.LOAN).agg(
@@ -52,14 +50,14 @@ def servicing_history(servicing: DataFrame) -> DataFrame:
         *parts(F.min, "prepay", F.col("IS_PREPAID")),
         *parts(F.max, "observed", everywhere),
         L.last_known(upb, order, upb > 0).alias("last_exposure"),
-        at(present, "loss_row", F.col("IS_LIQUIDATED")),
+        *[at(amount, f"last_{name}", F.col("IS_LIQUIDATED")) for name, amount in amounts.items()],
         F.bool_or(flag(F.col("MODIFICATION_FLAG") == "Y")).alias("ever_modified"),
         F.max(L.delinquency_as_int(F.col("CURRENT_LOAN_DELINQUENCY_STATUS"))).alias("max_dlq_status"),
         L.last_known(code, order, zero).alias("ZERO_BALANCE_CODE"),
         L.last_known(zb_date, order, zero).alias("ZERO_BALANCE_DATE"),
         L.last_known(age.cast("int"), order, zero).alias("zero_reported_age"),
-        at([age.cast("int").alias("age"), date.alias("date")], "zero_aged_row",
-           zero & (age.isNotNull() | date.isNotNull())),
+        at(age.cast("int"), "zero_aged_age", zero & (age.isNotNull() | date.isNotNull())),
+        at(date, "zero_aged_date", zero & (age.isNotNull() | date.isNotNull())),
     )
 
 
@@ -88,8 +86,8 @@ def loan_outcomes(
     base = select_available(origination, S.OUTCOME_ORIGINATION_COLUMNS)
     joined = base.join(servicing_history(servicing), S.LOAN, "left")
     exposure = F.when(F.col("liquidated"), F.col("last_exposure"))
-    loss = [F.col(f"loss_row.{c}") for c in _RECOVERIES]
-    aged = L.loan_age_months(F.col("zero_aged_row.age"), F.col("zero_aged_row.date"), originated)
+    loss = [F.col(f"last_{c}") for c in _RECOVERIES]
+    aged = L.loan_age_months(F.col("zero_aged_age"), F.col("zero_aged_date"), originated)
     return joined.select(
         *base.columns,
         defaulted.alias("defaulted"),

@@ -17,20 +17,26 @@ from vintara.functions.nullsafe import clip, col_or, ratio, select_available
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def latest_per_loan(rows: DataFrame, mode: str = "composite") -> DataFrame:
-    """Latest state of each loan.
+def latest_per_loan(
+    rows: DataFrame, mode: str = "composite", extra: Sequence[Column] = ()
+) -> DataFrame:
+    """Latest state of each loan, plus any ``extra`` aggregates.
 
     "composite" takes the last non-null value of every column by itself; "row" takes the last
-    row as it stands. Both are aggregates that fold inside each task before the shuffle.
+    row as it stands. Both are aggregates that fold inside each task before the shuffle, and
+    columns a caller does not use are pruned from the aggregation.
     """
+    if mode not in ("composite", "row"):
+        raise ValueError(f"unknown snapshot mode {mode!r}")
     order = L.event_order(F.col("REPORTING_DATE"), F.col("ROW_SEQ"))
     values = [c for c in rows.columns if c not in (S.LOAN, "ROW_SEQ")]
+
+    def latest(name: str) -> Column:
+        value = F.col(name)
+        return L.last_known(value, order) if mode == "composite" else F.max_by(value, order)
+
     loans = rows.where(F.col(S.LOAN).isNotNull()).groupBy(S.LOAN)
-    if mode == "row":
-        return loans.agg(F.max_by(F.struct(*values), order).alias("_row")).select(S.LOAN, "_row.*")
-    if mode != "composite":
-        raise ValueError(f"unknown snapshot mode {mode!r}")
-    return loans.agg(*[L.last_known(F.col(c), order).alias(c) for c in values])
+    return loans.agg(*[latest(c).alias(c) for c in values], *extra)
 
 
 def active_portfolio(
@@ -39,28 +45,23 @@ def active_portfolio(
     """Loans that are not at zero balance, in their latest state, with origination columns.
 
     Servicing rows are reduced to one per loan before the join, so only loans are joined. The
-    age of a row without a reported age needs the origination date, so the snapshot keeps the
-    last row that has either and the age is finished after the join.
+    age of a row without a reported age needs the origination date, so the snapshot keeps both
+    parts of the last row that has either and the age is finished after the join.
     """
     kept = select_available(servicing, (*S.PANEL_SERVICING_COLUMNS, "ROW_SEQ"))
-    aged = F.col("LOAN_AGE").isNotNull() | F.col("REPORTING_DATE").isNotNull()
-    if mode == "row":
-        aged = F.lit(True)
-    prepared = kept.withColumns(
-        {
-            "DLQ_STATUS_INT": L.delinquency_as_int(F.col("CURRENT_LOAN_DELINQUENCY_STATUS")),
-            "_aged": F.when(
-                aged, F.struct(F.col("LOAN_AGE").alias("age"), F.col("REPORTING_DATE").alias("date"))
-            ),
-        }
+    reported, date = F.col("LOAN_AGE").cast("int"), F.col("REPORTING_DATE")
+    prepared = kept.withColumn(
+        "DLQ_STATUS_INT", L.delinquency_as_int(F.col("CURRENT_LOAN_DELINQUENCY_STATUS"))
     )
-    active = latest_per_loan(prepared, mode).where(~F.col("IS_ZERO_BALANCE"))
+    order = L.event_order(date, F.col("ROW_SEQ"))
+    known_age = F.when(reported.isNotNull() | date.isNotNull(), order) if mode == "composite" else order
+    pieces = [F.max_by(reported, known_age).alias("_age"), F.max_by(date, known_age).alias("_age_date")]
+    active = latest_per_loan(prepared, mode, pieces).where(~F.col("IS_ZERO_BALANCE"))
     joined = active.join(select_available(origination, S.PANEL_ORIGINATION_COLUMNS), S.LOAN)
-    age = L.loan_age_months(F.col("_aged.age"), F.col("_aged.date"), F.col("ORIGINATION_DATE"))
-    reported = F.col("LOAN_AGE").cast("int")
+    age = L.loan_age_months(F.col("_age"), F.col("_age_date"), F.col("ORIGINATION_DATE"))
     return joined.withColumn(
         "LOAN_AGE_MONTHS", F.when(F.col("ORIGINATION_DATE").isNull(), reported).otherwise(age)
-    ).drop("_aged")
+    ).drop("_age", "_age_date")
 
 
 @dataclass(frozen=True)

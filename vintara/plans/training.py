@@ -288,7 +288,8 @@ def scored_splits(models: dict[str, PipelineModel], dataset: DataFrame, predict,
 
 def pd_metrics(scored: DataFrame) -> DataFrame:
     """AUC, average precision, KS and Brier score for every model and split, in one job."""
-    return M.classification_metrics(scored, ["model", "split"], "label", "score")
+    groups = ["model", "split"]
+    return M.classification_metrics(M.roc_points(scored, groups, "label", "score"), groups)
 
 
 def lgd_metrics(scored: DataFrame) -> DataFrame:

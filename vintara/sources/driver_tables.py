@@ -11,25 +11,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_ORIG_MONTH = "(date_trunc('month', o_orderdate) + interval 180 month)"
-_LINE_MONTH = (
-    "(date_trunc('month', o_orderdate) + interval 180 month + (l_linenumber - 1) * interval 6 month)"
-)
+# Months since year 0 of the loan's origination (orders shifted by 15 years) and of a record.
+_ORIG_INDEX = "(extract(year from o_orderdate) * 12 + extract(month from o_orderdate) + 179)"
+_LINE_INDEX = f"({_ORIG_INDEX} + (l_linenumber - 1) * 6)"
+
+
+def _month_start(index: str) -> str:
+    return f"make_date(cast(floor(({index}) / 12) as int), cast(({index}) % 12 + 1 as int), 1)"
+
+
+_ORIG_MONTH = _month_start(_ORIG_INDEX)
+_LINE_MONTH = _month_start(_LINE_INDEX)
 
 
 def _loan_id(key: str) -> str:
     return f"concat('F', lpad(cast({key} as string), 11, '0'))"
 
 
-def _yyyymm(date: str) -> str:
-    return f"cast(extract(year from {date}) * 100 + extract(month from {date}) as string)"
+def _yyyymm(index: str) -> str:
+    return f"cast(cast(floor(({index}) / 12) as int) * 100 + ({index}) % 12 + 1 as string)"
 
 
 # One row per loan, already clean.
 ORIGINATION = {
     "LOAN_SEQUENCE_NUMBER": _loan_id("o_orderkey"),
     "VINTAGE_YEAR": "cast(extract(year from o_orderdate) as int) + 15",
-    "ORIGINATION_DATE": f"cast({_ORIG_MONTH} as date)",
+    "ORIGINATION_DATE": _ORIG_MONTH,
     "CREDIT_SCORE": "cast(case when o_orderkey % 50 = 0 then null else 560 + o_orderkey * 37 % 290 end as int)",
     "ORIGINAL_LTV": "cast(case when o_custkey % 60 = 0 then null else 40 + o_custkey % 75 end as double)",
     "ORIGINAL_CLTV": "cast(case when o_custkey % 60 = 0 then null else 42 + o_custkey % 75 end as double)",
@@ -51,12 +58,12 @@ ORIGINATION = {
 # number, ship date and part packed into one number (no window needed).
 SERVICING = {
     "LOAN_SEQUENCE_NUMBER": _loan_id("l_orderkey"),
-    "ROW_SEQ": "(cast(l_linenumber as bigint) * 1048576 + extract(year from l_shipdate) * 372 + extract(month from l_shipdate) * 31 + extract(day from l_shipdate)) * 34359738368 + l_partkey",
-    "REPORTING_DATE": f"case when l_partkey % 997 = 0 then null else cast({_LINE_MONTH} as date) end",
+    "ROW_SEQ": "(cast(l_linenumber as bigint) * 16384 + (extract(year from l_shipdate) - 1980) * 372 + extract(month from l_shipdate) * 31 + extract(day from l_shipdate)) * 34359738368 + l_partkey",
+    "REPORTING_DATE": f"case when l_partkey % 997 = 0 then null else {_LINE_MONTH} end",
     "LOAN_AGE": "cast(case when l_partkey % 25 = 0 then null else (l_linenumber - 1) * 6 end as int)",
     "CURRENT_LOAN_DELINQUENCY_STATUS": "case when l_quantity >= 49 then ' xx' when l_quantity >= 48 then 'RA' when l_quantity >= 47 then '24' when l_quantity >= 46 then '10' when l_quantity >= 44 then '3' when l_quantity >= 40 then '2' when l_quantity >= 34 then '1' when l_quantity >= 33 then null else '0' end",
     "ZERO_BALANCE_CODE": "case when l_linenumber >= 6 and l_returnflag = 'R' then '01' when l_linenumber >= 5 and l_returnflag = 'A' and l_discount > cast(0.075 as double) then '03 ' when l_linenumber >= 5 and l_returnflag = 'A' and l_discount > cast(0.065 as double) then '09' when l_linenumber = 7 and l_returnflag = 'N' and l_discount < cast(0.005 as double) then '96' else null end",
-    "ZERO_BALANCE_DATE": f"case when l_linenumber >= 5 and l_suppkey % 3 <> 0 then cast({_LINE_MONTH} + interval 1 month as date) else null end",
+    "ZERO_BALANCE_DATE": f"case when l_linenumber >= 5 and l_suppkey % 3 <> 0 then {_month_start(_LINE_INDEX + ' + 1')} else null end",
     "CURRENT_ACTUAL_UPB": "case when l_linenumber >= 5 and l_returnflag in ('A','R') then cast(0 as double) when l_partkey % 31 = 0 then null else l_extendedprice end",
     "MODIFICATION_FLAG": "case when l_quantity >= 31 and l_quantity < 32 then 'Y' when l_quantity >= 30 and l_quantity < 31 then 'P' else null end",
     "NET_SALES_PROCEEDS": "case when l_linenumber >= 5 and l_returnflag = 'A' and l_suppkey % 2 = 0 then l_extendedprice * cast(0.5 as double) else null end",
@@ -87,9 +94,9 @@ MACRO_IDS = tuple(_MACRO_VALUES)
 # Text rows as a file would hold them, all 32 columns, with dirty values.
 RAW_ORIGINATION = {
     "CREDIT_SCORE": "case o_orderkey % 50 when 0 then '9999' when 1 then 'NA' when 2 then ' ' when 3 then 'abc' when 4 then concat(' ', cast(560 + o_orderkey * 37 % 290 as string), ' ') when 5 then '70000' when 6 then '700.0' else cast(560 + o_orderkey * 37 % 290 as string) end",
-    "FIRST_PAYMENT_DATE": f"case o_orderkey % 97 when 0 then '201013' when 1 then '' when 2 then '2010' when 3 then concat(' ', {_yyyymm(_ORIG_MONTH)}, ' ') else {_yyyymm(_ORIG_MONTH)} end",
+    "FIRST_PAYMENT_DATE": f"case o_orderkey % 97 when 0 then '201013' when 1 then '' when 2 then '2010' when 3 then concat(' ', {_yyyymm(_ORIG_INDEX)}, ' ') else {_yyyymm(_ORIG_INDEX)} end",
     "FIRST_TIME_HOMEBUYER_FLAG": "case when o_custkey % 7 = 0 then '9' when o_custkey % 2 = 0 then 'Y' else 'N' end",
-    "MATURITY_DATE": f"case when o_orderkey % 89 = 0 then 'null' else {_yyyymm('(' + _ORIG_MONTH + ' + interval 360 month)')} end",
+    "MATURITY_DATE": f"case when o_orderkey % 89 = 0 then 'null' else {_yyyymm('(' + _ORIG_INDEX + ' + 360)')} end",
     "MSA": "case when o_custkey % 4 = 0 then '' else cast(10000 + o_custkey % 900 as string) end",
     "MI_PCT": "case when o_orderkey % 5 = 0 then '25' when o_orderkey % 5 = 1 then '000' else '0' end",
     "NUMBER_OF_UNITS": "case when o_orderkey % 33 = 0 then '300' else cast(1 + o_orderkey % 4 as string) end",
@@ -121,7 +128,7 @@ RAW_ORIGINATION = {
 }
 RAW_SERVICING = {
     "LOAN_SEQUENCE_NUMBER": _loan_id("l_orderkey"),
-    "MONTHLY_REPORTING_PERIOD": f"case when l_partkey % 997 = 0 then '209913' when l_partkey % 997 = 1 then '' else {_yyyymm(_LINE_MONTH)} end",
+    "MONTHLY_REPORTING_PERIOD": f"case when l_partkey % 997 = 0 then '209913' when l_partkey % 997 = 1 then '' else {_yyyymm(_LINE_INDEX)} end",
     "CURRENT_ACTUAL_UPB": "case when l_linenumber >= 5 and l_returnflag in ('A','R') then '0' when l_partkey % 31 = 0 then 'NaN' else concat(cast(l_partkey * 3 + 1000 as string), '.25') end",
     "CURRENT_LOAN_DELINQUENCY_STATUS": SERVICING["CURRENT_LOAN_DELINQUENCY_STATUS"],
     "LOAN_AGE": "case when l_partkey % 25 = 0 then '' when l_partkey % 25 = 1 then '40000' else cast((l_linenumber - 1) * 6 as string) end",
@@ -129,10 +136,10 @@ RAW_SERVICING = {
     "REPURCHASE_MAKE_WHOLE_PROCEEDS_FLAG": "case when l_partkey % 50 = 0 then 'Y' else '' end",
     "MODIFICATION_FLAG": SERVICING["MODIFICATION_FLAG"],
     "ZERO_BALANCE_CODE": SERVICING["ZERO_BALANCE_CODE"],
-    "ZERO_BALANCE_EFFECTIVE_DATE": f"case when l_linenumber >= 5 and l_suppkey % 3 <> 0 then concat(' ', {_yyyymm(_LINE_MONTH)}) else null end",
+    "ZERO_BALANCE_EFFECTIVE_DATE": f"case when l_linenumber >= 5 and l_suppkey % 3 <> 0 then concat(' ', {_yyyymm(_LINE_INDEX)}) else null end",
     "CURRENT_INTEREST_RATE": "concat(cast(3 + l_partkey % 3 as string), '.5')",
     "CURRENT_DEFERRED_UPB": "'0'",
-    "DDLPI": _yyyymm(_LINE_MONTH),
+    "DDLPI": _yyyymm(_LINE_INDEX),
     "MI_RECOVERIES": "case when l_linenumber >= 5 and l_returnflag = 'A' then cast(l_suppkey * 7 as string) else null end",
     "NET_SALES_PROCEEDS": "case when l_linenumber >= 5 and l_returnflag = 'A' then case when l_suppkey % 4 = 0 then 'C' else cast(l_suppkey * 11 as string) end else null end",
     "NON_MI_RECOVERIES": "case when l_linenumber >= 5 and l_returnflag = 'A' then '-12.5' else null end",

@@ -44,18 +44,23 @@ def _read(
 ) -> DataFrame:
     """All years in one distributed read, every column as text.
 
-    Naming each year's path makes Spark refuse the job when one is missing. ROW_SEQ orders
-    rows by their place in the file: splits by byte offset, rows within a split by the
-    generated id, which only grows inside a task.
+    Naming each year's path makes Spark refuse the job when one is missing.
     """
     paths = [f"{folder.rstrip('/')}/{name.format(year=y)}" for y in years]
     raw = spark.read.schema(S.text_schema(columns)).option("sep", "|").csv(paths)
-    position = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    return raw.select("*", year_of_file(name).alias("VINTAGE_YEAR"), position.alias("ROW_SEQ"))
+    return raw.select("*", year_of_file(name).alias("VINTAGE_YEAR"), row_sequence().alias("ROW_SEQ"))
+
+
+def row_sequence() -> Column:
+    """Position of a row within its file, as one long below 2^53.
+
+    High bits: which megabyte of the file the row's split starts in. Low 28 bits: the
+    generated id, whose low bits count rows within the task. Splits of one file never share a
+    megabyte, and a split of up to 256 MB holds fewer than 2^28 rows.
+    """
+    split = F.shiftright(F.col("_metadata.file_block_start"), 20)
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 28) - 1))
+    return F.shiftleft(split, 28) + row
 
 
 def malformed_rows(raw: DataFrame) -> DataFrame:
