@@ -17,9 +17,9 @@ def ingest(spark: SparkSession, raw: str, out: str, years: Iterable[int] = S.VIN
     """Text files of all years to the clean ``orig`` and ``svcg`` tables."""
     years = list(years)
     orig = clean_origination(loan_files.read_origination(spark, raw, years))
-    orig = keep_first(orig, ["VINTAGE_YEAR", S.LOAN], "ROW_SEQ").drop("_corrupt_record")
+    orig = keep_first(orig, ["VINTAGE_YEAR", S.LOAN], "ROW_SEQ")
     tables.write_by_vintage(orig, f"{out}/orig")
-    svcg = clean_servicing(loan_files.read_servicing(spark, raw, years)).drop("_corrupt_record")
+    svcg = clean_servicing(loan_files.read_servicing(spark, raw, years))
     tables.write_by_vintage(svcg, f"{out}/svcg", sort_by=(S.LOAN, "REPORTING_DATE", "ROW_SEQ"))
 
 

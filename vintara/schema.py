@@ -195,6 +195,5 @@ LGD_CATEGORICAL = ("OCC_STATUS", "PROPERTY_TYPE", "PROPERTY_STATE", "LOAN_PURPOS
 
 
 def text_schema(columns: tuple[str, ...]) -> T.StructType:
-    """All-string schema of a positional text file, with a slot for malformed lines."""
-    fields = [T.StructField(c, T.StringType()) for c in columns]
-    return T.StructType([*fields, T.StructField("_corrupt_record", T.StringType())])
+    """All-string schema of a positional text file."""
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns])

@@ -8,6 +8,8 @@ duplicates, nulls) are on purpose.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -189,6 +191,7 @@ FROM_ORDERS = "orders join customer on o_custkey = c_custkey join nation on c_na
 FROM_LINES = "lineitem join orders on l_orderkey = o_orderkey"
 
 
+@cache
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

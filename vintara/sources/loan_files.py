@@ -54,18 +54,31 @@ def _read(
 def row_sequence() -> Column:
     """Position of a row within its file, as one long below 2^53.
 
-    High bits: which megabyte of the file the row's split starts in. Low 28 bits: the
-    generated id, whose low bits count rows within the task. Splits of one file never share a
-    megabyte, and a split of up to 256 MB holds fewer than 2^28 rows.
+    High 28 bits: where the row's split starts, in 64 KB units (files up to 16 TB). Low 25 bits:
+    the generated id, whose low bits count rows within the task; a line has at least 31
+    separators, so a task would have to read 1 GB of text to run out. Holds for splits of 64 KB
+    and more; Spark's default is at least 4 MB.
     """
-    split = F.shiftright(F.col("_metadata.file_block_start"), 20)
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 28) - 1))
-    return F.shiftleft(split, 28) + row
+    split = F.shiftright(F.col("_metadata.file_block_start"), 16)
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 25) - 1))
+    return F.shiftleft(split, 25) + row
 
 
-def malformed_rows(raw: DataFrame) -> DataFrame:
-    """Lines per year with too few or too many fields."""
-    broken = F.col("_corrupt_record").isNotNull()
-    return raw.groupBy("VINTAGE_YEAR").agg(
-        F.count("*").alias("raw_rows"), F.count_if(broken).alias("malformed_rows")
+def malformed_lines(
+    spark: SparkSession,
+    folder: str,
+    name: str,
+    columns: tuple[str, ...],
+    years: Iterable[int] = S.VINTAGE_YEARS,
+) -> DataFrame:
+    """Lines per year, and how many have too few or too many fields.
+
+    The reader pads short lines and cuts long ones, so this is the place to notice them.
+    """
+    paths = [f"{folder.rstrip('/')}/{name.format(year=y)}" for y in years]
+    lines = spark.read.text(paths).select("value", year_of_file(name).alias("VINTAGE_YEAR"))
+    separators = F.length("value") - F.length(F.replace(F.col("value"), F.lit("|"), F.lit("")))
+    return lines.groupBy("VINTAGE_YEAR").agg(
+        F.count("*").alias("raw_rows"),
+        F.count_if(separators != len(columns) - 1).alias("malformed_rows"),
     )
