@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 SERVICING_SCHEMA = (
     "LOAN_SEQUENCE_NUMBER string, ROW_SEQ long, REPORTING_DATE date, LOAN_AGE int,"
     " CURRENT_LOAN_DELINQUENCY_STATUS string, ZERO_BALANCE_CODE string, ZERO_BALANCE_DATE date,"
@@ -42,7 +44,8 @@ def servicing(spark, rows):
 def origination(spark, rows):
     """Rows as (loan, vintage, 'YYYY-MM', fico, ltv, dti, upb, state, product)."""
     records = [(r[0], r[1], month(r[2]), *r[3:]) for r in rows]
-    return spark.createDataFrame(records, ORIGINATION_SCHEMA)
+    frame = spark.createDataFrame(records, ORIGINATION_SCHEMA)
+    return frame.withColumn("ORIGINAL_INTEREST_RATE", F.lit(4.0))
 
 
 def by_key(df, key):
