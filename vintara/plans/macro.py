@@ -15,9 +15,15 @@ def _by_series() -> WindowSpec:
 
 
 def monthly_last(observations: DataFrame) -> DataFrame:
-    """Last non-null observation of each series and month: (series_id, month, value)."""
-    order = ["obs_date", *[c for c in ("obs_seq",) if c in observations.columns]]
-    known = F.when(F.col("value").isNotNull(), F.struct(*order))
+    """Last non-null observation of each series and month: (series_id, month, value).
+
+    Observations of one day follow ``obs_seq`` where the table has it, in [0, 2^43). Day and
+    sequence form one long, which keeps the aggregation a hash aggregation.
+    """
+    order = F.unix_date("obs_date").cast("long") * F.lit(1 << 43)
+    if "obs_seq" in observations.columns:
+        order = order + F.col("obs_seq")
+    known = F.when(F.col("value").isNotNull(), order)
     month = F.trunc("obs_date", "MM").alias("month")
     return observations.groupBy("series_id", month).agg(F.max_by("value", known).alias("value"))
 
