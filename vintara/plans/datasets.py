@@ -39,6 +39,7 @@ _PD_MACRO = (
 )
 _SNAPSHOT = (
     "IS_ZERO_BALANCE", "REPORTING_DATE", "CURRENT_ACTUAL_UPB", "CURRENT_LOAN_DELINQUENCY_STATUS",
+    "DLQ_STATUS_INT",
 )
 
 
@@ -47,30 +48,43 @@ def observations_and_labels(
 ) -> DataFrame:
     """Per loan: the first record at each observation age and each window's default label.
 
-    One pass serves all windows. Only rows that can fall in one of them (by reported age, or
-    unreported) leave the scan, with six columns; the join brings the origination date that
-    anchors unreported ages, and the aggregation reuses its partitioning.
+    One aggregation serves all windows. Rows with a reported age inside some window need no
+    join and fold in their task before the shuffle; only rows without a reported age are joined
+    to the origination date that anchors them. Both filters reach the scan.
     """
     ages = sorted({a for a, _ in windows.values()})
     last = max(a + h for a, h in windows.values())
-    reported = F.col("LOAN_AGE")
-    relevant = servicing.where(reported.isNull() | reported.between(ages[0], last)).select(
-        S.LOAN, "LOAN_AGE", *_SNAPSHOT, "IS_DEFAULTED", "ROW_SEQ"
+    status = F.col("CURRENT_LOAN_DELINQUENCY_STATUS")
+    slim = servicing.select(
+        S.LOAN, "LOAN_AGE", "ROW_SEQ", "IS_DEFAULTED",
+        *[c for c in _SNAPSHOT if c != "DLQ_STATUS_INT"],
+        L.delinquency_as_int(status).alias("DLQ_STATUS_INT"),
+    )
+    reported = slim.where(F.col("LOAN_AGE").between(ages[0], last)).withColumn(
+        "_age", F.col("LOAN_AGE").cast("int")
+    )
+    computed = L.age_from_dates(F.col("REPORTING_DATE"), F.col("ORIGINATION_DATE"))
+    anchored = (
+        slim.where(F.col("LOAN_AGE").isNull())
+        .join(origination.select(S.LOAN, "ORIGINATION_DATE"), S.LOAN)
+        .withColumn("_age", computed)
+        .drop("ORIGINATION_DATE")
     )
-    anchors = origination.select(S.LOAN, "ORIGINATION_DATE")
-    age = L.loan_age_months(reported, F.col("REPORTING_DATE"), F.col("ORIGINATION_DATE"))
-    rows = relevant.join(anchors, S.LOAN).withColumn("_age", age)
+    rows = reported.unionByName(anchored).where(F.col(S.LOAN).isNotNull())
     order = L.event_order(F.col("REPORTING_DATE"), F.col("ROW_SEQ"))
 
-    def first_at(a: int) -> Column:
-        return F.min_by(F.struct(*_SNAPSHOT), F.when(F.col("_age") == a, order)).alias(f"at_{a}")
+    def first_at(a: int) -> list[Column]:
+        here = F.col("_age") == a
+        values = [F.min_by(c, F.when(here, order)).alias(f"{c}_at_{a}") for c in _SNAPSHOT]
+        return [flag(F.bool_or(here)).alias(f"seen_at_{a}"), *values]
 
     def label(name: str, a: int, h: int) -> Column:
         inside = (F.col("_age") > a) & (F.col("_age") <= a + h)
         return flag(F.bool_or(flag(inside) & F.col("IS_DEFAULTED"))).alias(f"label_{name}")
 
     return rows.groupBy(S.LOAN).agg(
-        *[first_at(a) for a in ages], *[label(n, a, h) for n, (a, h) in windows.items()]
+        *[column for a in ages for column in first_at(a)],
+        *[label(n, a, h) for n, (a, h) in windows.items()],
     )
 
 
@@ -101,15 +115,12 @@ def pd_datasets(
 def _pd_dataset(
     base: DataFrame, origination: DataFrame, macro: DataFrame, name: str, age: int
 ) -> DataFrame:
-    snapshot = F.col(f"at_{age}")
-    observed = base.where(snapshot.isNotNull() & ~snapshot.getField("IS_ZERO_BALANCE"))
-    observed = observed.select(
-        S.LOAN, f"at_{age}.*", F.col(f"label_{name}").cast("int").alias("PD_TARGET")
-    )
-    status = F.col("CURRENT_LOAN_DELINQUENCY_STATUS")
-    rows = observed.join(origination, S.LOAN).withColumns(
-        {"_month": month_of(F.col("REPORTING_DATE")), "DLQ_STATUS_INT": L.delinquency_as_int(status)}
+    observed = base.where(F.col(f"seen_at_{age}") & ~F.col(f"IS_ZERO_BALANCE_at_{age}")).select(
+        S.LOAN,
+        *[F.col(f"{c}_at_{age}").alias(c) for c in _SNAPSHOT],
+        F.col(f"label_{name}").cast("int").alias("PD_TARGET"),
     )
+    rows = observed.join(origination, S.LOAN).withColumn("_month", month_of(F.col("REPORTING_DATE")))
     names = {"date": "_month", **{c: c for c in _PD_MACRO}}
     rows = rows.join(at_month(macro, names), "_month", "left").withColumns(
         {
