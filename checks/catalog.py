@@ -16,7 +16,7 @@ from vintara.functions.nullsafe import select_available
 from vintara.operators import cleaning as C
 from vintara.operators import metrics as M
 from vintara.plans import datasets, eda, macro, outcomes, panel, portfolio, scenarios, scoring, training, vintages
-from vintara.session import configure, scratch_path
+from vintara.session import configure, scratch_path, write_through
 from vintara.sources import driver_tables as D
 from vintara.sources import loan_files, tables
 from vintara.streaming import servicing as stream
@@ -820,7 +820,7 @@ def impute_medians(spark, sf_dir):
 @query
 def scale_stats(spark, sf_dir):
     """Mean and sample deviation of each numeric feature after median filling."""
-    train = _train_rows(spark, sf_dir)
+    train = write_through(_train_rows(spark, sf_dir), "pd-train")
     medians = {r[0]: r[1] for r in training.median_table(train, list(S.PD_NUMERIC)).collect()}
     filled = [F.struct(F.lit(c).alias("feature"), F.coalesce(F.col(c).cast("double"), F.lit(medians[c])).alias("v")) for c in S.PD_NUMERIC]
     long = train.select(F.explode(F.array(*filled)).alias("_p")).select("_p.*")
@@ -829,14 +829,14 @@ def scale_stats(spark, sf_dir):
 
 
 def _pd_model_scores(spark, sf_dir, kinds, keep=None):
-    data = pd12(spark, sf_dir)
+    data = write_through(pd12(spark, sf_dir), "pd-12m")
     models = training.train_pd_models(data, FEW_TREES_PD, kinds)
     models = {k: m for k, m in models.items() if keep is None or k in keep}
     return training.scored_splits(models, data, training.predict_pd, "pd_pred", "PD_TARGET")
 
 
 def _lgd_model_scores(spark, sf_dir, kinds):
-    data = lgd_rows(spark, sf_dir)
+    data = write_through(lgd_rows(spark, sf_dir), "lgd")
     models = training.train_lgd_models(data, FEW_TREES_LGD, kinds)
     return training.scored_splits(models, data, training.predict_lgd, "lgd_pred", "lgd_observed")
 
@@ -883,7 +883,7 @@ def lgd_model_metrics(spark, sf_dir):
 
 @query
 def top_feature_importance(spark, sf_dir):
-    data = pd12(spark, sf_dir)
+    data = write_through(pd12(spark, sf_dir), "pd-12m")
     model = training.train_pd_models(data, FEW_TREES_PD, ("boosted",))["boosted_raw"]
     train = datasets.with_split(data).where("split = 'train'")
     table = training.importance_table(train, model.stages[0], model.stages[1], S.PD_NUMERIC, S.PD_CATEGORICAL)
@@ -893,7 +893,8 @@ def top_feature_importance(spark, sf_dir):
 @query
 def model_scenarios(spark, sf_dir):
     """Scenario run with trained models, saved and loaded again."""
-    data, losses = pd12(spark, sf_dir), lgd_rows(spark, sf_dir)
+    data = write_through(pd12(spark, sf_dir), "pd-12m")
+    losses = write_through(lgd_rows(spark, sf_dir), "lgd")
     pd_path, lgd_path = scratch_path(spark, "pd-model"), scratch_path(spark, "lgd-model")
     training.save_model(training.train_pd_models(data, FEW_TREES_PD, ("boosted",))["boosted"], pd_path)
     training.save_model(training.train_lgd_models(losses, FEW_TREES_LGD, ("boosted",))["boosted"], lgd_path)

@@ -17,32 +17,43 @@ _RECOVERIES = (
 
 
 def servicing_history(servicing: DataFrame) -> DataFrame:
-    """All per-loan summaries of the servicing rows in one aggregation.
+    """All per-loan summaries of the servicing rows.
 
-    It runs before the join to origination: each task folds its rows to one per loan, so the
+    They run before the join to origination: each task folds its rows to one per loan, so the
     shuffle carries loans rather than loan-months and a hot loan costs one row per task. Age
     falls back to dates that only origination can anchor, so minimum and maximum age are kept
     as two parts (reported age; reporting date of rows without one) and finished after the join.
+
+    The final zero-balance code is the one text value. It would turn the whole aggregation into
+    a sort, so it is folded by itself over the few zero-balance rows; both results are
+    partitioned by loan and join in place.
     """
+    rows = servicing.where(F.col(S.LOAN).isNotNull())
+    order = L.event_order(F.col("REPORTING_DATE"), F.col("ROW_SEQ"))
+    code = L.last_known(F.col("ZERO_BALANCE_CODE"), order).alias("ZERO_BALANCE_CODE")
+    codes = rows.where(F.col("IS_ZERO_BALANCE")).groupBy(S.LOAN).agg(code)
+    return _numeric_history(rows, order).join(codes, S.LOAN, "left")
+
+
+def _numeric_history(rows: DataFrame, order: Column) -> DataFrame:
     upb, age, date = F.col("CURRENT_ACTUAL_UPB"), F.col("LOAN_AGE"), F.col("REPORTING_DATE")
-    everywhere = F.lit(True)
-    order = L.event_order(date, F.col("ROW_SEQ"))
+    everywhere, zero = F.lit(True), F.col("IS_ZERO_BALANCE")
 
-    def parts(fold, name: str, rows: Column) -> list[Column]:
+    def parts(fold, name: str, where: Column) -> list[Column]:
         return [
-            fold(F.when(rows & age.isNotNull(), age.cast("int"))).alias(f"{name}_age"),
-            fold(F.when(rows & age.isNull(), date)).alias(f"{name}_date"),
+            fold(F.when(where & age.isNotNull(), age.cast("int"))).alias(f"{name}_age"),
+            fold(F.when(where & age.isNull(), date)).alias(f"{name}_date"),
         ]
 
-    def at(column: Column, alias: str, rows: Column) -> Column:
+    def at(column: Column, alias: str, where: Column) -> Column:
         """The value in the last of the given rows, null included."""
-        return F.max_by(column, F.when(rows, order)).alias(alias)
+        return F.max_by(column, F.when(where, order)).alias(alias)
+
+    def present(name: str, kind: str) -> Column:
+        return F.col(name) if name in rows.columns else F.lit(None).cast(kind)
 
-    zero, code = F.col("IS_ZERO_BALANCE"), F.col("ZERO_BALANCE_CODE")
-    amounts = {c: F.col(c) if c in servicing.columns else F.lit(None).cast("double") for c in _RECOVERIES}
-    has_date = "ZERO_BALANCE_DATE" in servicing.columns
-    zb_date = F.col("ZERO_BALANCE_DATE") if has_date else F.lit(None).cast("date")
-    return servicing.where(F.col(S.LOAN).isNotNull()).groupBy(S.LOAN).agg(
+    aged = zero & (age.isNotNull() | date.isNotNull())
+    return rows.groupBy(S.LOAN).agg(
         F.bool_or("IS_SERIOUSLY_DELINQUENT").alias("seriously_delinquent"),
         F.bool_or("IS_PREPAID").alias("prepaid"),
         F.bool_or("IS_LIQUIDATED").alias("liquidated"),
@@ -50,14 +61,13 @@ def servicing_history(servicing: DataFrame) -> DataFrame:
         *parts(F.min, "prepay", F.col("IS_PREPAID")),
         *parts(F.max, "observed", everywhere),
         L.last_known(upb, order, upb > 0).alias("last_exposure"),
-        *[at(amount, f"last_{name}", F.col("IS_LIQUIDATED")) for name, amount in amounts.items()],
+        *[at(present(n, "double"), f"last_{n}", F.col("IS_LIQUIDATED")) for n in _RECOVERIES],
         F.bool_or(flag(F.col("MODIFICATION_FLAG") == "Y")).alias("ever_modified"),
         F.max(L.delinquency_as_int(F.col("CURRENT_LOAN_DELINQUENCY_STATUS"))).alias("max_dlq_status"),
-        L.last_known(code, order, zero).alias("ZERO_BALANCE_CODE"),
-        L.last_known(zb_date, order, zero).alias("ZERO_BALANCE_DATE"),
+        L.last_known(present("ZERO_BALANCE_DATE", "date"), order, zero).alias("ZERO_BALANCE_DATE"),
         L.last_known(age.cast("int"), order, zero).alias("zero_reported_age"),
-        at(age.cast("int"), "zero_aged_age", zero & (age.isNotNull() | date.isNotNull())),
-        at(date, "zero_aged_date", zero & (age.isNotNull() | date.isNotNull())),
+        at(age.cast("int"), "zero_aged_age", aged),
+        at(date, "zero_aged_date", aged),
     )
 
 
