@@ -27,7 +27,7 @@ def test_no_cross_or_nested_loop_joins(spark, sf_dir, name, no_broadcast):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
-@pytest.mark.parametrize("name", ("lgd_observed", "scenario_all", "ecl_by_stage", "vintage_curves"))
+@pytest.mark.parametrize("name", ("lgd_observed", "scenario_all", "ecl_by_stage", "vintage_curves", "vintage_curves_cumulative"))
 def test_servicing_is_scanned_once(spark, sf_dir, name):
     assert plan(spark, sf_dir, name).count("lineitem.parquet") == 1
 

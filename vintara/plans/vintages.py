@@ -35,29 +35,28 @@ def vintage_curves(loan_years: DataFrame) -> DataFrame:
 def cumulative_curves(loan_years: DataFrame) -> DataFrame:
     """Share of a vintage's observed loans that have defaulted by each observation year.
 
-    Windows run on the (vintage, year) table, whose size is the number of such pairs.
+    One pass: the first window spans a loan's years (one row each, so a few dozen at most) and
+    reuses the partitioning by loan; the later ones run on the small (vintage, year) table.
     """
-    first = F.min(F.when(F.col("defaulted_months") > 0, F.col("obs_year")))
-    per_loan = loan_years.groupBy(S.LOAN, "vintage_year").agg(
-        first.alias("obs_year"), F.min("obs_year").alias("entry_year")
-    )
-    new_defaults = (
-        per_loan.where(F.col("obs_year").isNotNull())
+    own = W.partitionBy(S.LOAN, "vintage_year")
+    first = F.min(F.when(F.col("defaulted_months") > 0, F.col("obs_year"))).over(own)
+    entry = F.min("obs_year").over(own)
+    per_year = (
+        loan_years.withColumns({"_first": first, "_entry": entry})
         .groupBy("vintage_year", "obs_year")
-        .agg(F.count("*").alias("new_defaults"))
-    )
-    sizes = per_loan.groupBy("vintage_year").agg(F.count("*").alias("vintage_loans"))
-    grid = loan_years.select("vintage_year", "obs_year").distinct()
-    running = W.partitionBy("vintage_year").orderBy("obs_year")
-    return (
-        grid.join(new_defaults, ["vintage_year", "obs_year"], "left")
-        .join(sizes, "vintage_year")
-        .withColumn(
-            "cumulative_defaults", F.sum(F.coalesce("new_defaults", F.lit(0))).over(running)
+        .agg(
+            F.count_if(F.col("obs_year") == F.col("_first")).alias("_new"),
+            F.count_if(F.col("obs_year") == F.col("_entry")).alias("_entered"),
         )
-        .withColumn("cumulative_default_rate", F.col("cumulative_defaults") / F.col("vintage_loans"))
-        .drop("new_defaults")
     )
+    whole = W.partitionBy("vintage_year")
+    running = whole.orderBy("obs_year").rowsBetween(W.unboundedPreceding, W.currentRow)
+    return per_year.select(
+        "vintage_year",
+        "obs_year",
+        F.sum("_entered").over(whole).alias("vintage_loans"),
+        F.sum("_new").over(running).alias("cumulative_defaults"),
+    ).withColumn("cumulative_default_rate", F.col("cumulative_defaults") / F.col("vintage_loans"))
 
 
 def vintage_pivot(curves: DataFrame, years: tuple[int, ...] = S.VINTAGE_YEARS) -> DataFrame:
