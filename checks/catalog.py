@@ -542,6 +542,28 @@ def heuristic_lgd(spark, sf_dir):
     return rounded(scored(spark, sf_dir).select(S.LOAN, "scenario_name", "lgd_pred"), lgd_pred=6)
 
 
+_MACRO_DIGITS = dict(unemployment_rate=6, hpi_yoy_chg=6, mortgage_rate_30y=6, unrate_chg_mom=6)
+
+
+@query
+def pd_scoring_features(spark, sf_dir):
+    """Inputs of a default model: shocked macro values, spread against the unshocked rate."""
+    rows = portfolio.with_scenarios(active(spark, sf_dir), base_macro(spark, sf_dir))
+    features = portfolio.pd_features(rows).select(
+        S.LOAN, "scenario_name", "LOAN_AGE_AT_OBS", "DLQ_STATUS_INT", "RATE_SPREAD", *_MACRO_DIGITS
+    )
+    return rounded(features, RATE_SPREAD=6, **_MACRO_DIGITS)
+
+
+@query
+def lgd_scoring_features(spark, sf_dir):
+    """Inputs of a loss model: shocked macro values under their at-default names."""
+    rows = portfolio.with_scenarios(active(spark, sf_dir), base_macro(spark, sf_dir))
+    names = ("unemployment_rate_at_default", "hpi_yoy_chg_at_default", "rate_at_default", "fsi_at_default")
+    features = portfolio.lgd_features(rows).select(S.LOAN, "scenario_name", "LOAN_AGE_AT_DEFAULT", *names)
+    return rounded(features, **{n: 6 for n in names})
+
+
 @query
 def ead_selection(spark, sf_dir):
     return scored(spark, sf_dir, _FIRST).select(S.LOAN, "ead")

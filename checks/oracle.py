@@ -291,6 +291,8 @@ BODIES = {
     "scenario_macro": "select PRODUCT_TYPE, loans, scenario_name, round(unemployment_rate, 6) as unemployment_rate, round(hpi_yoy_chg, 6) as hpi_yoy_chg, round(mortgage_rate_30y, 6) as mortgage_rate_30y, round(financial_stress_idx, 6) as financial_stress_idx, round(unrate_chg_mom, 6) as unrate_chg_mom from (select PRODUCT_TYPE, count(*) as loans from active group by 1) cross join stressed where scenario_name <> 'custom'",
     "heuristic_pd": "select LOAN_SEQUENCE_NUMBER, scenario_name, round(pd_pred, 6) as pd_pred from scored",
     "heuristic_lgd": "select LOAN_SEQUENCE_NUMBER, scenario_name, round(lgd_pred, 6) as lgd_pred from scored",
+    "pd_scoring_features": "select a.LOAN_SEQUENCE_NUMBER, s.scenario_name, a.LOAN_AGE_MONTHS as LOAN_AGE_AT_OBS, a.DLQ_STATUS_INT, round(a.ORIGINAL_INTEREST_RATE - b.mortgage_rate_30y, 6) as RATE_SPREAD, round(s.unemployment_rate, 6) as unemployment_rate, round(s.hpi_yoy_chg, 6) as hpi_yoy_chg, round(s.mortgage_rate_30y, 6) as mortgage_rate_30y, round(s.unrate_chg_mom, 6) as unrate_chg_mom from active a cross join stressed s cross join base b where s.scenario_name <> 'custom'",
+    "lgd_scoring_features": "select a.LOAN_SEQUENCE_NUMBER, s.scenario_name, a.LOAN_AGE_MONTHS as LOAN_AGE_AT_DEFAULT, round(s.unemployment_rate, 6) as unemployment_rate_at_default, round(s.hpi_yoy_chg, 6) as hpi_yoy_chg_at_default, round(s.mortgage_rate_30y, 6) as rate_at_default, round(s.financial_stress_idx, 6) as fsi_at_default from active a cross join stressed s where s.scenario_name <> 'custom'",
     "ead_selection": "select LOAN_SEQUENCE_NUMBER, ead from scored where scenario_name = 'baseline'",
     "ifrs9_stage": "select LOAN_SEQUENCE_NUMBER, scenario_name, ifrs9_stage from scored",
     "loan_ecl": "select LOAN_SEQUENCE_NUMBER, scenario_name, round(ecl, 4) as ecl from scored",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintara import schema as S
@@ -87,6 +87,11 @@ def event_order(reporting_date: Column, row_seq: Column) -> Column:
     return month * F.lit(1 << 53) + row_seq
 
 
+def with_event_order(rows: DataFrame) -> DataFrame:
+    """Add ``_order``, so that many ordered aggregates share one evaluation of it per row."""
+    return rows.withColumn("_order", event_order(F.col("REPORTING_DATE"), F.col("ROW_SEQ")))
+
+
 def last_known(value: Column, order: Column, where: Column | None = None) -> Column:
     """Aggregate: the last non-null ``value`` in ``order``, optionally among some rows."""
     known = value.isNotNull() if where is None else value.isNotNull() & where

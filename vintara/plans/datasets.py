@@ -70,8 +70,8 @@ def observations_and_labels(
         .withColumn("_age", computed)
         .drop("ORIGINATION_DATE")
     )
-    rows = reported.unionByName(anchored).where(F.col(S.LOAN).isNotNull())
-    order = L.event_order(F.col("REPORTING_DATE"), F.col("ROW_SEQ"))
+    rows = L.with_event_order(reported.unionByName(anchored).where(F.col(S.LOAN).isNotNull()))
+    order = F.col("_order")
 
     def first_at(a: int) -> list[Column]:
         here = F.col("_age") == a

@@ -28,8 +28,8 @@ def servicing_history(servicing: DataFrame) -> DataFrame:
     a sort, so it is folded by itself over the few zero-balance rows; both results are
     partitioned by loan and join in place.
     """
-    rows = servicing.where(F.col(S.LOAN).isNotNull())
-    order = L.event_order(F.col("REPORTING_DATE"), F.col("ROW_SEQ"))
+    rows = L.with_event_order(servicing.where(F.col(S.LOAN).isNotNull()))
+    order = F.col("_order")
     code = L.last_known(F.col("ZERO_BALANCE_CODE"), order).alias("ZERO_BALANCE_CODE")
     codes = rows.where(F.col("IS_ZERO_BALANCE")).groupBy(S.LOAN).agg(code)
     return _numeric_history(rows, order).join(codes, S.LOAN, "left")

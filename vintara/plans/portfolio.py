@@ -28,8 +28,10 @@ def latest_per_loan(
     """
     if mode not in ("composite", "row"):
         raise ValueError(f"unknown snapshot mode {mode!r}")
-    order = L.event_order(F.col("REPORTING_DATE"), F.col("ROW_SEQ"))
-    values = [c for c in rows.columns if c not in (S.LOAN, "ROW_SEQ")]
+    values = [c for c in rows.columns if c not in (S.LOAN, "ROW_SEQ", "_order")]
+    if "_order" not in rows.columns:
+        rows = L.with_event_order(rows)
+    order = F.col("_order")
 
     def latest(name: str) -> Column:
         value = F.col(name)
@@ -53,7 +55,7 @@ def active_portfolio(
     prepared = kept.withColumn(
         "DLQ_STATUS_INT", L.delinquency_as_int(F.col("CURRENT_LOAN_DELINQUENCY_STATUS"))
     )
-    order = L.event_order(date, F.col("ROW_SEQ"))
+    prepared, order = L.with_event_order(prepared), F.col("_order")
     known_age = F.when(reported.isNotNull() | date.isNotNull(), order) if mode == "composite" else order
     pieces = [F.max_by(reported, known_age).alias("_age"), F.max_by(date, known_age).alias("_age_date")]
     active = latest_per_loan(prepared, mode, pieces).where(~F.col("IS_ZERO_BALANCE"))
@@ -134,19 +136,8 @@ def _pd(rows: DataFrame, model: Scorer | None) -> DataFrame:
             F.col("unemployment_rate"),
         )
         return rows.withColumn("pd_pred", clip(pd, 0.0, 1.0))
-    added = []
-    features = rows
-    if "LOAN_AGE_AT_OBS" not in rows.columns:
-        age = next((c for c in ("LOAN_AGE_MONTHS", "LOAN_AGE") if c in rows.columns), None)
-        features = features.withColumn("LOAN_AGE_AT_OBS", F.col(age) if age else F.lit(None).cast("int"))
-        added.append("LOAN_AGE_AT_OBS")
-    if "RATE_SPREAD" not in rows.columns and "ORIGINAL_INTEREST_RATE" in rows.columns:
-        # The spread describes the loan at origination, so a rate shock must not move it.
-        spread = F.col("ORIGINAL_INTEREST_RATE") - F.col("_market_rate")
-        features = features.withColumn("RATE_SPREAD", spread)
-        added.append("RATE_SPREAD")
-    if "DLQ_STATUS_INT" not in rows.columns:
-        features = features.withColumn("DLQ_STATUS_INT", F.lit(0))
+    features = pd_features(rows)
+    added = [c for c in features.columns if c not in rows.columns]
     scored = model(features)
     return scored.withColumn("pd_pred", clip(F.col("pd_pred"), 0.0, 1.0)).drop(*added)
 
@@ -155,21 +146,45 @@ def _lgd(rows: DataFrame, model: Scorer | None) -> DataFrame:
     if model is None:
         lgd = R.heuristic_lgd(col_or(rows, "ORIGINAL_LTV", None), F.col("hpi_yoy_chg"))
         return rows.withColumn("lgd_pred", clip(lgd, 0.0, 1.0))
-    age = next(
-        (c for c in ("LOAN_AGE_AT_DEFAULT", "LOAN_AGE_MONTHS", "LOAN_AGE") if c in rows.columns), None
-    )
-    features = {
-        "unemployment_rate_at_default": F.col("unemployment_rate"),
-        "hpi_yoy_chg_at_default": F.col("hpi_yoy_chg"),
-        "rate_at_default": F.col("mortgage_rate_30y"),
-        "fsi_at_default": F.col("financial_stress_idx"),
-        "LOAN_AGE_AT_DEFAULT": F.col(age) if age else F.lit(24.0),
-    }
-    scored = model(rows.withColumns(features))
-    added = [c for c in features if c not in rows.columns]
+    features = lgd_features(rows)
+    added = [c for c in features.columns if c not in rows.columns]
+    scored = model(features)
     return scored.withColumn("lgd_pred", clip(F.col("lgd_pred"), 0.0, 1.0)).drop(*added)
 
 
+def pd_features(rows: DataFrame) -> DataFrame:
+    """Rows with macro values completed by the columns a default model expects."""
+    added = {}
+    if "LOAN_AGE_AT_OBS" not in rows.columns:
+        added["LOAN_AGE_AT_OBS"] = _first_present(rows, ("LOAN_AGE_MONTHS", "LOAN_AGE"), None)
+    if "RATE_SPREAD" not in rows.columns and "ORIGINAL_INTEREST_RATE" in rows.columns:
+        # The spread describes the loan at origination, so a rate shock must not move it.
+        added["RATE_SPREAD"] = F.col("ORIGINAL_INTEREST_RATE") - F.col("_market_rate")
+    if "DLQ_STATUS_INT" not in rows.columns:
+        added["DLQ_STATUS_INT"] = F.lit(0)
+    return rows.withColumns(added) if added else rows
+
+
+def lgd_features(rows: DataFrame) -> DataFrame:
+    """Rows with macro values completed by the columns a loss model expects."""
+    ages = ("LOAN_AGE_AT_DEFAULT", "LOAN_AGE_MONTHS", "LOAN_AGE")
+    return rows.withColumns(
+        {
+            "unemployment_rate_at_default": F.col("unemployment_rate"),
+            "hpi_yoy_chg_at_default": F.col("hpi_yoy_chg"),
+            "rate_at_default": F.col("mortgage_rate_30y"),
+            "fsi_at_default": F.col("financial_stress_idx"),
+            "LOAN_AGE_AT_DEFAULT": _first_present(rows, ages, 24.0),
+        }
+    )
+
+
+def _first_present(rows: DataFrame, names: tuple[str, ...], default: float | None) -> Column:
+    """The first of the columns the frame has, else a constant."""
+    name = next((c for c in names if c in rows.columns), None)
+    return F.col(name) if name else F.lit(default).cast("double")
+
+
 # Segment name -> column of the scored rows.
 SEGMENTS = {
     "state": "PROPERTY_STATE",
