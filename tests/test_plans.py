@@ -61,3 +61,30 @@ def test_servicing_is_reduced_before_the_join(spark, sf_dir, name, no_broadcast)
                 aggregates.append(i)
     # The first join is the fixture's own (line items to orders); the next one is to loans.
     assert aggregates and aggregates[0] > joins[1]
+
+
+def test_panel_join_splits_a_hot_loan(spark, no_broadcast):
+    """With a loan holding most rows, AQE splits its partition and the panel stays whole."""
+    from tests.helpers import origination, servicing
+    from vintara.plans import panel
+
+    hot = [("A", i, "2012-01", 12, "0", None, float(i)) for i in range(1, 4001)]
+    rest = [(f"L{i}", i, "2012-01", 12, "0", None, 5.0) for i in range(2000)]
+    loans = ["A", *[f"L{i}" for i in range(2000)]]
+    orig = origination(spark, [(k, 2011, "2011-01", 700, 80.0, 30.0, 1.0, "NY", "FRM") for k in loans])
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1000",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = panel.loan_panel(servicing(spark, [*hot, *rest]).repartition(8), orig)
+        assert len(rows.collect()) == 6000
+        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
