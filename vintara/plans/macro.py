@@ -96,11 +96,11 @@ def default_baseline(spark: SparkSession) -> DataFrame:
 
 
 def at_month(macro: DataFrame, names: dict[str, str]) -> DataFrame:
-    """Macro columns renamed for a join on a month column.
+    """Macro columns renamed for a join on a month column, with a broadcast hint.
 
-    Carries a broadcast hint: the table has one row per calendar month (168 by default), fixed
-    by the calendar and independent of loan data.
+    The size is bounded by construction, whatever table is passed: one row per month of the
+    years 1990 to 2075, at most 1032 rows.
     """
-    month = F.trunc("date", "MM")
-    columns = [(month if c == "date" else F.col(c)).alias(alias) for c, alias in names.items()]
-    return F.broadcast(macro.select(*columns))
+    known = macro.where(F.year("date").between(1990, 2075))
+    values = [F.max(c).alias(alias) for c, alias in names.items() if c != "date"]
+    return F.broadcast(known.groupBy(F.trunc("date", "MM").alias(names["date"])).agg(*values))
