@@ -789,7 +789,7 @@ def lgd_markers(spark, sf_dir):
 
 
 @query
-def top15_states(spark, sf_dir):
+def top_states_by_loans(spark, sf_dir):
     return eda.top_states_by_loans(orig(spark, sf_dir))
 
 

@@ -332,7 +332,7 @@ BODIES = {
     "histogram_lgd": _histogram("outcomes", "lgd_observed", 40),
     "ltv_markers": "select round(avg(ORIGINAL_LTV), 6) as mean_value, round(median(ORIGINAL_LTV), 6) as median_value from orig",
     "lgd_markers": "select round(avg(lgd_observed), 6) as mean_value, round(median(lgd_observed), 6) as median_value from outcomes",
-    "top15_states": "select PROPERTY_STATE, count(*) as loans from orig where PROPERTY_STATE is not null group by 1 order by 2 desc, 1 limit 15",
+    "top_states_by_loans": "select PROPERTY_STATE, count(*) as loans from orig where PROPERTY_STATE is not null group by 1 order by 2 desc, 1 limit 15",
     "portfolio_summary": "select count(*) as total_loans, round(sum(ORIGINAL_UPB), 2) as total_upb, round(avg(CREDIT_SCORE), 6) as avg_fico, round(avg(ORIGINAL_LTV), 6) as avg_ltv, round(avg(ORIGINAL_INTEREST_RATE), 6) as avg_rate, round(avg(cast(defaulted as int)), 6) as default_rate, round(avg(cast(prepaid as int)), 6) as prepay_rate, round(avg(lgd_observed), 6) as mean_lgd, round(avg(case when PRODUCT_TYPE = 'FRM' then 1 else 0 end), 6) as frm_share, round(avg(case when LOAN_PURPOSE = 'C' then 1 else 0 end), 6) as purchase_share from outcomes",
     "score_applications": "select * from app_scored",
     "request_violations": "select application_id, violations from checked_apps where violations <> ''",
