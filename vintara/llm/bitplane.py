@@ -141,7 +141,7 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int, bits:
             if writer is None:
                 files, path = open_folder(folder)
                 files.create_dir(path, recursive=True)
-                writer = PlaneWriter(files.open_output_stream(f"{path}/{name}"), bits)
+                writer = PlaneWriter(files.open_output_stream(f"{path}/{name}", compression=None), bits)
             counts = []
             for found in encoder.encode(batch["text"]):
                 ids = np.append(np.frombuffer(found, "<u4"), np.uint32(end_id))

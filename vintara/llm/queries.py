@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from vintara.llm import bitplane, hilbert, packing
+from vintara.llm import bitplane, bottomk, bytebpe, crf, hilbert, packing, repetition, warc
 
 QUERIES = {
     f.__name__: f
     for f in (
+        crf.op3_crf_language,
         bitplane.op4_bitplane_ids,
         packing.op5_packing,
+        bytebpe.op6_byte_bpe,
+        warc.op7_warc,
+        repetition.op8_suffix_array_repetition,
+        bottomk.op9_bottomk_fingerprints,
         hilbert.op10_hilbert_shards,
     )
 }
