@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from vintara.llm import bitplane, bottomk, bytebpe, crf, hilbert, packing, repetition, warc
+from vintara.llm import bitplane, bottomk, bytebpe, crf, hilbert, jaccard, packing, pii, repetition, warc
 
 QUERIES = {
     f.__name__: f
     for f in (
+        jaccard.op1_jaccard_join,
+        pii.op2_pii,
         crf.op3_crf_language,
         bitplane.op4_bitplane_ids,
         packing.op5_packing,
