@@ -223,7 +223,7 @@ def token_sets(docs: DataFrame, wanted: DataFrame, levels: np.ndarray) -> DataFr
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` (doc_id, text) to rows doc_id, n_shingles, component_id.
+    """``docs`` (doc_id, text) to rows doc_id, n_shingles, component_id, label and tie (text hash).
 
     Equal sets are one node. A shingle in the prefixes of several nodes links them as candidates:
     first each node with the smallest node of that shingle, so that a shingle of very many nodes
@@ -267,11 +267,28 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     lows = classes.select("node", "low").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     component = lows.groupBy("label").agg(F.min("low").alias("component_id"))
-    of_node = lows.join(component, "label").select("node", "component_id")
-    known = rows.where("n > 0").select("doc_id", F.col("n").alias("n_shingles"), "node").join(of_node, "node").drop("node")
-    empty = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return known.unionByName(empty)
+    of_node = lows.join(component, "label").select("node", "component_id", "label")
+    size = F.col("n").alias("n_shingles")
+    known = rows.where("n > 0").select("doc_id", size, "node", "tie").join(of_node, "node")
+    empty = rows.where("n = 0").select("doc_id", size, "tie", F.col("doc_id").alias("component_id"), F.col("node").alias("label"))
+    return known.drop("node").unionByName(empty).select("doc_id", "n_shingles", "component_id", "label", "tie")
+
+
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One row of ``docs`` for each component: the smallest doc_id, of its texts the smallest hash.
+
+    Repeated rows are one. Rows without a shingle are alone, and all stay.
+    """
+    found = write_through(jaccard_components(docs.select("doc_id", "text"), percent), "component-rows")
+    first = found.where("label is not null and doc_id <=> component_id")
+    keys = first.groupBy("label").agg(F.min("tie").alias("kept_tie"), F.min("doc_id").alias("kept_id"))
+    tagged = docs.withColumn("kept_tie", F.xxhash64("text"))
+    of_key = F.expr("doc_id <=> kept_id") & (tagged["kept_tie"] == keys["kept_tie"])
+    kept = tagged.join(keys.drop("label"), of_key, "left_semi").dropDuplicates(["doc_id", "kept_tie"])
+    alone = tagged.where(~F.coalesce(F.col("text").rlike("[^ \\t-\\r]"), F.lit(False)))
+    return kept.unionByName(alone).drop("kept_tie")
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(read(spark, sf_dir, "documents", "doc_id", "text"))
+    found = jaccard_components(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id")
