@@ -24,10 +24,6 @@ from vintara.streaming import servicing as stream
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
 
-# Fewer trees than the library defaults: the learners are rows-only checks here.
-FEW_TREES_PD = training.PdSettings(boosting_rounds=8, boosting_depth=4, forest_trees=20, forest_depth=6, logistic_iterations=100)
-FEW_TREES_LGD = training.LgdSettings(boosting_rounds=8, boosting_depth=4)
-
 
 def query(fn: Query) -> Query:
     def configured(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +88,8 @@ def heuristic_scores(spark, sf_dir, dataset, label):
     rows = portfolio.expected_credit_loss(rows)
     return rows.select(
         S.LOAN, "split", F.col(label).alias("label"),
-        F.round("pd_pred", 6).alias("score"), F.round("lgd_pred", 6).alias("severity"),
+        # The last digits of a double differ between engines; whole ranks must not.
+        F.round("pd_pred", 12).alias("score"), F.round("lgd_pred", 12).alias("severity"),
     )
 
 
@@ -214,6 +211,11 @@ def clean_svcg_flags(spark, sf_dir):
 YEAR_FOLDER = "VINTAGE_YEAR={year}"
 
 
+def _years(rows: DataFrame) -> list[int]:
+    """The vintage years that rows have."""
+    return sorted(r[0] for r in rows.select("VINTAGE_YEAR").distinct().collect() if r[0] is not None)
+
+
 def _write_text_years(df: DataFrame, columns: tuple[str, ...], path: str) -> None:
     """Write raw rows as pipe-separated text, one folder per vintage year."""
     line = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in columns])
@@ -225,7 +227,7 @@ def io_orig_text(spark, sf_dir):
     path = scratch_path(spark, "orig-text")
     raw = D.raw_origination(spark, sf_dir)
     _write_text_years(raw, S.ORIGINATION_COLUMNS, path)
-    text = loan_files.read_origination(spark, path, S.VINTAGE_YEARS, YEAR_FOLDER)
+    text = loan_files.read_origination(spark, path, _years(raw), YEAR_FOLDER)
     return _wide_floats(C.clean_origination(text)).select("VINTAGE_YEAR", *S.ORIGINATION_COLUMNS, "ORIGINATION_DATE")
 
 
@@ -234,7 +236,7 @@ def io_svcg_text(spark, sf_dir):
     path = scratch_path(spark, "svcg-text")
     raw = D.raw_servicing(spark, sf_dir)
     _write_text_years(raw, S.SERVICING_COLUMNS, path)
-    text = loan_files.read_servicing(spark, path, S.VINTAGE_YEARS, YEAR_FOLDER)
+    text = loan_files.read_servicing(spark, path, _years(raw), YEAR_FOLDER)
     cleaned = C.clean_servicing(text)
     return cleaned.select(
         "VINTAGE_YEAR", *S.SERVICING_COLUMNS, "REPORTING_DATE", "ZERO_BALANCE_DATE",
@@ -303,7 +305,7 @@ def io_years_subset(spark, sf_dir):
 def combine_years(spark, sf_dir):
     """Union of the per-year tables."""
     rows = orig(spark, sf_dir)
-    per_year = [rows.where(F.col("VINTAGE_YEAR") == y) for y in S.VINTAGE_YEARS]
+    per_year = [rows.where(F.col("VINTAGE_YEAR") == y) for y in _years(rows)]
     combined = tables.combine_years([per_year[0].withColumn("EXTRA", F.lit("x")), *per_year[1:]])
     return combined.select(S.LOAN, "VINTAGE_YEAR", "ORIGINAL_UPB", "EXTRA")
 
@@ -477,9 +479,9 @@ def split_counts(spark, sf_dir):
 
 @query
 def split_fallback(spark, sf_dir):
-    """Early vintages only: validation comes out of training, test repeats validation."""
-    early = pd12(spark, sf_dir).where(F.col("VINTAGE_YEAR") <= 2013)
-    rows = datasets.fill_empty_splits(datasets.with_split(early))
+    """All vintages as training years: validation comes out of training, test repeats validation."""
+    years = {"train": [y for part in S.SPLIT_YEARS.values() for y in part]}
+    rows = datasets.fill_empty_splits(datasets.with_split(pd12(spark, sf_dir), years))
     return rows.groupBy("split").agg(F.count("*").alias("loans"))
 
 
@@ -708,7 +710,8 @@ def _ranking(spark, sf_dir, name):
 
 @query
 def roc_points(spark, sf_dir):
-    return M.roc_points(pd_scores(spark, sf_dir), ["split"], "label", "score")
+    points = M.roc_points(pd_scores(spark, sf_dir), ["split"], "label", "score")
+    return points.drop("all_pos", "all_neg")
 
 
 @query
@@ -852,14 +855,14 @@ def scale_stats(spark, sf_dir):
 
 def _pd_model_scores(spark, sf_dir, kinds, keep=None):
     data = write_through(pd12(spark, sf_dir), "pd-12m")
-    models = training.train_pd_models(data, FEW_TREES_PD, kinds)
+    models = training.train_pd_models(data, None, kinds)
     models = {k: m for k, m in models.items() if keep is None or k in keep}
     return training.scored_splits(models, data, training.predict_pd, "pd_pred", "PD_TARGET")
 
 
 def _lgd_model_scores(spark, sf_dir, kinds):
-    data = write_through(lgd_rows(spark, sf_dir), "lgd")
-    models = training.train_lgd_models(data, FEW_TREES_LGD, kinds)
+    data = write_through(training.lgd_split(lgd_rows(spark, sf_dir)), "lgd")
+    models = training.train_lgd_models(data, None, kinds)
     return training.scored_splits(models, data, training.predict_lgd, "lgd_pred", "lgd_observed")
 
 
@@ -906,7 +909,7 @@ def lgd_model_metrics(spark, sf_dir):
 @query
 def top_feature_importance(spark, sf_dir):
     data = write_through(pd12(spark, sf_dir), "pd-12m")
-    model = training.train_pd_models(data, FEW_TREES_PD, ("boosted",))["boosted_raw"]
+    model = training.train_pd_models(data, kinds=("boosted",))["boosted_raw"]
     train = datasets.with_split(data).where("split = 'train'")
     table = training.importance_table(train, model.stages[0], model.stages[1], S.PD_NUMERIC, S.PD_CATEGORICAL)
     return training.top_features(table)
@@ -918,8 +921,8 @@ def model_scenarios(spark, sf_dir):
     data = write_through(pd12(spark, sf_dir), "pd-12m")
     losses = write_through(lgd_rows(spark, sf_dir), "lgd")
     pd_path, lgd_path = scratch_path(spark, "pd-model"), scratch_path(spark, "lgd-model")
-    training.save_model(training.train_pd_models(data, FEW_TREES_PD, ("boosted",))["boosted"], pd_path)
-    training.save_model(training.train_lgd_models(losses, FEW_TREES_LGD, ("boosted",))["boosted"], lgd_path)
+    training.save_model(training.train_pd_models(data, kinds=("boosted",))["boosted"], pd_path)
+    training.save_model(training.train_lgd_models(losses, kinds=("boosted",))["boosted"], lgd_path)
     pd_model, lgd_model = training.load_model(pd_path), training.load_model(lgd_path)
     with_models = portfolio.Scoring(
         lambda rows: training.predict_pd(pd_model, rows), lambda rows: training.predict_lgd(lgd_model, rows)

@@ -200,8 +200,8 @@ CTES = {
     "pd0": _pd_sql(0, 12),
     "lgd0": f"select * replace (case when liquidated and lgd_observed is not null then lgd_observed else {_clip('(cast(0.30 as double) + greatest(coalesce(ORIGINAL_LTV, 80) / 100.0 - cast(0.80 as double), 0))', '0.05', '0.90')} end as lgd_observed, coalesce(EAD, ORIGINAL_UPB) as EAD), case when liquidated and lgd_observed is not null then 'observed' else 'synthetic_ltv' end as lgd_source, date_trunc('month', ORIGINATION_DATE + to_days(cast(floor(coalesce(time_to_default_months, 0) * cast(30.44 as double)) as int))) as default_month from outcomes where defaulted",
     "lgd_rows": "select LOAN_SEQUENCE_NUMBER, VINTAGE_YEAR, lgd_observed, CREDIT_SCORE, ORIGINAL_LTV, ORIGINAL_CLTV, ORIGINAL_DTI, ORIGINAL_UPB, ORIGINAL_INTEREST_RATE, ORIGINAL_LOAN_TERM, OCC_STATUS, PROPERTY_TYPE, PROPERTY_STATE, LOAN_PURPOSE, MI_PCT, cast(coalesce(time_to_default_months, observed_months) as float) as LOAN_AGE_AT_DEFAULT, m.unemployment_rate as unemployment_rate_at_default, m.hpi_yoy_chg as hpi_yoy_chg_at_default, m.mortgage_rate_30y as rate_at_default, m.financial_stress_idx as fsi_at_default, EAD, lgd_source from lgd0 left join macro m on m.date = default_month where lgd_observed between 0 and 1 and EAD > 0",
-    "pd_scores": f"select case when VINTAGE_YEAR <= 2013 then 'train' when VINTAGE_YEAR = 2014 then 'valid' else 'test' end as split, PD_TARGET as label, round({_HPD.format(u='(select unemployment_rate from base)')}, 6) as score from pd12 where VINTAGE_YEAR between 2010 and 2016",
-    "lgd_scores": f"select case when VINTAGE_YEAR <= 2013 then 'train' when VINTAGE_YEAR = 2014 then 'valid' else 'test' end as split, lgd_observed as label, round({_hlgd('(select hpi_yoy_chg from base)')}, 6) as severity from lgd_rows where VINTAGE_YEAR between 2010 and 2016",
+    "pd_scores": f"select case when VINTAGE_YEAR <= 2013 then 'train' when VINTAGE_YEAR = 2014 then 'valid' else 'test' end as split, PD_TARGET as label, round({_HPD.format(u='(select unemployment_rate from base)')}, 12) as score from pd12 where VINTAGE_YEAR between 2010 and 2016",
+    "lgd_scores": f"select case when VINTAGE_YEAR <= 2013 then 'train' when VINTAGE_YEAR = 2014 then 'valid' else 'test' end as split, lgd_observed as label, round({_hlgd('(select hpi_yoy_chg from base)')}, 12) as severity from lgd_rows where VINTAGE_YEAR between 2010 and 2016",
     "lgd_edges": "select split, q[1] as lo, q[11] as hi, unnest(q) as edge from (select split, quantile_cont(severity, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) as q from lgd_scores group by 1)",
     "by_score": "select split, score, cast(count(*) filter (where label = 1) as bigint) as pos, cast(count(*) filter (where label = 0) as bigint) as neg from pd_scores group by 1, 2",
     "roc": "select *, cast(sum(pos) over w as bigint) as cum_pos, cast(sum(neg) over w as bigint) as cum_neg from by_score window w as (partition by split order by score desc)",
@@ -283,6 +283,7 @@ BODIES = {
     "lgd_dataset": "select * replace (round(lgd_observed, 9) as lgd_observed) from lgd_rows",
     "lgd_synthetic": "select lgd_source, count(*) as loans, round(avg(lgd_observed), 6) as mean_lgd, round(sum(EAD), 2) as ead from lgd_rows group by 1",
     "split_counts": "select split, count(*) as loans from pd_scores group by 1",
+    "split_fallback": "select unnest(case when cast('0x' || substr(md5(LOAN_SEQUENCE_NUMBER), 1, 8) as bigint) % 5 = 4 then ['valid', 'test'] else ['train'] end) as split, count(*) as loans from pd12 where VINTAGE_YEAR between 2010 and 2016 group by 1",
     "class_weights": "select n as negatives, p as positives, round(n / greatest(p, 1), 6) as scale_pos_weight, round((n + p) / (2.0 * n), 6) as weight_negative, round((n + p) / (2.0 * p), 6) as weight_positive from (select count(*) filter (where label = 0) as n, count(*) filter (where label = 1) as p from pd_scores where split = 'train')",
     "dataset_summary": "select VINTAGE_YEAR, count(*) as loans, round(avg(PD_TARGET), 6) as default_rate from pd12 group by 1",
     "lgd_summary": "select round(avg(lgd_observed), 6) as mean_value, round(median(lgd_observed), 6) as median_value from lgd_rows",

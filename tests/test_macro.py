@@ -64,3 +64,23 @@ def test_baseline_without_observations_uses_defaults(spark):
     table = macro.macro_table(spark.createDataFrame([], SCHEMA))
     found = macro.baseline_macro(table).collect()[0]
     assert {k: found[k] for k in S.BASELINE_DEFAULTS} == S.BASELINE_DEFAULTS
+
+
+def test_order_within_a_month_has_no_bounds(spark):
+    day, rows = dt.date(2012, 3, 5), []
+    for seq, value in ((2**62, 5.0), (2**62 - 1, 9.0), (1, 7.0)):
+        rows.append(("UNRATE", day, seq, value))
+    rows.append(("UNRATE", dt.date(2012, 3, 4), 2**63 - 1, 1.0))
+    rows += [("MORTGAGE30US", day, 1, 3.0), ("MORTGAGE30US", day, 1, 4.0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert {r["series_id"]: r["value"] for r in macro.monthly_last(df).collect()} == {"UNRATE": 5.0, "MORTGAGE30US": 4.0}
+    assert {r["series_id"]: r["value"] for r in macro.monthly_last(df.drop("obs_seq")).collect()} == {"UNRATE": 9.0, "MORTGAGE30US": 4.0}
+
+
+def test_months_of_any_year_are_joined(spark):
+    rows = [(dt.date(y, 5, 1), float(y)) for y in (1888, 1988, 2080)]
+    table = spark.createDataFrame(rows, "date date, unemployment_rate double")
+    found = macro.at_month(table, {"date": "m", "unemployment_rate": "u"}).collect()
+    assert {r["m"].year: r["u"] for r in found} == {1888: 1888.0, 1988: 1988.0, 2080: 2080.0}
+    with pytest.raises(Exception, match="several rows of one month"):
+        macro.at_month(table.union(table), {"date": "m", "unemployment_rate": "u"}).collect()

@@ -34,7 +34,7 @@ def group_arrays(rows, group):
 
 def test_running_totals(spark, scored, scored_rows):
     counts = scored.groupBy("g", "score").agg(F.count("*").alias("n"), F.sum("label").alias("p"))
-    found = running_totals(counts, ["g"], F.col("score").desc(), ["n", "p"]).collect()
+    found = running_totals(counts, ["g"], "score", ["n", "p"], descending=True).collect()
     for r in found:
         s, y = group_arrays(scored_rows, r["g"])
         assert (r["cum_n"], r["cum_p"]) == ((s >= r["score"]).sum(), y[s >= r["score"]].sum())
@@ -42,7 +42,7 @@ def test_running_totals(spark, scored, scored_rows):
 
 def test_running_totals_without_groups(spark):
     counts = spark.range(1000).select(F.col("id").alias("v"), F.lit(2).alias("n"))
-    found = running_totals(counts, [], F.col("v").asc(), ["n"]).collect()
+    found = running_totals(counts, [], "v", ["n"]).collect()
     assert all(r["cum_n"] == 2 * (r["v"] + 1) for r in found) and len(found) == 1000
 
 

@@ -1,10 +1,11 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from checks import catalog
 from vintara import schema as S
-from vintara.plans import pipeline
+from vintara.plans import pipeline, training
 from vintara.sources import driver_tables as D
 from vintara.sources import loan_files
 
@@ -32,6 +33,9 @@ def test_files_to_result_tables(spark, sf_dir, tmp_path):
     def table(name):
         return spark.read.parquet(f"{out}/{name}")
 
+    assert tuple(table("scoring").first()) == ("heuristic", "heuristic")
+    by_heuristic = table("kpi").where("scenario_name = 'baseline'").first()["total_ecl"]
+
     # De-duplicated loans, all loan-months, and every product written.
     kept = {(r[0], r[1]) for r in table("orig").select("VINTAGE_YEAR", S.LOAN).collect()}
     want = {(r[0], r[1]) for r in catalog.CATALOG["dedupe_first"](spark, sf_dir).select("VINTAGE_YEAR", S.LOAN).collect()}
@@ -52,6 +56,28 @@ def test_files_to_result_tables(spark, sf_dir, tmp_path):
     assert all(len(d["by_ifrs9_stage"]) <= 3 and d["total_ecl"] > 0 for d in documents)
     assert table("vintage_curves").count() > 0 and table("segments").count() > 0
 
+    # Training is a stage; the portfolio then uses its models.
+    pipeline.train_models(
+        spark, out,
+        training.PdSettings(boosting_rounds=4, boosting_depth=3, forest_trees=5, forest_depth=3, forest_min_leaf=5),
+        training.LgdSettings(boosting_rounds=4, boosting_depth=3),
+    )
+    pipeline.run_portfolio(spark, out)
+    assert tuple(table("scoring").first()) == ("model", "model")
+    assert table("kpi").where("scenario_name = 'baseline'").first()["total_ecl"] != by_heuristic
+    judged = {(r["model"], r["split"]) for r in table("pd_metrics").collect()}
+    assert judged == {(m, s) for m in ("logit", "boosted", "boosted_raw", "forest") for s in ("valid", "test")}
+    assert {(r["model"], r["split"]) for r in table("lgd_metrics").collect()} == {(m, s) for m in ("ridge", "boosted") for s in ("valid", "test")}
+    assert {r["split"] for r in table("lgd_calibration").collect()} == {"valid", "test"}
+    for kind in ("pd", "lgd"):
+        assert abs(table(f"{kind}_importance").agg(F.sum("importance")).first()[0] - 1) < 1e-6
+    metrics = [json.loads(r["value"]) for r in spark.read.text(f"{out}/metrics_json").collect()]
+    assert len(metrics) == 12
+    for part in (tmp_path / "out" / "models" / "pd" / "metadata").glob("*part-*"):
+        part.unlink() if part.name.startswith(".") else part.write_text("not json")
+    with pytest.raises(Exception):  # noqa: B017  a damaged model is an error, not a missing one
+        training.saved_scoring(spark, f"{out}/models")
+
 
 def test_ingest_is_idempotent_per_year(spark, sf_dir, tmp_path):
     raw, out = tmp_path / "raw", str(tmp_path / "out")

@@ -1,6 +1,11 @@
+import math
+import random
+
 import numpy as np
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseVector
 from pyspark.sql import functions as F
 
 from vintara import schema as S
@@ -167,3 +172,27 @@ def test_scenarios_with_trained_models(spark, models, lgd_models):
     portfolio.expected_credit_loss(rows, portfolio.Scoring(lambda r: seen.append(r) or r.withColumn("pd_pred", F.lit(0.1)), None))
     spreads = {round(r["RATE_SPREAD"], 6) for r in seen[0].collect()}
     assert spreads == {1.35} and {r["LOAN_AGE_AT_OBS"] for r in seen[0].collect()} == {12, 3}
+
+
+def test_best_round_waits():
+    assert training.best_round([3.0, 2.0, 2.5, 2.4, 1.0], 2) == (2, True)
+    assert training.best_round([3.0, 2.0, 2.5, 1.0, 1.1], 2) == (4, False)
+    assert training.best_round([1.0], 5) == (1, False)
+
+
+def test_boosting_uses_many_trees(spark):
+    """Several rounds are better on validation rows than one, and than the constant prediction."""
+    draw = random.Random(4)
+    rows = []
+    for i in range(1500):
+        x, y = draw.random(), draw.random()
+        p = 0.05 + 0.8 * (x > 0.5) * (y > 0.3) + 0.1 * (y < 0.1)
+        rows.append((DenseVector([x, y]), int(draw.random() < p), 1.0, "train" if i % 3 else "valid"))
+    df = spark.createDataFrame(rows, ["features", "PD_TARGET", "_w", "split"])
+    train, valid = (df.where(F.col("split") == s).coalesce(1).cache() for s in ("train", "valid"))
+    learner = GBTClassifier(labelCol="PD_TARGET", weightCol="_w", maxDepth=3, stepSize=0.2, seed=1)
+    model = training.fit_boosted(learner, train, valid, 24, 4, lambda m, v: m.evaluateEachIteration(v))
+    losses = model.evaluateEachIteration(valid)
+    share = valid.agg(F.avg("PD_TARGET")).first()[0]
+    constant = -2 * (share * math.log(share) + (1 - share) * math.log(1 - share))
+    assert model.getNumTrees > 1 and losses[-1] < losses[0] and losses[-1] < constant

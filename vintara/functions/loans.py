@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 from vintara import schema as S
 from vintara.functions.nullsafe import clip, flag, ratio, to_number
 
+# Stands for the month of an undated record; every real month is below.
+UNDATED = 9_999_999
+
 
 def delinquency_status(c: Column) -> Column:
     return F.upper(F.trim(c))
@@ -79,12 +83,13 @@ def realised_lgd(
 def event_order(reporting_date: Column, row_seq: Column) -> Column:
     """Order of a loan's records: by month with undated last, then by file position.
 
-    One long: months since 1990 above 53 bits of ROW_SEQ, which must lie in [0, 2^53). A single
-    long keeps the ordered aggregates in hash aggregation; a struct would force a sort.
+    One decimal: the month above 30 digits of ROW_SEQ, so that neither months nor positions
+    collide. Like a long, and unlike a struct, it keeps the ordered aggregates in hash
+    aggregation.
     """
-    months = F.year(reporting_date) * 12 + F.month(reporting_date) - 1990 * 12 - 1
-    month = F.coalesce(F.least(months, F.lit(1022)), F.lit(1023)).cast("long")
-    return month * F.lit(1 << 53) + row_seq
+    months = F.year(reporting_date) * 12 + F.month(reporting_date)
+    month = F.coalesce(months, F.lit(UNDATED)).cast("decimal(7,0)")
+    return (month * F.lit(Decimal(10**30)) + row_seq.cast("decimal(30,0)")).cast("decimal(38,0)")
 
 
 def with_event_order(rows: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,15 +91,19 @@ def add_event_flags(df: DataFrame) -> DataFrame:
 
 
 def keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """One row per key: the first in ``order``.
+    """One row per key: the first in ``order``, which differs between the rows of a key.
 
-    An aggregate rather than a ranking window: each task reduces its own rows before the
-    shuffle, so a key with very many copies (a blank id, say) never meets in one task.
+    Only keys and positions are aggregated, by hashing, and each task reduces its own rows
+    before the shuffle. Keys with several rows, few as a rule, then meet the whole rows in a
+    join whose way Spark chooses by their measured size; later copies drop out there. A key with
+    very many copies is one row on the small side, and skew handling splits the other.
     """
-    rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*rest), F.col(order)).alias("_row")
-    kept = df.groupBy(*keys).agg(first)
-    return kept.select(*[F.col(k) if k in keys else F.col(f"_row.{k}") for k in df.columns])
+    several = df.groupBy(*keys).agg(F.count("*").alias("_copies"), F.min(order).alias("_first"))
+    several = several.where(F.col("_copies") > 1).select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_first")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    marked = df.join(several, same, "left")
+    first = F.col("_first").isNull() | (F.col(order) == F.col("_first"))
+    return marked.where(first).select(*df.columns)
 
 
 def load_audit(df: DataFrame) -> DataFrame:

@@ -6,34 +6,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vintara.session import write_through
+# Parts of a group that are summed by themselves.
+SLICES = 200
 
 
 def running_totals(
-    counts: DataFrame, groups: list[str], order: Column, sums: list[str]
+    counts: DataFrame, groups: list[str], value: str, sums: list[str], descending: bool = False
 ) -> DataFrame:
-    """Running sum of ``sums`` per group, in ``order``, as columns ``cum_<name>``.
+    """Running sum of ``sums`` per group, by ``value``, as columns ``cum_<name>``; ``all_<name>`` is the whole.
 
-    A single window would put a whole group into one task. Instead rows are range-partitioned
-    on (group, order) into slices, each slice is summed, and every row gets the total of the
-    slices before its own plus a running sum inside the slice. The sliced rows are written once
-    so that both uses see the same slices. ``counts`` must hold one row per (group, order).
+    A single window would put a whole group into one task. Instead a group is cut into slices at
+    approximate quantiles of ``value``; a row's slice depends on its value only, so that all
+    uses agree, and how good the quantiles are changes sizes of slices but no result. Every row
+    gets the total of the slices before its own plus a running sum inside the slice. ``counts``
+    must hold one row per (group, value); ``groups`` have few values (splits, models, features).
     """
-    spark = counts.sparkSession
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sliced = write_through(
-        counts.repartitionByRange(slices, *[F.col(g) for g in groups], order).withColumn(
-            "_slice", F.spark_partition_id()
-        ),
-        "running-totals",
-    )
+    steps = [k / SLICES for k in range(1, SLICES)]
+    cuts = counts.groupBy(*groups).agg(F.percentile_approx(value, steps, 10 * SLICES).alias("_cuts"))
+    below = F.size(F.filter(F.array_distinct("_cuts"), lambda c: c < F.col(value)))
+    sliced = attach(counts, cuts, groups, ["_cuts"]).withColumn("_slice", below).drop("_cuts")
     keys = [*groups, "_slice"]
-    # At most one row per slice plus one per group boundary: small whatever the data size.
+    # At most SLICES rows per group: small whatever the data size.
     totals = sliced.groupBy(*keys).agg(*[F.sum(s).alias(f"_total_{s}") for s in sums])
-    earlier = W.partitionBy(*groups).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    in_group = W.partitionBy(*groups) if groups else W.partitionBy(F.lit(0))
+    place = F.col("_slice").desc() if descending else F.col("_slice")
+    earlier = in_group.orderBy(place).rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(
-        *keys, *[F.coalesce(F.sum(f"_total_{s}").over(earlier), F.lit(0)).alias(f"_before_{s}") for s in sums]
+        *keys,
+        *[F.coalesce(F.sum(f"_total_{s}").over(earlier), F.lit(0)).alias(f"_before_{s}") for s in sums],
+        *[F.sum(f"_total_{s}").over(in_group).alias(f"all_{s}") for s in sums],
     )
+    order = F.col(value).desc() if descending else F.col(value)
     within = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
     return (
         sliced.join(offsets, keys)
@@ -53,7 +56,7 @@ def exact_quantiles(
     counts = (
         df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("n"))
     )
-    return quantiles_of_counts(running_totals(counts, groups, F.col(value).asc(), ["n"]), groups, value, points)
+    return quantiles_of_counts(running_totals(counts, groups, value, ["n"]), groups, value, points)
 
 
 def quantiles_of_counts(
@@ -88,7 +91,7 @@ def quantiles_of_counts(
         lambda p: ((p["_low"] >= F.col("_from")) & (p["_low"] <= F.col("_to")))
         | ((p["_high"] >= F.col("_from")) & (p["_high"] <= F.col("_to"))),
     )
-    hits = _attach(spans, per_group, groups, ["_points"]).select(
+    hits = attach(spans, per_group, groups, ["_points"]).select(
         *groups, "_v", "_from", "_to", F.explode(hit).alias("_p")
     )
     low, high = F.max(F.when(covers_low, F.col("_v"))), F.max(F.when(covers_high, F.col("_v")))
@@ -115,7 +118,7 @@ def histogram(df: DataFrame, groups: list[str], value: str, bins: int) -> DataFr
         F.when(flat, F.col("_min") - 0.5).otherwise(F.col("_min")).alias("bin_from"),
         F.when(flat, F.col("_max") + 0.5).otherwise(F.col("_max")).alias("bin_to"),
     )
-    joined = _attach(counts, span, groups, ["bin_from", "bin_to"])
+    joined = attach(counts, span, groups, ["bin_from", "bin_to"])
     width = (F.col("bin_to") - F.col("bin_from")) / F.lit(float(bins))
     place = F.floor((F.col("_x") - F.col("bin_from")) / width)
     return (
@@ -125,11 +128,19 @@ def histogram(df: DataFrame, groups: list[str], value: str, bins: int) -> DataFr
     )
 
 
-def _attach(rows: DataFrame, facts: DataFrame, groups: list[str], names: list[str]) -> DataFrame:
-    """Add per-group facts to rows: a join on the group, or a scalar subquery without groups."""
-    if groups:
-        return rows.join(facts, groups)
-    record = rows.withColumn("_fact", facts.select(F.struct(*names)).scalar())
+def attach(rows: DataFrame, facts: DataFrame, groups: list[str], names: list[str]) -> DataFrame:
+    """Add per-group facts to rows as a scalar subquery; groups have few values.
+
+    With groups the scalar is a map by group, so that rows are not shuffled by a key of a few
+    values.
+    """
+    fact = F.struct(*names)
+    if not groups:
+        record = rows.withColumn("_fact", facts.select(fact).scalar())
+    else:
+        entry = F.struct(F.struct(*groups).alias("key"), fact.alias("fact"))
+        by_group = facts.agg(F.map_from_entries(F.collect_list(entry)).alias("m")).scalar()
+        record = rows.withColumn("_facts", by_group).withColumn("_fact", F.try_element_at("_facts", F.struct(*groups))).drop("_facts")
     return record.withColumns({n: F.col(f"_fact.{n}") for n in names}).drop("_fact")
 
 

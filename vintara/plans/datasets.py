@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -105,7 +106,11 @@ def pd_datasets(
     servicing: DataFrame, origination: DataFrame, macro: DataFrame
 ) -> dict[str, DataFrame]:
     """The three standard datasets over one shared reduction of the servicing rows."""
-    base = observations_and_labels(servicing, origination, PD_DATASETS)
+    return pd_datasets_of(observations_and_labels(servicing, origination, PD_DATASETS), origination, macro)
+
+
+def pd_datasets_of(base: DataFrame, origination: DataFrame, macro: DataFrame) -> dict[str, DataFrame]:
+    """The three standard datasets from their shared reduction, written or not."""
     return {
         name: _pd_dataset(base, origination, macro, name, age)
         for name, (age, _) in PD_DATASETS.items()
@@ -163,11 +168,12 @@ def lgd_dataset(outcomes: DataFrame, macro: DataFrame) -> DataFrame:
     return select_available(joined, _LGD_COLUMNS)
 
 
-def with_split(df: DataFrame) -> DataFrame:
-    """Tag rows train / valid / test by vintage; other vintages are dropped."""
+def with_split(df: DataFrame, years: dict[str, Sequence[int]] | None = None) -> DataFrame:
+    """Tag rows train / valid / test by vintage (``years``); other vintages are dropped."""
+    years = S.SPLIT_YEARS if years is None else years
     tag = reduce(
         lambda chain, kv: chain.when(F.col("VINTAGE_YEAR").isin(*kv[1]), F.lit(kv[0])),
-        S.SPLIT_YEARS.items(),
+        years.items(),
         F,
     )
     return df.withColumn("split", tag.otherwise(F.lit(None).cast("string"))).where(
@@ -178,15 +184,16 @@ def with_split(df: DataFrame) -> DataFrame:
 def fill_empty_splits(df: DataFrame, key: str = S.LOAN) -> DataFrame:
     """Make sure validation and test rows exist.
 
-    Without validation rows, the last fifth of the training rows (by a hash of the key, so the
-    choice is stable and needs no sort) becomes validation. Without test rows, the validation
-    rows serve as test too.
+    Without validation rows, a fifth of the training rows (by the first digits of the key's md5,
+    so the choice is stable and needs no sort) becomes validation. Without test rows, the
+    validation rows serve as test too.
     """
     sizes = {r["split"]: r["count"] for r in df.groupBy("split").count().collect()}  # 3 rows
     if not sizes.get("train"):
         raise ValueError("no training rows")
     if not sizes.get("valid"):
-        held_out = (F.col("split") == "train") & (F.pmod(F.xxhash64(key), F.lit(5)) == 4)
+        digits = F.substring(F.md5(F.coalesce(F.col(key), F.lit("")).cast("binary")), 1, 8)
+        held_out = (F.col("split") == "train") & (F.conv(digits, 16, 10).cast("long") % 5 == 4)
         df = df.withColumn("split", F.when(held_out, F.lit("valid")).otherwise(F.col("split")))
     if not sizes.get("test"):
         test = df.where(F.col("split") == "valid").withColumn("split", F.lit("test"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,15 +19,17 @@ def _by_series() -> WindowSpec:
 def monthly_last(observations: DataFrame) -> DataFrame:
     """Last non-null observation of each series and month: (series_id, month, value).
 
-    Observations of one day follow ``obs_seq`` where the table has it, in [0, 2^43). Day and
-    sequence form one long, which keeps the aggregation a hash aggregation.
+    Observations of one day follow ``obs_seq`` where the table has it. Of observations that tie
+    (one day, no or one sequence number) the largest value counts. Day and sequence form one
+    decimal, which keeps the aggregation a hash aggregation.
     """
-    order = F.unix_date("obs_date").cast("long") * F.lit(1 << 43)
+    order = F.unix_date("obs_date").cast("decimal(18,0)") * F.lit(Decimal(10**19))
     if "obs_seq" in observations.columns:
-        order = order + F.col("obs_seq")
-    known = F.when(F.col("value").isNotNull(), order)
+        order = order + F.col("obs_seq").cast("decimal(19,0)")
+    known = observations.where(F.col("value").isNotNull())
     month = F.trunc("obs_date", "MM").alias("month")
-    return observations.groupBy("series_id", month).agg(F.max_by("value", known).alias("value"))
+    settled = known.groupBy("series_id", month, order.alias("_order")).agg(F.max("value").alias("value"))
+    return settled.groupBy("series_id", "month").agg(F.max_by("value", "_order").alias("value"))
 
 
 def calendar(spark: SparkSession, start: str = S.MACRO_START, end: str = S.MACRO_END) -> DataFrame:
@@ -96,11 +100,15 @@ def default_baseline(spark: SparkSession) -> DataFrame:
 
 
 def at_month(macro: DataFrame, names: dict[str, str]) -> DataFrame:
-    """Macro columns renamed for a join on a month column, with a broadcast hint.
+    """Macro columns renamed for a join on a month column; a month with several rows is an error.
 
-    The size is bounded by construction, whatever table is passed: one row per month of the
-    years 1990 to 2075, at most 1032 rows.
+    The table has a row per calendar month, so Spark's own size check broadcasts it.
     """
-    known = macro.where(F.year("date").between(1990, 2075))
-    values = [F.max(c).alias(alias) for c, alias in names.items() if c != "date"]
-    return F.broadcast(known.groupBy(F.trunc("date", "MM").alias(names["date"])).agg(*values))
+    once = F.count(F.lit(1)) == 1
+    broken = F.raise_error(F.lit("the macro table has several rows of one month"))
+
+    def value(name: str, alias: str):
+        return F.when(once, F.max(name)).otherwise(broken.cast("double")).alias(alias)
+
+    values = [value(c, alias) for c, alias in names.items() if c != "date"]
+    return macro.groupBy(F.trunc("date", "MM").alias(names["date"])).agg(*values)

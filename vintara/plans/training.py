@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -19,7 +20,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, IsotonicRegression, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintara import schema as S
@@ -27,6 +28,7 @@ from vintara.functions.nullsafe import columns_present
 from vintara.operators import metrics as M
 from vintara.operators.ordered import exact_quantiles
 from vintara.plans.datasets import fill_empty_splits, with_split
+from vintara.plans.portfolio import Scoring
 from vintara.session import write_through
 
 UNKNOWN = "UNK"  # fixed value: stands for a missing category
@@ -34,13 +36,14 @@ UNKNOWN = "UNK"  # fixed value: stands for a missing category
 
 @dataclass(frozen=True)
 class PdSettings:
-    """Fixed values as defaults; tests and driver runs may use fewer trees."""
+    """Fixed values as defaults. Boosting keeps the best round of at most ``boosting_rounds``."""
 
     inverse_penalty: float = 0.1
     logistic_iterations: int = 1000
     boosting_rounds: int = 500
     boosting_depth: int = 6
     boosting_step: float = 0.05
+    patience: int = 30
     forest_trees: int = 300
     forest_depth: int = 10
     forest_min_leaf: int = 50
@@ -50,12 +53,13 @@ class PdSettings:
 
 @dataclass(frozen=True)
 class LgdSettings:
-    """Fixed values as defaults; tests and driver runs may use fewer trees."""
+    """Fixed values as defaults. Boosting keeps the best round of at most ``boosting_rounds``."""
 
     ridge_alpha: float = 1.0
     boosting_rounds: int = 600
     boosting_depth: int = 5
     boosting_step: float = 0.03
+    patience: int = 40
     min_leaf: int = 20
     sampled_share: float = 0.8
     seed: int = 42
@@ -134,12 +138,12 @@ def top_features(importance: DataFrame, n: int = 20) -> DataFrame:
 def calibrate(
     preprocessor: PipelineModel, classifier: Transformer, valid: DataFrame, label: str
 ) -> PipelineModel:
-    """Isotonic calibration of a fitted classifier on validation rows.
+    """Isotonic calibration of a fitted classifier on encoded validation rows.
 
     The fitted preprocessor and classifier are reused as they are, so the calibrated pipeline
     keeps the training vocabulary even when validation lacks some categories.
     """
-    scored = classifier.transform(preprocessor.transform(valid)).select(label, "probability")
+    scored = classifier.transform(valid).select(label, "probability")
     isotonic = IsotonicRegression(
         featuresCol="probability", featureIndex=1, labelCol=label, predictionCol="pd_pred"
     )
@@ -155,12 +159,54 @@ def _weighted(df: DataFrame, label: str, weights: dict[int, float], name: str) -
     return df.withColumn(name, weight)
 
 
+def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
+    """Number of rounds with the least loss, and whether ``patience`` later ones were no better.
+
+    Rounds after such a stop don't count, also where their losses are known.
+    """
+    best = 0
+    for k, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = k
+        elif k - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def fit_boosted(learner, train: DataFrame, valid: DataFrame, rounds: int, patience: int, losses_of):
+    """Boosted model of the round that does best on ``valid``.
+
+    Fits some rounds, looks at the validation loss after each, and doubles the rounds until the
+    best is ``patience`` rounds old or ``rounds`` are reached; the best number is fitted again,
+    which gives the same first trees by the same seed. Without validation rows all rounds stay.
+    """
+    if valid.isEmpty():
+        return learner.copy({learner.maxIter: rounds}).fit(train)
+    size = min(rounds, 2 * patience)
+    while True:
+        model = learner.copy({learner.maxIter: size}).fit(train)
+        best, settled = best_round(losses_of(model, valid), patience)
+        if settled or size == rounds:
+            break
+        size = min(rounds, 2 * size)
+    return model if best == size else learner.copy({learner.maxIter: best}).fit(train)
+
+
+def _split(dataset: DataFrame, split) -> DataFrame:
+    """The dataset as it is when it is split already, so that all steps see one split."""
+    return dataset if "split" in dataset.columns else split(dataset)
+
+
+def lgd_split(dataset: DataFrame) -> DataFrame:
+    return fill_empty_splits(with_split(dataset))
+
+
 def train_pd_models(
     dataset: DataFrame,
     settings: PdSettings | None = None,
     kinds: tuple[str, ...] = ("logit", "boosted", "forest"),
 ) -> dict[str, PipelineModel]:
-    """Fit the default models on the training vintages.
+    """Fit the default models on the training rows of ``dataset``, by its ``split`` or by vintage.
 
     Keys: "logit", "forest", "boosted" (isotonic-calibrated on validation vintages) and
     "boosted_raw". The learners pass over the training rows many times, so the encoded rows are
@@ -168,7 +214,7 @@ def train_pd_models(
     """
     settings = settings or PdSettings()
     label = "PD_TARGET"
-    rows = with_split(dataset)
+    rows = _split(dataset, with_split)
     train = rows.where(F.col("split") == "train")
     preprocessor = fit_preprocessor(train, S.PD_NUMERIC, S.PD_CATEGORICAL)
     encoded = preprocessor.transform(rows.where(F.col("split").isin("train", "valid"))).select(
@@ -190,17 +236,15 @@ def train_pd_models(
         models["logit"] = PipelineModel([preprocessor, fitted])
     if "boosted" in kinds:
         learner = GBTClassifier(
-            labelCol=label, weightCol="_w", maxIter=settings.boosting_rounds,
-            maxDepth=settings.boosting_depth, stepSize=settings.boosting_step,
+            labelCol=label, weightCol="_w", maxDepth=settings.boosting_depth, stepSize=settings.boosting_step,
             subsamplingRate=settings.sampled_share, featureSubsetStrategy=str(settings.sampled_share),
-            validationIndicatorCol="_valid", seed=settings.seed,
+            seed=settings.seed,
         )
-        raised = {0: 1.0, 1: negatives / max(positives, 1.0)}
-        flagged = encoded.withColumn("_valid", F.col("split") == "valid")
-        fitted = learner.fit(_weighted(flagged, label, raised, "_w"))
-        valid = rows.where(F.col("split") == "valid")
+        raised = _weighted(encoded, label, {0: 1.0, 1: negatives / max(positives, 1.0)}, "_w")
+        parts = [raised.where(F.col("split") == name) for name in ("train", "valid")]
+        fitted = fit_boosted(learner, *parts, settings.boosting_rounds, settings.patience, lambda m, v: m.evaluateEachIteration(v))
         models["boosted_raw"] = PipelineModel([preprocessor, fitted])
-        models["boosted"] = calibrate(preprocessor, fitted, valid, label)
+        models["boosted"] = calibrate(preprocessor, fitted, encoded.where(F.col("split") == "valid"), label)
     if "forest" in kinds:
         learner = RandomForestClassifier(
             labelCol=label, weightCol="_w", numTrees=settings.forest_trees,
@@ -226,10 +270,10 @@ def train_lgd_models(
     settings: LgdSettings | None = None,
     kinds: tuple[str, ...] = ("ridge", "boosted"),
 ) -> dict[str, PipelineModel]:
-    """Fit the loss-severity models on the training vintages: "ridge" and "boosted"."""
+    """Fit the loss-severity models on the training rows, by ``split`` or by vintage: "ridge" and "boosted"."""
     settings = settings or LgdSettings()
     label = "lgd_observed"
-    rows = fill_empty_splits(with_split(dataset))
+    rows = _split(dataset, lgd_split)
     train = rows.where(F.col("split") == "train")
     preprocessor = fit_preprocessor(train, S.LGD_NUMERIC, S.LGD_CATEGORICAL)
     encoded = preprocessor.transform(rows.where(F.col("split").isin("train", "valid"))).select(
@@ -249,12 +293,12 @@ def train_lgd_models(
         models["ridge"] = PipelineModel([preprocessor, learner.fit(fit_rows), _clipped("_raw")])
     if "boosted" in kinds:
         learner = GBTRegressor(
-            labelCol=label, predictionCol="_raw", maxIter=settings.boosting_rounds,
-            maxDepth=settings.boosting_depth, stepSize=settings.boosting_step,
+            labelCol=label, predictionCol="_raw", maxDepth=settings.boosting_depth, stepSize=settings.boosting_step,
             subsamplingRate=settings.sampled_share, featureSubsetStrategy=str(settings.sampled_share),
-            minInstancesPerNode=settings.min_leaf, validationIndicatorCol="_valid", seed=settings.seed,
+            minInstancesPerNode=settings.min_leaf, seed=settings.seed,
         )
-        fitted = learner.fit(encoded.withColumn("_valid", F.col("split") == "valid"))
+        valid = encoded.where(F.col("split") == "valid")
+        fitted = fit_boosted(learner, fit_rows, valid, settings.boosting_rounds, settings.patience, lambda m, v: m.evaluateEachIteration(v, "squared"))
         models["boosted"] = PipelineModel([preprocessor, fitted, _clipped("_raw")])
     return models
 
@@ -272,7 +316,7 @@ def predict_lgd(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
 def scored_splits(models: dict[str, PipelineModel], dataset: DataFrame, predict, column: str, label: str) -> DataFrame:
     """Validation and test rows scored by every model: (loan, model, split, label, score)."""
-    rows = with_split(dataset).where(F.col("split").isin("valid", "test"))
+    rows = _split(dataset, with_split).where(F.col("split").isin("valid", "test"))
     parts = [
         predict(model, rows).select(
             S.LOAN, F.lit(name).alias("model"), "split", F.col(label).cast("double").alias("label"),
@@ -303,3 +347,23 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def load_if_saved(spark: SparkSession, path: str) -> PipelineModel | None:
+    """The model saved under ``path``, None if there is none; a damaged one is an error."""
+    try:
+        spark.read.text(f"{path}/metadata")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return load_model(path)
+
+
+def saved_scoring(spark: SparkSession, folder: str) -> Scoring:
+    """Scoring by the saved models of ``folder``, by the heuristic where one is missing."""
+    pd_model, lgd_model = (load_if_saved(spark, f"{folder}/{name}") for name in ("pd", "lgd"))
+    return Scoring(
+        None if pd_model is None else lambda rows: predict_pd(pd_model, rows),
+        None if lgd_model is None else lambda rows: predict_lgd(lgd_model, rows),
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -32,8 +34,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session (tests) may fall back to a temporary folder: a machine-local path
-    would be lost with its executor on a cluster.
+    Only a local session that names none (tests) gets a temporary folder, removed at its end: a
+    machine-local path would be lost with its executor on a cluster.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -45,7 +47,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 @cache
 def _local_folder(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix=f"vintara-{application_id}-")
+    folder = tempfile.mkdtemp(prefix=f"vintara-{application_id}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,17 +52,17 @@ def _read(
     return raw.select("*", year_of_file(name).alias("VINTAGE_YEAR"), row_sequence().alias("ROW_SEQ"))
 
 
-def row_sequence() -> Column:
-    """Position of a row within its file, as one long below 2^53.
+def row_sequence(split_start: Column | None = None) -> Column:
+    """Position of a row within its file, as one decimal.
 
-    High 28 bits: where the row's split starts, in 64 KB units (files up to 16 TB). Low 25 bits:
-    the generated id, whose low bits count rows within the task; a line has at least 31
-    separators, so a task would have to read 1 GB of text to run out. Holds for splits of 64 KB
-    and more; Spark's default is at least 4 MB.
+    Above: the byte where the row's split starts. Below, 13 digits: the generated id without its
+    task number, which counts the task's rows in reading order. Rows of one split have one task,
+    so the two order the rows of a file.
     """
-    split = F.shiftright(F.col("_metadata.file_block_start"), 16)
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 25) - 1))
-    return F.shiftleft(split, 25) + row
+    start = F.col("_metadata.file_block_start") if split_start is None else split_start
+    split = start.cast("decimal(17,0)")
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return (split * F.lit(Decimal(10**13)) + row.cast("decimal(13,0)")).cast("decimal(30,0)")
 
 
 def malformed_lines(

@@ -13,13 +13,14 @@ from vintara import schema as S
 def write_by_vintage(df: DataFrame, path: str, sort_by: tuple[str, ...] = ()) -> None:
     """Write one Parquet folder per vintage year; rerunning a year replaces only that year.
 
-    With ``sort_by``, rows are range-partitioned on (year, sort columns). Ranges over the full
-    sort key split a loan or year that holds a large share of the rows over several tasks,
-    which hashing on the loan would not, and the files carry tight min/max statistics.
+    Rows are rebalanced by year and, with ``sort_by``, its first column: the input runs once (a
+    range partitioning would run it twice, for its sample), and adaptive execution splits a
+    year or loan with a large share of the rows and joins small partitions, so that a year has
+    few files of even size. ``sort_by`` orders the rows of each file.
     """
+    keys = ["VINTAGE_YEAR", *sort_by]
+    df = df.hint("rebalance", *[F.col(k) for k in keys[:2]])
     if sort_by:
-        keys = ["VINTAGE_YEAR", *sort_by]
-        df = df.repartitionByRange(*[F.col(k).asc_nulls_last() for k in keys])
         df = df.sortWithinPartitions(*[F.col(k).asc_nulls_last() for k in keys])
     (
         df.write.mode("overwrite")

@@ -6,11 +6,12 @@ Cleaning needs no state, so the batch projection is applied to each micro-batch
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vintara import schema as S
 from vintara.operators.cleaning import clean_servicing
-from vintara.sources.loan_files import SERVICING_NAME, year_of_file
+from vintara.sources.loan_files import SERVICING_NAME, row_sequence, year_of_file
 
 
 def servicing_stream(
@@ -22,19 +23,29 @@ def servicing_stream(
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(f"{folder.rstrip('/')}/{name.format(year='*')}")
     )
-    return clean_servicing(raw.withColumn("VINTAGE_YEAR", year_of_file(name)))
+    tagged = raw.withColumns({"VINTAGE_YEAR": year_of_file(name), "SPLIT_START": F.col("_metadata.file_block_start")})
+    return clean_servicing(tagged)
 
 
 def append_servicing(
     cleaned: DataFrame, table: str, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
-    """Append cleaned rows to a Parquet table partitioned by vintage, exactly once per file."""
-    writer = (
-        cleaned.writeStream.format("parquet")
-        .option("path", table)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("VINTAGE_YEAR")
-        .outputMode("append")
-    )
+    """Append cleaned rows to a Parquet table partitioned by vintage and micro-batch.
+
+    Each row gets its file position ``ROW_SEQ``, as in a batch read, so that the table serves all
+    products. A micro-batch that is run again replaces its own partitions, so a file counts once.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        placed = batch.withColumn("ROW_SEQ", row_sequence(F.col("SPLIT_START"))).drop("SPLIT_START")
+        (
+            placed.withColumn("MICRO_BATCH", F.lit(number))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("VINTAGE_YEAR", "MICRO_BATCH")
+            .parquet(table)
+        )
+
+    writer = cleaned.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": "1 minute"}
     return writer.trigger(**trigger).start()
