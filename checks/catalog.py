@@ -866,6 +866,21 @@ def _lgd_model_scores(spark, sf_dir, kinds):
     return training.scored_splits(models, data, training.predict_lgd, "lgd_pred", "lgd_observed")
 
 
+def _in_range(scored: DataFrame) -> DataFrame:
+    """Which rows a model scored, with their labels, and whether each score lies in [0, 1]."""
+    return scored.select(S.LOAN, "model", "split", "label", F.coalesce(F.col("score").between(0, 1), F.lit(False)).alias("in_range"))
+
+
+@query
+def logit_scored_rows(spark, sf_dir):
+    return _in_range(_pd_model_scores(spark, sf_dir, ("logit",)))
+
+
+@query
+def ridge_scored_rows(spark, sf_dir):
+    return _in_range(_lgd_model_scores(spark, sf_dir, ("ridge",)))
+
+
 @query
 def logit_scores(spark, sf_dir):
     return _pd_model_scores(spark, sf_dir, ("logit",))

@@ -283,6 +283,8 @@ BODIES = {
     "lgd_dataset": "select * replace (round(lgd_observed, 9) as lgd_observed) from lgd_rows",
     "lgd_synthetic": "select lgd_source, count(*) as loans, round(avg(lgd_observed), 6) as mean_lgd, round(sum(EAD), 2) as ead from lgd_rows group by 1",
     "split_counts": "select split, count(*) as loans from pd_scores group by 1",
+    "logit_scored_rows": "select LOAN_SEQUENCE_NUMBER, 'logit' as model, case when VINTAGE_YEAR = 2014 then 'valid' else 'test' end as split, cast(PD_TARGET as double) as label, true as in_range from pd12 where VINTAGE_YEAR between 2014 and 2016",
+    "ridge_scored_rows": "select LOAN_SEQUENCE_NUMBER, 'ridge' as model, case when VINTAGE_YEAR = 2014 then 'valid' else 'test' end as split, cast(lgd_observed as double) as label, true as in_range from lgd_rows where VINTAGE_YEAR between 2014 and 2016",
     "split_fallback": "select unnest(case when cast('0x' || substr(md5(LOAN_SEQUENCE_NUMBER), 1, 8) as bigint) % 5 = 4 then ['valid', 'test'] else ['train'] end) as split, count(*) as loans from pd12 where VINTAGE_YEAR between 2010 and 2016 group by 1",
     "class_weights": "select n as negatives, p as positives, round(n / greatest(p, 1), 6) as scale_pos_weight, round((n + p) / (2.0 * n), 6) as weight_negative, round((n + p) / (2.0 * p), 6) as weight_positive from (select count(*) filter (where label = 0) as n, count(*) filter (where label = 1) as p from pd_scores where split = 'train')",
     "dataset_summary": "select VINTAGE_YEAR, count(*) as loans, round(avg(PD_TARGET), 6) as default_rate from pd12 group by 1",
