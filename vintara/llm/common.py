@@ -10,13 +10,14 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from vintara.session import scratch_path, write_through
 
-__all__ = ["FINE", "map_batches", "open_folder", "prepare", "read", "scratch_path", "write_through"]
+__all__ = ["FINE", "hashed_sample", "map_batches", "open_folder", "prepare", "read", "scratch_path", "write_through"]
 
 # Rows of an Arrow batch where a row holds a whole text: a batch of long texts stays small.
 FINE = 512
@@ -62,6 +63,20 @@ def map_batches(df: DataFrame, step: Step, schema: str) -> DataFrame:
     return df.mapInArrow(run, kind)
 
 
+def hashed_sample(df: DataFrame, keys: list[str], rows: int) -> list[Row]:
+    """About ``rows`` rows of ``df`` and no more, those with the smallest hash of ``keys``.
+
+    The share of hashes comes from the number of rows, so that what tasks send to the driver
+    stays about ``rows`` rows in all, however many tasks there are.
+    """
+    n = df.count()
+    if not n:
+        return []
+    share = min(1.0, (1.2 * rows + 20) / n)
+    some = df.withColumn("_hash", F.xxhash64(*keys)).where(F.col("_hash") <= F.lit(int(share * 2**64) - 2**63 - 1))
+    return sorted(some.collect(), key=lambda r: r["_hash"])[:rows]
+
+
 def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a folder given as a path or as a URI that Arrow knows."""
     if "://" in uri:

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintara.llm.common import Columns, map_batches, read
+from vintara.llm.common import Columns, hashed_sample, map_batches, read
 
 WORD = re.compile(r"[^\W\d_]+").findall
 UNDECIDED = "und"
@@ -248,8 +248,7 @@ def learn(docs: DataFrame, how: Training | None = None) -> Field | None:
     """
     how = how or Training()
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    sample = known.select("text", "lang", F.xxhash64("doc_id", "text").alias("h")).orderBy("h").limit(how.documents)
-    rows = sample.collect()
+    rows = hashed_sample(known.select("doc_id", "text", "lang"), ["doc_id", "text"], how.documents)
     return fit([r["text"] for r in rows], [r["lang"] for r in rows], how)
 
 

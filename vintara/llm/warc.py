@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintara.llm.common import Columns, map_batches, open_folder, read, scratch_path
+from vintara.llm.common import Columns, hashed_sample, map_batches, open_folder, read, scratch_path
 
 # Fixed values of the format: the magic number of the skippable frame that holds the dictionary,
 # the WARC version line, and the profile of a revisit of an identical payload.
@@ -85,8 +85,8 @@ def train_dictionary(pages: DataFrame) -> bytes:
     records. Too few or too uniform samples make a dictionary of their plain content.
     """
     html = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
-    order = F.xxhash64("page_id", "html").alias("h")
-    rows = pages.select("page_id", "url", F.substring(html, 1, SAMPLE_BYTES).alias("start"), order).orderBy("h").limit(SAMPLE_PAGES).collect()
+    starts = pages.select("page_id", "url", F.substring(html, 1, SAMPLE_BYTES).alias("start"))
+    rows = hashed_sample(starts, ["page_id", "url"], SAMPLE_PAGES)
     samples = [record(r["page_id"], r["url"], bytes(r["start"]), None, False) for r in rows]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
