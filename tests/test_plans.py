@@ -1,8 +1,10 @@
 """The physical plans that matter at scale."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.catalog import CATALOG
+from vintara.operators.ordered import running_totals
 
 
 def plan(spark, sf_dir, name):
@@ -88,3 +90,24 @@ def test_panel_join_splits_a_hot_loan(spark, no_broadcast):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_deduplication_aggregates_keys_only(spark, sf_dir):
+    text = plan(spark, sf_dir, "dedupe_first")
+    assert "SortAggregate" not in text and "partial_count" in text
+
+
+@pytest.mark.parametrize("name", ("auc", "roc_points", "lgd_summary", "decile_calibration"))
+def test_order_statistics_write_nothing(spark, sf_dir, name, monkeypatch):
+    """Running totals are one lazy plan over slices of values, no window over a whole group."""
+    monkeypatch.setattr("vintara.session.scratch_path", lambda *_: pytest.fail("wrote a file"))
+    text = plan(spark, sf_dir, name)
+    assert "_slice" in text and "rangepartitioning" not in text
+
+
+def test_hot_group_with_many_scores(spark):
+    """One group of 100 000 distinct scores: many slices, none with a large part of the rows."""
+    counts = spark.range(100_000).select(F.lit("g").alias("g"), (F.col("id") * 7919 % 100_003).cast("double").alias("v"), F.lit(1).alias("n"))
+    ranked = running_totals(counts, ["g"], "v", ["n"])
+    found = ranked.agg(F.max("cum_n"), F.min("all_n"), F.count_distinct("cum_n")).first()
+    assert tuple(found) == (100_000, 100_000, 100_000)
