@@ -118,9 +118,11 @@ def with_edited(docs: DataFrame) -> DataFrame:
         F.col("next_doc").alias("doc"), F.col("next_tie").alias("tie"),
         F.struct(F.col("doc").alias("doc"), F.col("tie").alias("tie")).alias("asker"), (F.col("n_chars") / 4).cast("int").alias("need"),
     )
-    given = texts.drop("doc_id", "n_chars").join(asked, ["doc", "tie"]).select(
+    # All columns of texts are taken along, so that both joins read one and the same shuffle of it.
+    head = F.substring("text", F.lit(1), F.col("need")).alias("head")
+    given = texts.join(asked, ["doc", "tie"]).select(
         F.col("asker.doc").alias("doc"), F.col("asker.tie").alias("tie"),
-        F.struct(F.substring("text", F.lit(1), F.col("need")).alias("head"), sketch(F.col("text")).alias("sketch")).alias("given"),
+        F.struct(head, sketch(F.col("text")).alias("sketch"), "doc_id", "n_chars").alias("given"),
     )
     # Repeated rows of the next document give the same; one is enough.
     given = given.groupBy("doc", "tie").agg(F.max("given").alias("given"))
