@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintara.llm.common import Columns, map_batches, read, write_through
@@ -24,9 +26,14 @@ BLOCKS = 128
 LEVEL_BITS = 6
 HASH_BITS = 64 - LEVEL_BITS
 # Bytes of text that are hashed at once, and the length from which words are hashed one by one.
-GROUP_BYTES = 4_000_000
+GROUP_BYTES = 1_000_000
 LONG_WORD = 32
 SUFFIX_DEPTH = 3
+# Turns in which a shingle's nodes meet a pivot, before all pairs of different components meet.
+PIVOT_TURNS = 2
+# Bits of the bitmap of wanted documents: for each of them, and at most (32 MB).
+BITMAP_BITS_EACH = 16
+MOST_BITMAP_BITS = 1 << 28
 
 BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -135,13 +142,18 @@ def with_prefixes(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -
     """For each row its set's size, identity (``node``, ``check``) and prefix in rare-first order.
 
     Sets that reach the threshold share a token of their prefixes. Within a task only the first of
-    equal sets carries its prefix, so that copies don't add to it.
+    equal sets carries its prefix, so that copies don't add to it. ``row`` numbers the rows, in
+    fewer digits than identities have; it holds for the stored result only.
     """
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         seen: set[int] = set()
+        row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            out: Columns = {"doc_id": batch["doc_id"], "tie": batch["tie"], "n": [], "node": [], "check": [], "prefix": []}
+            size = len(batch["text"])
+            out: Columns = {"row": list(range(row, row + size)), "doc_id": batch["doc_id"], "tie": batch["tie"]}
+            out |= {"n": [], "node": [], "check": [], "prefix": []}
+            row += size
             for hashes in shingle_sets(batch["text"]):
                 tokens = ordered_tokens(hashes, levels)
                 n = len(tokens)
@@ -154,7 +166,7 @@ def with_prefixes(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -
                     out[name].append(value)
             yield out
 
-    schema = "doc_id long, tie long, n long, node long, check long, prefix array<long>"
+    schema = "row long, doc_id long, tie long, n long, node long, check long, prefix array<long>"
     return map_batches(docs.select("doc_id", "text", F.xxhash64("text").alias("tie")), run, schema)
 
 
@@ -211,24 +223,84 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
 
 
 def token_sets(docs: DataFrame, wanted: DataFrame, levels: np.ndarray) -> DataFrame:
-    """Whole ordered sets (binary) of the nodes in ``wanted`` (node, doc, tie), from one document each."""
+    """Whole ordered sets (binary) of at least the nodes in ``wanted`` (node, doc, tie), by node.
+
+    ``wanted`` names a document of each node. A bitmap of the hashes of these documents goes to
+    the tasks, which form the sets of documents that it has as they read them, so that texts are
+    not shuffled. It has BITMAP_BITS_EACH bits a node, up to MOST_BITMAP_BITS; documents that it
+    has by chance give sets that no pair asks for, or a set once more.
+    """
+    n = wanted.count()
+    bits = min(MOST_BITMAP_BITS, max(1 << 15, 1 << (BITMAP_BITS_EACH * n).bit_length()))
+
+    def place(doc: str, tie: str) -> Column:
+        return F.pmod(F.xxhash64(doc, tie), F.lit(bits)) + 1
+
+    asked = wanted.select(place("doc", "tie").alias("place"))
+    blocks = asked.groupBy(F.bitmap_bucket_number("place").alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    bitmap = np.zeros((bits >> 15, 1 << 12), np.uint8)
+    for r in blocks.collect():  # at most MOST_BITMAP_BITS in all
+        bitmap[r["block"] - 1] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    bitmap = bitmap.reshape(-1)
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         for batch in batches:
-            sets = [ordered_tokens(h, levels).tobytes() for h in shingle_sets(batch["text"])]
-            yield {"node": batch["node"], "tokens": sets}
+            at = np.array(batch["place"], dtype=np.int64) - 1
+            hit = np.flatnonzero((bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
+            sets = [ordered_tokens(h, levels) for h in shingle_sets([batch["text"][k] for k in hit])]
+            sets = [t for t in sets if len(t)]
+            yield {"node": [set_identity(t)[0] for t in sets], "tokens": [t.tobytes() for t in sets]}
+
+    doc = F.coalesce("doc_id", F.lit(-(2**63)))
+    texts = docs.select("text", doc.alias("doc"), F.xxhash64("text").alias("tie")).select("text", place("doc", "tie").alias("place"))
+    return map_batches(texts, run, "node long, tokens binary")
+
+
+def fits(n: Column, pos: Column, other_n: Column, other_pos: Column, percent: int) -> Column:
+    """Length filter, and positional filter of two sets whose first common token is at these places."""
+    both = n + other_n
+    need = F.ceil(both * percent / (100 + percent))
+    return (F.least(n, other_n) * 100 >= F.greatest(n, other_n) * percent) & (F.least(n - pos, other_n - other_pos) >= need)
+
+
+def pivot_pairs(shared: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of each token's pivot, another one each turn, with its nodes of other labels.
+
+    A token of very many nodes gives as many pairs as nodes.
+    """
+    chance = F.xxhash64("node", F.lit(turn))
+    pivots = shared.groupBy("token").agg(F.min_by("node", chance).alias("node"))
+    heads = shared.join(pivots, ["token", "node"]).select(
+        "token", F.col("node").alias("a"), F.col("n").alias("pivot_n"), F.col("pos").alias("pivot_pos"), F.col("label").alias("pivot_label")
+    )
+    near = fits(F.col("n"), F.col("pos"), F.col("pivot_n"), F.col("pivot_pos"), percent)
+    met = shared.join(heads, "token").where((F.col("label") != F.col("pivot_label")) & near)
+    return met.select("a", F.col("node").alias("b")).distinct()
 
-    texts = docs.select("text", F.coalesce("doc_id", F.lit(-(2**63))).alias("doc"), F.xxhash64("text").alias("tie"))
-    return map_batches(texts.join(wanted, ["doc", "tie"]).select("node", "text"), run, "node long, tokens binary")
+
+def open_pairs(shared: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a token's nodes with different labels that pass the filters."""
+    a, b = shared.alias("a"), shared.alias("b")
+    near = fits(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), percent)
+    apart = (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label"))
+    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & apart & near)
+    return pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+
+
+def still_open(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of tokens whose nodes have several labels, with these labels."""
+    named = shared.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = named.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
+    return named.join(mixed.select("token"), "token", "left_semi")
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` (doc_id, text) to rows doc_id, n_shingles, component_id, label and tie (text hash).
 
-    Equal sets are one node. A shingle in the prefixes of several nodes links them as candidates:
-    first each node with the smallest node of that shingle, so that a shingle of very many nodes
-    gives as many pairs as nodes. Then the pairs that are left, of nodes in different components,
-    pass the length and positional filters inside the join. A pair is verified once in each step.
+    Equal sets are one node. A shingle in the prefixes of several nodes links them as candidates
+    where the length and positional filters let them: for some turns each node with one pivot of
+    the shingle only, so that a shingle of very many nodes gives as many pairs as nodes; then all
+    pairs that are left, of nodes in different components. A pair is verified once in a turn.
     Sets without a shingle are linked with nothing. Null doc_ids take part; the smallest doc_id
     of a component leaves them out, and is null where there is no other. Repeated rows are copies.
     """
@@ -242,28 +314,28 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     same = F.assert_true(F.col("check") == F.col("other"), F.lit("two sets share a node number"))
     classes = write_through(classes.withColumn("sure", same).where(F.col("sure").isNull()).drop("check", "other", "sure"), "classes")
 
-    postings = rows.where("prefix is not null").select("node", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
-    lists = postings.groupBy("token").agg(F.min("node").alias("pivot"), F.max("node").alias("other")).where("pivot != other")
-    shared = write_through(postings.join(lists.drop("other"), "token"), "shared-tokens")
-    wanted = classes.join(shared.select("node").distinct(), "node").select("node", "doc", "tie")
-    sets = write_through(token_sets(docs, wanted, levels), "token-sets")
-
-    first = shared.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    links = write_through(verified(first, sets, percent), "pivot-links")
-    labels = write_through(components(links), "labels")
-
-    named = shared.drop("pivot").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = named.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-    left = write_through(named.join(mixed.select("token"), "token", "left_semi").distinct(), "open-tokens")
-    a, b = left.alias("a"), left.alias("b")
-    both = F.col("a.n") + F.col("b.n")
-    need = F.ceil(both * percent / (100 + percent))
-    room = F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos"))
-    fits = (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent) & (room >= need)
-    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label")) & fits)
-    rest = pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
-    more = verified(rest.join(first, ["a", "b"], "left_anti"), sets, percent)
-    labels = components(links.unionByName(more))
+    postings = rows.where("prefix is not null").select("row", F.posexplode("prefix").alias("pos", "token"))
+    often = postings.groupBy("token").agg(F.count(F.lit(1)).alias("uses")).where("uses > 1").select("token")
+    of_row = rows.where("n > 0").select("row", "node", F.col("n").cast("int").alias("n"))
+    several = write_through(postings.join(often, "token").join(of_row, "row").select("token", "node", "n", "pos").distinct(), "tokens")
+    many = several.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high")
+    shared = write_through(several.join(many.select("token"), "token", "left_semi").withColumn("label", F.col("node")), "shared-tokens")
+
+    labels = None
+    for turn in range(PIVOT_TURNS + 1):
+        if turn < PIVOT_TURNS:
+            pairs = pivot_pairs(shared, turn, percent)
+        else:
+            pairs = open_pairs(shared, percent)
+        pairs = write_through(pairs, "pairs")
+        asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        sets = token_sets(docs, classes.join(asked, "node").select("node", "doc", "tie"), levels)
+        found = write_through(verified(pairs, write_through(sets, "token-sets"), percent), "verified-links")
+        # A component so far is a star about its label, so its links are as few as its nodes.
+        stars = [] if labels is None else [labels.select(F.col("node").alias("a"), F.col("label").alias("b"))]
+        labels = write_through(components(reduce(DataFrame.unionByName, stars, found)), "labels")
+        if turn < PIVOT_TURNS:
+            shared = write_through(still_open(shared, labels), "open-tokens")
 
     lows = classes.select("node", "low").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     component = lows.groupBy("label").agg(F.min("low").alias("component_id"))
