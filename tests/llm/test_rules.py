@@ -133,6 +133,27 @@ def test_without_labels_nothing_is_decided(spark, empty_dir):
     assert crf.predict(docs, crf.learn(docs)).first()["lang_pred"] == "und"
 
 
+def test_a_rare_language_is_a_label(spark):
+    """Eight documents of a language among 6000: one sample over all rows would hardly have it."""
+    rows = [(i, f"the house and the water {i % 7} of many", "en") for i in range(6000)]
+    rows += [(10_000 + i, "zwölf größe müßte häßlich", "de") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    how = crf.Training(documents=20, words=2000)
+    field = crf.learn(docs, how)
+    assert field.labels == ["de", "en"]
+    langs = Counter(lang for _, lang in crf.sampled_runs(docs, how))
+    assert langs["en"] <= 2 * 20 and langs["de"] == docs.where("lang = 'de'").where(~crf.held_out()).count()
+    seen = spark.createDataFrame([(1, "zwölf größe müßte häßlich")], "doc_id long, text string")
+    assert crf.predict(seen, field).first()["lang_pred"] == "de"
+
+
+def test_no_long_text_dominates(spark):
+    rows = [(i, f"the house and the water {'abcdefgh'[i % 8]}", "en") for i in range(40)] + [(i, "long words " * 50_000, "en") for i in range(40, 48)]
+    runs = crf.sampled_runs(spark.createDataFrame(rows, "doc_id long, text string, lang string"), crf.Training(words=1000))
+    n = sum(len(run) for run, _ in runs if run[0] in ("long", "words"))
+    assert 0 < n <= 8 * crf.word_budget(1, crf.Training(words=1000)) / 20
+
+
 @pytest.fixture(scope="module")
 def field(sf_dir):
     rows = table(sf_dir, "documents", "text, lang")

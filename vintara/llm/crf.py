@@ -11,17 +11,22 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintara.llm.common import Columns, hashed_sample, map_batches, read
+from vintara.llm.common import Columns, map_batches, read
 
 WORD = re.compile(r"[^\W\d_]+").findall
 UNDECIDED = "und"
 
 
 class Training(NamedTuple):
-    """Bounds of the labelled sample, and how the field is fitted."""
+    """Bounds of the labelled sample, and how the field is fitted.
+
+    ``documents`` bounds the documents of each language. Each document of the sample may give the
+    same number of words: its part of ``words``, or ``least_words`` where that is more.
+    """
 
     documents: int = 1500
     words: int = 150_000
+    least_words: int = 20
     buckets: int = 1 << 18
     lexicon_uses: int = 3
     epochs: int = 3
@@ -136,35 +141,55 @@ def label_mass(word_at: np.ndarray, lengths: np.ndarray, emission: np.ndarray, s
     return out
 
 
-def _sequences(texts: list[str], labels: np.ndarray, how: Training) -> list[tuple[list[str], list[int]]]:
-    """Training sequences with switches: runs of 5 to 40 words of the sampled texts, mixed by four."""
-    rng = np.random.default_rng(how.seed)
-    runs = []
-    for text, label in zip(texts, labels, strict=True):
-        words, at = WORD(text.lower()), 0
-        while at < len(words):
-            size = int(rng.integers(5, 41))
-            runs.append((words[at : at + size], label))
-            at += size
-    mixed, total = [], 0
-    for k in rng.permutation(len(runs)):
-        mixed.append(runs[k])
-        total += len(runs[k][0])
-        if total >= how.words:
+def word_budget(documents: int, how: Training) -> int:
+    """Words that each of so many sampled documents may give."""
+    return max(how.least_words, how.words // max(documents, 1))
+
+
+def document_runs(text: str, budget: int, seed: int) -> list[list[str]]:
+    """Runs of 5 to 40 words of a text, taken in random order up to ``budget`` words in all."""
+    rng = np.random.default_rng(seed)
+    words, at, spans = WORD(text.lower()), 0, []
+    while at < len(words):
+        size = int(rng.integers(5, 41))
+        spans.append((at, min(at + size, len(words))))
+        at += size
+    runs, left = [], budget
+    for k in rng.permutation(len(spans)):
+        if left <= 0:
             break
+        first, end = spans[k]
+        runs.append(words[first : min(end, first + left)])
+        left -= len(runs[-1])
+    return runs
+
+
+def _sequences(runs: list[tuple[list[str], int]], how: Training) -> list[tuple[list[str], list[int]]]:
+    """Training sequences with switches: the runs of all documents, mixed by four."""
+    mixed = [runs[k] for k in np.random.default_rng(how.seed).permutation(len(runs))]
     joined = []
     for k in range(0, len(mixed), 4):
         words = [w for run, _ in mixed[k : k + 4] for w in run]
-        tags = [int(label) for run, label in mixed[k : k + 4] for _ in run]
+        tags = [label for run, label in mixed[k : k + 4] for _ in run]
         joined.append((words, tags))
     return joined
 
 
 def fit(texts: list[str], langs: list[str], how: Training) -> Field | None:
-    """Fit the field by AdaGrad on the log likelihood of sequences; None without any word."""
-    labels = sorted(set(langs))
+    """Fit the field on texts of which each gives the same number of words at most."""
+    budget = word_budget(len(texts), how)
+    runs = [(run, lang) for k, (t, lang) in enumerate(zip(texts, langs, strict=True)) for run in document_runs(t, budget, how.seed + k)]
+    return fit_runs(runs, how)
+
+
+def fit_runs(runs: list[tuple[list[str], str]], how: Training) -> Field | None:
+    """Fit the field by AdaGrad on the log likelihood of sequences of runs of words (words, language).
+
+    Every language of a run is a label; None without any run.
+    """
+    labels = sorted({lang for _, lang in runs})
     number = {lang: k for k, lang in enumerate(labels)}
-    sequences = _sequences(texts, np.array([number[x] for x in langs]), how)
+    sequences = _sequences([(words, number[lang]) for words, lang in runs], how)
     if not sequences:
         return None
     uses = Counter(w for words, _ in sequences for w in words)
@@ -240,16 +265,42 @@ def held_out() -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def learn(docs: DataFrame, how: Training | None = None) -> Field | None:
-    """Fit a field on a bounded sample of labelled documents (doc_id, text, lang).
+def sampled_runs(docs: DataFrame, how: Training) -> list[tuple[list[str], str]]:
+    """Runs of words, with their language, of a bounded sample of labelled ``docs`` (doc_id, text, lang).
 
-    The sample: the ``documents`` rows with the smallest hash of doc_id and text among rows with a
-    language that are not held out, and of them runs of words up to ``words`` in all.
+    Usable rows have a language, a doc_id and a letter in the text, and are not held out. All of
+    them are counted by language first (repeated rows as one); the sample has of each language the
+    ``documents`` rows with the smallest hash of doc_id and text, all if there are fewer. The tasks
+    cut their runs, so that the driver gets ``word_budget`` words of a document, however long it is.
     """
+    usable = F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike("\\p{L}") & ~held_out()
+    known = docs.where(usable).select("lang", "text", F.xxhash64("doc_id", "text").alias("mark"))
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.approx_count_distinct("mark").alias("n")).collect()}
+    if not counts:
+        return []
+    budget = word_budget(sum(min(n, how.documents) for n in counts.values()), how)
+    # Rows of a hash up to this are about 1.2 times as many as wanted, as the counts are close but not exact.
+    shares = {lang: min(1.0, (1.2 * how.documents + 20) / max(n, 1)) for lang, n in counts.items()}
+    limits = F.create_map(*[F.lit(x) for lang, share in shares.items() for x in (lang, int(share * 2**64) - 2**63 - 1)])
+
+    def cut(batches: Iterator[Columns]) -> Iterator[Columns]:
+        for batch in batches:
+            runs = [document_runs(t, budget, m + 2**63) for t, m in zip(batch["text"], batch["mark"], strict=True)]
+            yield {"lang": batch["lang"], "mark": batch["mark"], "runs": ["\n".join(map(" ".join, r)) for r in runs]}
+
+    some = map_batches(known.where(F.col("mark") <= limits[F.col("lang")]), cut, "lang string, mark long, runs string")
+    found, taken = [], Counter()
+    for r in sorted(some.distinct().collect(), key=lambda r: (r["mark"], r["lang"])):
+        taken[r["lang"]] += 1
+        if taken[r["lang"]] <= how.documents:
+            found += [(run.split(" "), r["lang"]) for run in r["runs"].split("\n") if run]
+    return found
+
+
+def learn(docs: DataFrame, how: Training | None = None) -> Field | None:
+    """Fit a field on the sampled runs of labelled documents; its labels are all their languages."""
     how = how or Training()
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    rows = hashed_sample(known.select("doc_id", "text", "lang"), ["doc_id", "text"], how.documents)
-    return fit([r["text"] for r in rows], [r["lang"] for r in rows], how)
+    return fit_runs(sampled_runs(docs, how), how)
 
 
 def word_labels(field: Field, text: str) -> list[tuple[str, str, float]]:
