@@ -36,6 +36,24 @@ def test_word_encoder_is_the_library(name, texts):
     assert tokens.word_encoder(name).encode(texts) == [encode(t) for t in texts]
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_special_tokens_are_those_of_the_library(name):
+    tokenizer, rng = Tokenizer.from_file(public_tokenizers.path(name)), np.random.default_rng(5)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|", "|>", "<|ENDOFTEXT|>", "a", "B", " ", "\n", "é", "\u0301", "'s", "0", "."]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(3000)]
+    expected = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert tokens.word_encoder(name).encode(texts) == expected
+
+
+def test_special_tokens_in_op4_and_op5(spark, tmp_path):
+    docs = [(1, "x <|endoftext|> y"), (2, "<|endoftext|>"), (3, "no special"), (4, "<|startoftext|>a<|endoftext|><|endoftext|>")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for name, query, end in ((NAMES[0], bitplane.op4_bitplane_ids, 2), (NAMES[1], packing.op5_packing, 1)):
+        tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        ids = {d: np.array([*tokenizer.encode(t, add_special_tokens=False).ids, end], "<u4").tobytes() for d, t in docs}
+        assert {r["doc_id"]: r["ids_crc32"] for r in query(spark, str(tmp_path)).collect()} == {d: zlib.crc32(x) for d, x in ids.items()}
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_a_full_store_starts_anew(name):
     encoder = tokens.WordEncoder(public_tokenizers.path(name), words_kept=3, pieces_kept=2)

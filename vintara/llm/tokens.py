@@ -32,8 +32,8 @@ PIECES_KEPT = 100_000
 
 @cache
 def word_encoder(name: str) -> WordEncoder:
-    """One encoder for each vocabulary file and Python worker."""
-    return WordEncoder(public_tokenizers.path(name))
+    """One encoder for each vocabulary file and Python worker; special tokens are ids of their own."""
+    return WordEncoder(public_tokenizers.path(name), specials=True)
 
 
 def byte_letters() -> dict[int, str]:
@@ -51,14 +51,23 @@ class WordEncoder:
 
     The library encodes a piece once while it is kept: a run of one kind of characters by its
     model, which takes a pre-token in byte letters, and any other word by the whole tokenizer.
+    With ``specials``, a special token of the vocabulary that stands in a text is one id, as by
+    the library's default; without, it is plain text (the library's ``encode_special_tokens``).
     """
 
-    def __init__(self, path: str, words_kept: int = WORDS_KEPT, pieces_kept: int = PIECES_KEPT):
+    def __init__(self, path: str, words_kept: int = WORDS_KEPT, pieces_kept: int = PIECES_KEPT, specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        # Texts are cut at special tokens first, so the library gets none of them.
         self._tokenizer.encode_special_tokens = True
+        added = self._tokenizer.get_added_tokens_decoder() if specials else {}
+        if any(t.normalized or t.single_word or t.lstrip or t.rstrip or not t.special for t in added.values()):
+            raise ValueError(f"{path} has added tokens that are not found as they are written")
+        self._specials = {t.content: array("I", [k]).tobytes() for k, t in added.items()}
+        by_size = sorted(self._specials, key=len, reverse=True)
+        self._special = re.compile(f"({'|'.join(map(re.escape, by_size))})") if by_size else None
         self._model = self._tokenizer.model.tokenize
         # A vocabulary with a normaliser knows lower case only and drops white space.
         self._lower = self._tokenizer.normalizer is not None
@@ -69,6 +78,15 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; none for a missing or an empty text."""
+        cut = {} if self._special is None else {k: self._special.split(t) for k, t in enumerate(texts) if t and self._special.search(t)}
+        if not cut:
+            return self._encode_plain(texts)
+        # Each text is the parts between special tokens, which stand at the odd places.
+        parts = [cut.get(k, [t]) for k, t in enumerate(texts)]
+        found = iter(self._encode_plain([p for ps in parts for p in ps[::2]]))
+        return [b"".join(self._specials[p] if k % 2 else next(found) for k, p in enumerate(ps)) for ps in parts]
+
+    def _encode_plain(self, texts: list[str | None]) -> list[bytes]:
         out, late = [], []
         for text in texts:
             if not text:
