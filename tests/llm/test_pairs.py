@@ -73,6 +73,20 @@ def test_a_group_about_the_threshold(spark):
     assert len({c for _, _, c in rows}) > 1
 
 
+def test_links_inside_components_are_counted(spark):
+    """Every row's links, by brute force over all pairs of rows."""
+    docs = [*near_copies(60), (0, near_copies(1)[0][1]), (900, None), (901, "a b"), (None, "A b"), (None, None)]
+    sets = [shingles(t) for _, t in docs]
+    linked = [[bool(x and y) and 100 * len(x & y) >= 75 * len(x | y) for y in sets] for x in sets]
+    links, rows = jaccard.jaccard_links(spark.createDataFrame(docs, "doc_id long, text string"))
+    found = rows.collect()
+    assert Counter((r["doc_id"], r["n_links"]) for r in found) == Counter((d, sum(row) - bool(s)) for (d, _), s, row in zip(docs, sets, linked))
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == brute_components(docs)
+    nodes = list({s for s in sets if s})
+    pairs = sum(100 * len(x & y) >= 75 * len(x | y) for k, x in enumerate(nodes) for y in nodes[:k])
+    assert links.count() == pairs > 2 * len(nodes)
+
+
 def test_one_of_each_component_stays(spark):
     docs = [(3, "a b c d e f g"), (2, "a b c d e f g"), (2, "a b c d e f g"), (9, None), (8, " "), (2, "other words here"), (None, "q r s"), (None, "q r s")]
     kept = jaccard.one_of_each(spark.createDataFrame(docs, "doc_id long, text string")).collect()

@@ -294,17 +294,8 @@ def still_open(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return named.join(mixed.select("token"), "token", "left_semi")
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` (doc_id, text) to rows doc_id, n_shingles, component_id, label and tie (text hash).
-
-    Equal sets are one node. A shingle in the prefixes of several nodes links them as candidates
-    where the length and positional filters let them: for some turns each node with one pivot of
-    the shingle only, so that a shingle of very many nodes gives as many pairs as nodes; then all
-    pairs that are left, of nodes in different components. A pair is verified once in a turn.
-    Sets without a shingle are linked with nothing. Null doc_ids take part; the smallest doc_id
-    of a component leaves them out, and is null where there is no other. Repeated rows are copies.
-    """
-    levels = count_levels(docs)
+def candidates(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stored rows with prefixes, classes of equal sets by node, and the tokens that several nodes' prefixes share."""
     rows = write_through(with_prefixes(docs, levels, percent), "prefixes")
     doc = F.coalesce("doc_id", F.lit(-(2**63)))
     classes = rows.where("n > 0").groupBy("node").agg(
@@ -320,7 +311,53 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     several = write_through(postings.join(often, "token").join(of_row, "row").select("token", "node", "n", "pos").distinct(), "tokens")
     many = several.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high")
     shared = write_through(several.join(many.select("token"), "token", "left_semi").withColumn("label", F.col("node")), "shared-tokens")
+    return rows, classes, shared
+
+
+def checked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
+    """Those of the stored ``pairs`` (a, b) of nodes whose sets reach the threshold, stored."""
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = token_sets(docs, classes.join(asked, "node").select("node", "doc", "tie"), levels)
+    return write_through(verified(pairs, write_through(sets, "token-sets"), percent), "verified-links")
 
+
+def jaccard_links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """All links of ``docs`` (doc_id, text), and rows doc_id, n_shingles, component_id, n_links.
+
+    Links (a, b) are pairs of nodes (distinct sets, a < b) that reach the threshold: every pair that
+    shares a prefix token and passes the filters is verified once, inside components too, so their
+    number grows with the square of a group of near copies. ``n_links`` counts the other rows that a
+    row is linked with; equal sets are linked, and counted without forming their pairs.
+    """
+    levels = count_levels(docs)
+    rows, classes, shared = candidates(docs, levels, percent)
+    links = checked(write_through(open_pairs(shared, percent), "pairs"), docs, classes, levels, percent)
+    copies = rows.where("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("copies"))
+    ways = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = ways.join(copies.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("others"))
+    labels = write_through(components(links), "labels")
+    named = classes.select("node", "low").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    component = named.groupBy("label").agg(F.min("low").alias("component_id"))
+    n_links = (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
+    of_node = named.join(component, "label").join(copies, "node").join(others, "node", "left").select("node", "component_id", n_links)
+    size = F.col("n").alias("n_shingles")
+    known = rows.where("n > 0").select("doc_id", size, "node").join(of_node, "node").drop("node")
+    empty = rows.where("n = 0").select("doc_id", size, F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    return links, known.unionByName(empty)
+
+
+def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``docs`` (doc_id, text) to rows doc_id, n_shingles, component_id, label and tie (text hash).
+
+    Equal sets are one node. A shingle in the prefixes of several nodes links them as candidates
+    where the length and positional filters let them: for some turns each node with one pivot of
+    the shingle only, so that a shingle of very many nodes gives as many pairs as nodes; then all
+    pairs that are left, of nodes in different components. A pair is verified once in a turn.
+    Sets without a shingle are linked with nothing. Null doc_ids take part; the smallest doc_id
+    of a component leaves them out, and is null where there is no other. Repeated rows are copies.
+    """
+    levels = count_levels(docs)
+    rows, classes, shared = candidates(docs, levels, percent)
     labels = None
     for turn in range(PIVOT_TURNS + 1):
         if turn < PIVOT_TURNS:
@@ -328,9 +365,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         else:
             pairs = open_pairs(shared, percent)
         pairs = write_through(pairs, "pairs")
-        asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        sets = token_sets(docs, classes.join(asked, "node").select("node", "doc", "tie"), levels)
-        found = write_through(verified(pairs, write_through(sets, "token-sets"), percent), "verified-links")
+        found = checked(pairs, docs, classes, levels, percent)
         # A component so far is a star about its label, so its links are as few as its nodes.
         stars = [] if labels is None else [labels.select(F.col("node").alias("a"), F.col("label").alias("b"))]
         labels = write_through(components(reduce(DataFrame.unionByName, stars, found)), "labels")
@@ -364,3 +399,8 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_components(read(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op1_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of op1_jaccard_join with ``n_links``; all links are formed for it."""
+    return jaccard_links(read(spark, sf_dir, "documents", "doc_id", "text"))[1]

@@ -8,6 +8,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         jaccard.op1_jaccard_join,
+        jaccard.op1_jaccard_links,
         pii.op2_pii,
         crf.op3_crf_language,
         bitplane.op4_bitplane_ids,
