@@ -154,6 +154,14 @@ def test_no_long_text_dominates(spark):
     assert 0 < n <= 8 * crf.word_budget(1, crf.Training(words=1000)) / 20
 
 
+def test_the_driver_gets_runs_not_texts(spark):
+    """A sampled text of a million words gives its budget only, once for repeated rows."""
+    docs = spark.createDataFrame([(1, "long words " * 500_000, "en")] * 2 + [(3, "kurze zeile", "de")], "doc_id long, text string, lang string")
+    how = crf.Training(words=100)
+    runs = crf.sampled_runs(docs, how)
+    assert 0 < sum(len(run) for run, _ in runs if "long" in run or "words" in run) <= 50
+
+
 @pytest.fixture(scope="module")
 def field(sf_dir):
     rows = table(sf_dir, "documents", "text, lang")
