@@ -13,15 +13,22 @@ from vintara.llm import crf, jaccard, packing, pii, repetition
 from vintara.llm.common import prepare, write_through
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-# Least mean probability of a document's words for its predicted language.
-LEAST_SCORE = 0.4
+# How far the mean of each word's best label probability is above chance, at least (crf.predict).
+LEAST_EVIDENCE = 0.2
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents in a language that the field is sure of; those without a letter go."""
+    """Keep documents whose words have languages that the field is sure of, one or several.
+
+    Those without a letter go. Where nothing could be learned (no usable row with a language), all
+    documents with a letter stay.
+    """
     prepare(spark)
-    labelled = crf.predict(docs.select(*COLUMNS), crf.learn(docs))
-    sure = (F.col("lang_pred") != crf.UNDECIDED) & (F.col("score") >= LEAST_SCORE)
+    field = crf.learn(docs)
+    if field is None:
+        return docs.select(*COLUMNS).where(F.col("text").rlike("\\p{L}"))
+    labelled = crf.predict(docs.select(*COLUMNS), field, evidence=True)
+    sure = (F.col("lang_pred") != crf.UNDECIDED) & (F.col("evidence") >= LEAST_EVIDENCE)
     return labelled.where(sure).select(*COLUMNS)
 
 

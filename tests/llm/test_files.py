@@ -134,3 +134,14 @@ def test_pipeline_stages(spark, mixed_dir):
 
 def test_pipeline_without_documents(spark, empty_dir):
     assert corpus_pipeline.run(spark, empty_dir).collect() == []
+
+
+def test_mixed_languages_and_corpora_without_labels_stay(spark):
+    words = {"en": "the house and water", "de": "zwölf größe müßte häßlich", "fr": "où être français garçon", "es": "niño mañana señor cigüeña"}
+    rows = [(i, f"{words[x]} " * 4, x, "s", 1) for i in range(80) for x in [list(words)[i % 4]]]
+    rows += [(1000, " ".join(f"{w} " * 5 for w in words.values()), None, "s", 1), (1001, "123 !!", None, "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, docs, "").collect()}
+    assert kept == {*range(80), 1000}
+    bare = docs.withColumn("lang", docs["lang"].substr(9, 1)).selectExpr("doc_id", "text", "nullif(lang, '') lang", "source", "n_chars")
+    assert {r["doc_id"] for r in corpus_pipeline.language(spark, bare, "").collect()} == {*range(80), 1000}

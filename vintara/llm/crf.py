@@ -87,7 +87,14 @@ def emissions(field: Field, words: list[str]) -> np.ndarray:
 
 
 def label_mass(word_at: np.ndarray, lengths: np.ndarray, emission: np.ndarray, step: np.ndarray, block: int = 64) -> np.ndarray:
-    """Sum over the words of each text of their label probabilities, by forward-backward.
+    """Sum over the words of each text of their label probabilities."""
+    return label_sums(word_at, lengths, emission, step, block)[0]
+
+
+def label_sums(
+    word_at: np.ndarray, lengths: np.ndarray, emission: np.ndarray, step: np.ndarray, block: int = 64
+) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over the words of each text of label probabilities and of the best one, by forward-backward.
 
     ``word_at`` has the emission row of each word, all texts one after the other. Texts are cut in
     blocks; first each block's transfer matrix is formed for all blocks at once, then a text's
@@ -133,12 +140,17 @@ def label_mass(word_at: np.ndarray, lengths: np.ndarray, emission: np.ndarray, s
         vector = np.where(real[t], scaled((vector @ step) * emit[t]), vector)
         alphas.append(vector)
     mass, vector = np.zeros((total, labels), np.float64), behind
+    peak = np.zeros(total)
     for t in range(block - 1, -1, -1):
-        mass += np.where(real[t], scaled(alphas[t] * vector), 0)
+        probs = np.where(real[t], scaled(alphas[t] * vector), 0)
+        mass += probs
+        peak += probs.max(axis=1)
         vector = np.where(real[t], scaled((emit[t] * vector) @ step.T), vector)
-    out = np.zeros((len(lengths), labels))
-    np.add.at(out, np.repeat(np.arange(len(lengths)), n_blocks), mass)
-    return out
+    out, best = np.zeros((len(lengths), labels)), np.zeros(len(lengths))
+    text_of = np.repeat(np.arange(len(lengths)), n_blocks)
+    np.add.at(out, text_of, mass)
+    np.add.at(best, text_of, peak)
+    return out, best
 
 
 def word_budget(documents: int, how: Training) -> int:
@@ -313,33 +325,40 @@ def word_labels(field: Field, text: str) -> list[tuple[str, str, float]]:
     return [(w, field.labels[k], float(p[k])) for w, k, p in zip(words, best, probs, strict=True)]
 
 
-def predict(docs: DataFrame, field: Field | None) -> DataFrame:
+def predict(docs: DataFrame, field: Field | None, evidence: bool = False) -> DataFrame:
     """``docs`` (with ``text``) and lang_pred, score; columns of these names are replaced.
 
     A document's label is the one with the most probability over its words, the score its mean
     probability. Null texts and texts without a letter (and all, if nothing could be learned) are
-    ``und`` with score 0. Ties go to the first label in order of names.
+    ``und`` with score 0. Ties go to the first label in order of names. With ``evidence``, a column
+    of this name has how far the mean of each word's best probability is above chance: 0 where all
+    labels are alike for every word, 1 where each word has one label, be they of several languages.
     """
-    kept = docs.drop("lang_pred", "score")
+    kept = docs.drop("lang_pred", "score", *["evidence"] * evidence)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         step = None if field is None else np.exp(field.transitions).astype(np.float32)
         for batch in batches:
             labels, scores = [UNDECIDED] * len(batch["text"]), [0.0] * len(batch["text"])
+            above = [0.0] * len(batch["text"])
             docs_words = [WORD(t.lower()) if t else [] for t in batch["text"]]
             usable = [k for k, ws in enumerate(docs_words) if any(c.isalpha() for w in ws for c in w)] if field else []
             if usable:
                 row_of: dict[str, int] = {}
                 at = [row_of.setdefault(w, len(row_of)) for k in usable for w in docs_words[k]]
                 lengths = np.array([len(docs_words[k]) for k in usable])
-                mass = label_mass(np.array(at), lengths, emissions(field, list(row_of)), step)
+                mass, best_sum = label_sums(np.array(at), lengths, emissions(field, list(row_of)), step)
+                chance = 1 / len(field.labels)
+                sure = (best_sum / lengths - chance) / (1 - chance) if chance < 1 else np.ones(len(lengths))
+                for k, e in zip(usable, sure, strict=True):
+                    above[k] = float(np.clip(e, 0, 1))
                 share = mass / mass.sum(axis=1, keepdims=True)
                 for k, best, p in zip(usable, share.argmax(axis=1), share.max(axis=1), strict=True):
                     labels[k], scores[k] = field.labels[best], min(1.0, float(p))
-            yield {**batch, "lang_pred": labels, "score": scores}
+            yield {**batch, "lang_pred": labels, "score": scores, "evidence": above}
 
-    return map_batches(kept, run, f"{schema}, lang_pred string, score double")
+    return map_batches(kept, run, f"{schema}, lang_pred string, score double" + ", evidence double" * evidence)
 
 
 def op3_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
