@@ -17,10 +17,12 @@ from pyspark.sql.types import StructType
 
 from vintara.session import scratch_path, write_through
 
-__all__ = ["FINE", "hashed_sample", "map_batches", "open_folder", "prepare", "read", "scratch_path", "write_through"]
+__all__ = ["FINE", "hashed_sample", "map_batches", "open_folder", "prepare", "read", "remove", "scratch_path", "write_through"]
 
 # Rows of an Arrow batch where a row holds a whole text: a batch of long texts stays small.
 FINE = 512
+# Bytes of an Arrow batch that Spark sends, and of the part of it that is taken into Python lists at once.
+BATCH_BYTES = 8_000_000
 
 Columns = dict[str, list]
 Step = Callable[[Iterator[Columns]], Iterator[Columns]]
@@ -30,6 +32,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Make this package importable in the Python workers and keep Arrow batches small."""
     _ship(spark.sparkContext.applicationId)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", FINE)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 
@@ -54,7 +57,8 @@ def map_batches(df: DataFrame, step: Step, schema: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(kind)
-        columns = ({n: c.to_pylist() for n, c in zip(b.schema.names, b.columns, strict=True)} for b in batches)
+        parts = (part for batch in batches for part in bounded(batch))
+        columns = ({n: c.to_pylist() for n, c in zip(b.schema.names, b.columns, strict=True)} for b in parts)
         for out in step(columns):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow
@@ -63,6 +67,22 @@ def map_batches(df: DataFrame, step: Step, schema: str) -> DataFrame:
     return df.mapInArrow(run, kind)
 
 
+def bounded(batch: pa.RecordBatch, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most ``most`` bytes each, but for single rows that are longer."""
+    if batch.nbytes <= most or batch.num_rows == 1:
+        yield batch
+        return
+    half = batch.num_rows // 2
+    yield from bounded(batch.slice(0, half), most)
+    yield from bounded(batch.slice(half), most)
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete stored steps that nothing reads any more."""
+    for path in map(spark.sparkContext._jvm.org.apache.hadoop.fs.Path, paths):
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def hashed_sample(df: DataFrame, keys: list[str], rows: int) -> list[Row]:
     """About ``rows`` rows of ``df`` and no more, those with the smallest hash of ``keys``.
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from vintara.llm import bitplane, bottomk, bytebpe, crf, hilbert, jaccard, packing, pii, repetition, warc
+from vintara.llm import (
+    bitplane, bottomk, bytebpe, collocations, crf, decontaminate, hilbert, jaccard, packing, pii, repetition, resampling, warc,
+)
 
 QUERIES = {
     f.__name__: f
@@ -18,7 +20,14 @@ QUERIES = {
         repetition.op8_suffix_array_repetition,
         bottomk.op9_bottomk_fingerprints,
         hilbert.op10_hilbert_shards,
+        collocations.op11_phrase_collocations,
+        decontaminate.op12_benchmark_decontamination,
+        resampling.op13_importance_resampling,
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_phrase_collocations": collocations.OP11_SQL,
+    "op12_benchmark_decontamination": decontaminate.OP12_SQL,
+    "op13_importance_resampling": resampling.OP13_SQL,
+}
