@@ -7,6 +7,8 @@ from uuid import uuid4
 
 import numpy as np
 import xxhash
+import zstandard
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -97,6 +99,14 @@ def _has(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
     return ((bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
 
 
+def packed(bitmap: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(bitmap.tobytes())
+
+
+def unpacked(bitmap: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(bitmap), np.uint8)
+
+
 def active(text: Text, reached: np.ndarray, lately: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray]]:
     """Lengths and places of the phrases to count: both parts reached the threshold, one of them lately."""
     for k in range(2, longest + 1):
@@ -124,13 +134,11 @@ def grouped(batches: Iterator[Columns]) -> Iterator[tuple[list, list]]:
         yield texts, langs
 
 
-def scan(shard: DataFrame, visit: int, shards: int, longest: int, reached: np.ndarray | None, lately: np.ndarray | None) -> DataFrame:
-    """Counts of the active phrases in one shard; words are active in the first cycle."""
-    spark = shard.sparkSession
-    sent = None if reached is None else spark.sparkContext.broadcast((reached, lately))
-    words = visit < shards
+def scan(shard: DataFrame, words: bool, longest: int, maps: Broadcast | None) -> DataFrame:
+    """Counts of the active phrases in one shard, and of all ``words`` if these are active."""
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
+        known = [unpacked(m) for m in maps.value] if maps else None
         for texts, langs in grouped(batches):
             text = Text(texts, langs)
             if not len(text.h):
@@ -138,8 +146,8 @@ def scan(shard: DataFrame, visit: int, shards: int, longest: int, reached: np.nd
             if words:
                 yield text.totals()
                 yield text.counted(1, np.arange(len(text.h)))
-            if sent is not None:
-                for k, at in active(text, *sent.value, longest):
+            if known:
+                for k, at in active(text, *known, longest):
                     yield text.counted(k, at)
 
     return map_batches(shard, run, COUNTED).groupBy(*PHRASE).agg(F.sum("n").alias("n"))
@@ -201,9 +209,12 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, threshold: int = T
     reached, cycle, visit = None, [], 0
     while visit < shards or any(m is not None for m in cycle):
         recent = [m for m in cycle if m is not None]
-        counted = scan(texts.where(F.col("shard") == visit % shards).drop("shard"), visit, shards, longest, reached, _union(recent))
+        maps = spark.sparkContext.broadcast([packed(reached), packed(_union(recent))]) if recent else None
+        counted = scan(texts.where(F.col("shard") == visit % shards).drop("shard"), visit < shards, longest, maps)
         counted = counted.withColumns({"visit": F.lit(visit), "shard": F.lit(visit % shards)})
         counted.write.mode("append").bucketBy(buckets, *PHRASE).option("path", folder).saveAsTable(name)
+        if maps:
+            maps.destroy()
         log = spark.table(name)
         # A phrase of k words is active for the last time in the k-th cycle.
         new = totals(log.where(F.col("k").between(1, longest - 1) & (F.col("k") * shards > visit)), visit)
