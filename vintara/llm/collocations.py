@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from uuid import uuid4
 
 import numpy as np
@@ -25,14 +26,19 @@ UNKNOWN = "und"
 # Bits of a bitmap of phrases (16 MB); more phrases only let more through that are too rare.
 BITMAP_BITS = 1 << 27
 # Text whose phrases are counted at once in a task.
-GROUP_BYTES = 8_000_000
+GROUP_BYTES = 4_000_000
 
 # A-Z count as a-z; a tab parts words as a space does; the signs that end a piece become line ends.
 PIECES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 9)
 
-WORDS = ["w1", "w2", "w3", "w4"]
-PHRASE = ["k", "lang", *WORDS, "word"]
-COUNTED = "k int, lang string, w1 long, w2 long, w3 long, w4 long, word string, n long"
+KEY = ["k", "key", "check"]
+COUNTED = "k int, key long, check int, doc int, n long"
+# Parts of a phrase: the left and the right one of each cut, and the middle two of four words.
+PARTS = {(1, 1): "l1", (2, -1): "r1", (1, 2): "l2", (3, -1): "r2", (1, 3): "l3", (4, -1): "r3", (2, 2): "mid"}
+DESCRIBED = "k int, key long, check int, lang string, phrase string, " + ", ".join(f"{name} long" for name in PARTS.values())
+# Classes of documents, one of which stands with a phrase for where its words are found.
+DOC_CLASSES = 1 << 16
+STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _turn(h: np.ndarray) -> np.ndarray:
@@ -41,97 +47,114 @@ def _turn(h: np.ndarray) -> np.ndarray:
 
 
 class Text:
-    """Words of some texts with their languages: hash, piece and place of each."""
+    """Words of some texts with their languages, and numbers of the phrases at each place.
 
-    def __init__(self, texts: list[str | None], langs: list[str]):
+    A phrase of k words at place i has the number keys[k - 1][i] (64 bits, its language included)
+    and a second one, checks[k - 1][i] (32 bits are used).
+    """
+
+    def __init__(self, texts: list[str | None], langs: list[str], docs: list[int]):
         parts = [(t or "").encode().translate(PIECES) + b"\n" for t in texts]
         self.raw = b"".join(parts)
         octets = np.frombuffer(self.raw, np.uint8)
-        self._blanks = np.flatnonzero((octets == 10) | (octets == 32))
+        lines = np.flatnonzero(octets == 10)
         self.h, self.starts = word_hashes(octets)
-        self.piece = np.cumsum(octets == 10)[self.starts]
+        self.piece = np.searchsorted(lines, self.starts)
+        self._blanks = np.flatnonzero((octets == 10) | (octets == 32))
+        of_word = np.searchsorted(np.cumsum([len(p) for p in parts]), self.starts, "right")
         self.langs = sorted(set(langs))
         number = {x: k for k, x in enumerate(self.langs)}
-        of_text = np.array([number[x] for x in langs], np.int64)
-        self.lang = of_text[np.searchsorted(np.cumsum([len(p) for p in parts]), self.starts, "right")]
+        self.lang = np.array([number[x] for x in langs], np.int64)[of_word]
+        self.doc = np.array(docs, np.int32)[of_word]
         salts = np.array([xxhash.xxh3_64_intdigest(x.encode()) for x in self.langs], np.uint64)
-        # places[k - 1]: a number for the phrase of k words at each place.
-        self.places = [_turn(self.h ^ salts[self.lang])]
-
-    def grow(self) -> np.ndarray:
-        """Numbers of the phrases of one more word; gives where such a phrase lies within a piece."""
-        k = len(self.places)
-        last = self.places[-1][:-1]
-        self.places.append(_turn(last * np.uint64(0x9E3779B97F4A7C15) + self.h[k:]) if len(last) else last)
-        return self.piece[k:] == self.piece[: len(self.piece) - k]
+        first = self.h ^ salts[self.lang]
+        self.keys, self.checks = [_turn(first)], [_turn(first * STEP)]
+        self.whole = [np.ones(len(first), bool)]
+
+    def grow(self) -> None:
+        """One word more: numbers of these phrases, and where they lie within a piece (``whole``)."""
+        k = len(self.keys)
+        self.keys.append(_turn(self.keys[-1][:-1] * STEP + self.h[k:]))
+        self.checks.append(_turn((self.checks[-1][:-1] ^ self.h[k:]) * STEP))
+        self.whole.append(self.piece[k:] == self.piece[: max(0, len(self.piece) - k)])
+
+    def distinct(self, k: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the places ``at``, one for each distinct phrase of ``k`` words, and how many have that phrase."""
+        key, check = self.keys[k - 1][at], self.checks[k - 1][at]
+        _, first, which, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+        if (check != check[first][which]).any():
+            _, first, n = np.unique(np.stack([key, check], axis=1), axis=0, return_index=True, return_counts=True)
+        return at[first], n
+
+    def named(self, k: int, at: np.ndarray) -> Columns:
+        return {
+            "k": np.full(len(at), k, np.int32), "key": self.keys[k - 1][at].view(np.int64),
+            "check": (self.checks[k - 1][at] >> np.uint64(32)).astype(np.uint32).view(np.int32),
+        }
 
     def counted(self, k: int, at: np.ndarray) -> Columns:
         """A row for each distinct phrase of ``k`` words that starts at one of the places ``at``."""
-        _, first, which, n = np.unique(self.places[k - 1][at], return_index=True, return_inverse=True, return_counts=True)
-        head = at[first]
-        if any((self.h[at + j] != self.h[head[which] + j]).any() for j in range(k)) or (self.lang[at] != self.lang[head[which]]).any():
-            # Two phrases share a number: tell them apart by all their words.
-            rows = np.stack([self.lang[at].astype(np.uint64), *(self.h[at + j] for j in range(k))], axis=1)
-            _, first, n = np.unique(rows, axis=0, return_index=True, return_counts=True)
-            head = at[first]
-        out: Columns = {"k": np.full(len(head), k, np.int32), "lang": self._named(head), "n": n.astype(np.int64)}
-        for j, name in enumerate(WORDS):
-            out[name] = self.h[head + j].view(np.int64) if j < k else np.zeros(len(head), np.int64)
-        out["word"] = self._spelled(head) if k == 1 else [None] * len(head)
+        places, n = self.distinct(k, at)
+        return {**self.named(k, places), "doc": self.doc[places], "n": n.astype(np.int64)}
+
+    def described(self, k: int, at: np.ndarray) -> Columns:
+        """Words and parts of the distinct phrases of ``k`` words at ``at``."""
+        places, _ = self.distinct(k, at)
+        out = self.named(k, places)
+        out["lang"] = np.array(self.langs, object)[self.lang[places]].tolist()
+        ends = self._blanks[np.searchsorted(self._blanks, self.starts[places + k - 1])]
+        cuts = zip(self.starts[places].tolist(), ends.tolist(), strict=True)
+        out["phrase"] = [b" ".join(self.raw[a:b].split()).decode() for a, b in cuts]
+        none = [None] * len(places)
+        for (first, size), name in PARTS.items():
+            size = k - first + 1 if size < 0 else size
+            inside = size >= 1 and first + size - 1 <= k and size < k
+            out[name] = self.keys[size - 1][places + first - 1].view(np.int64) if inside else none
         return out
 
-    def totals(self) -> Columns:
-        n = np.bincount(self.lang, minlength=len(self.langs))
-        zero = np.zeros(len(n), np.int64)
-        return {"k": zero.astype(np.int32), "lang": self.langs, "n": n, **{w: zero for w in WORDS}, "word": [None] * len(n)}
 
-    def _named(self, at: np.ndarray) -> list[str]:
-        return np.array(self.langs, object)[self.lang[at]].tolist()
-
-    def _spelled(self, at: np.ndarray) -> list[str]:
-        starts = self.starts[at]
-        ends = self._blanks[np.searchsorted(self._blanks, starts)]
-        return [self.raw[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-
-
-def _has(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
-    at = places >> np.uint64(64 - (8 * len(bitmap) - 1).bit_length())
+def _has(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys >> np.uint64(64 - (8 * len(bitmap) - 1).bit_length())
     return ((bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
 
 
-def packed(bitmap: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(bitmap.tobytes())
-
-
-def unpacked(bitmap: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(bitmap), np.uint8)
+def _in_doc(keys: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    return _turn(keys + docs.astype(np.uint64) * STEP)
 
 
 def active(text: Text, reached: np.ndarray, lately: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray]]:
     """Lengths and places of the phrases to count: both parts reached the threshold, one of them lately."""
     for k in range(2, longest + 1):
-        known = _has(reached, text.places[-1])
-        fresh = known & _has(lately, text.places[-1])
-        whole = text.grow()
-        at = np.flatnonzero(whole & known[:-1] & known[1:] & (fresh[:-1] | fresh[1:])) if len(whole) else np.empty(0, np.int64)
+        known = _has(reached, text.keys[-1])
+        fresh = known & _has(lately, text.keys[-1])
+        text.grow()
+        at = np.flatnonzero(text.whole[-1] & known[:-1] & known[1:] & (fresh[:-1] | fresh[1:]))
         if len(at):
             yield k, at
 
 
-def grouped(batches: Iterator[Columns]) -> Iterator[tuple[list, list]]:
-    """Texts and languages of several batches, about GROUP_BYTES of characters; a longer text comes with those before it."""
-    texts, langs, size = [], [], 0
+def grouped(batches: Iterator[Columns]) -> Iterator[Text]:
+    """Texts of several batches, of about GROUP_BYTES characters; a longer text comes with those before it."""
+    texts, langs, docs, size = [], [], [], 0
     for batch in batches:
-        for text, lang in zip(batch["text"], batch["lang"], strict=True):
-            if text:
-                texts.append(text)
-                langs.append(lang)
-                size += len(text)
+        for text, lang, doc in zip(batch["text"], batch["lang"], batch["doc"], strict=True):
+            texts.append(text)
+            langs.append(lang)
+            docs.append(doc)
+            size += len(text)
             if size >= GROUP_BYTES:
-                yield texts, langs
-                texts, langs, size = [], [], 0
+                yield Text(texts, langs, docs)
+                texts, langs, docs, size = [], [], [], 0
     if texts:
-        yield texts, langs
+        yield Text(texts, langs, docs)
+
+
+def packed(bitmap: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(bitmap.tobytes())
+
+
+def unpacked(bitmap: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(bitmap), np.uint8)
 
 
 def scan(shard: DataFrame, words: bool, longest: int, maps: Broadcast | None) -> DataFrame:
@@ -139,44 +162,31 @@ def scan(shard: DataFrame, words: bool, longest: int, maps: Broadcast | None) ->
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         known = [unpacked(m) for m in maps.value] if maps else None
-        for texts, langs in grouped(batches):
-            text = Text(texts, langs)
-            if not len(text.h):
-                continue
-            if words:
-                yield text.totals()
+        for text in grouped(batches):
+            if words and len(text.h):
                 yield text.counted(1, np.arange(len(text.h)))
-            if known:
+            if known and len(text.h):
                 for k, at in active(text, *known, longest):
                     yield text.counted(k, at)
 
-    return map_batches(shard, run, COUNTED).groupBy(*PHRASE).agg(F.sum("n").alias("n"))
+    return map_batches(shard, run, COUNTED).groupBy(*KEY).agg(F.sum("n").alias("n"), F.min("doc").alias("doc"))
 
 
-def totals(log: DataFrame, visit: int) -> DataFrame:
+def totals(log: DataFrame, visit: int, shards: int) -> DataFrame:
     """Count of each phrase over the shards it was counted in, and without those new in ``visit`` (``before``).
 
     Two visits of a shard give a phrase the same count; it is taken once.
     """
-    once = log.groupBy(*PHRASE, "shard").agg(F.max("n").alias("n"), F.min("visit").alias("first"))
-    earlier = F.sum(F.when(F.col("first") < visit, F.col("n")).otherwise(0))
-    return once.groupBy(*PHRASE).agg(F.sum("n").alias("n"), earlier.alias("before"))
+    def over(some: Column) -> Column:
+        counts = [F.coalesce(F.max(F.when((F.col("shard") == k) & some, F.col("n"))), F.lit(0)) for k in range(shards)]
+        return reduce(Column.__add__, counts)
 
+    return log.groupBy(*KEY).agg(over(F.lit(True)).alias("n"), over(F.col("visit") < visit).alias("before"), F.min("doc").alias("doc"))
 
-def bitmap(phrases: DataFrame) -> np.ndarray | None:
-    """BITMAP_BITS bits with that of each phrase set; None where there is none."""
 
-    def place(batches: Iterator[Columns]) -> Iterator[Columns]:
-        for batch in batches:
-            salts = {x: xxhash.xxh3_64_intdigest(x.encode()) for x in set(batch["lang"])}
-            k = np.array(batch["k"])
-            words = np.array([batch[w] for w in WORDS], np.int64).view(np.uint64).reshape(len(WORDS), -1)
-            number = _turn(words[0] ^ np.array([salts[x] for x in batch["lang"]], np.uint64))
-            for j in range(1, len(WORDS)):
-                number = np.where(k > j, _turn(number * np.uint64(0x9E3779B97F4A7C15) + words[j]), number)
-            yield {"place": (number >> np.uint64(64 - (BITMAP_BITS - 1).bit_length())).astype(np.int64) + 1}
-
-    placed = map_batches(phrases.select("k", "lang", *WORDS), place, "place long")
+def bitmap(keys: DataFrame) -> np.ndarray | None:
+    """BITMAP_BITS bits with that of each ``key`` set, by its first bits; None where there is none."""
+    placed = keys.select((F.shiftrightunsigned("key", 64 - (BITMAP_BITS - 1).bit_length()) + 1).alias("place"))
     blocks = placed.groupBy(F.bitmap_bucket_number("place").alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
     rows = blocks.collect()  # BITMAP_BITS in all
     out = np.zeros((BITMAP_BITS >> 15, 1 << 12), np.uint8)
@@ -185,26 +195,23 @@ def bitmap(phrases: DataFrame) -> np.ndarray | None:
     return out.reshape(-1) if rows else None
 
 
-def frequent_phrases(docs: DataFrame, longest: int = LONGEST, threshold: int = THRESHOLD, shards: int = SHARDS) -> DataFrame:
-    """Phrases of ``docs`` (doc_id, text, lang) with at least ``threshold`` occurrences, stored.
+def _union(maps: list[np.ndarray]) -> np.ndarray | None:
+    return np.bitwise_or.reduce(maps) if maps else None
+
 
-    Columns: k (words), lang, w1 to w4 (word hashes, 0 past k), word (its text, for k = 1) and n; a
-    row with k = 0 has all words of a language.
+def counted_phrases(texts: DataFrame, longest: int, threshold: int, shards: int) -> DataFrame:
+    """Phrases (k, key, check) of the stored ``texts`` with at least ``threshold`` occurrences: n, and doc, stored.
 
-    Documents are dealt into shards, which are visited in turn, again and again. A visit counts the
-    phrases that are active: words in the first cycle; a longer phrase from the visit after both
-    its parts (without the last and without the first word) reached the threshold, for one cycle.
-    Each visit's counts go to a bucketed log, so that sums over visits need no shuffle. Tasks know
-    the phrases that reached the threshold, ever and in the last cycle, by two bitmaps; what a
-    bitmap lets through by chance is counted for more visits, which changes no sum (``totals``).
-    Nothing is active for more visits than ``longest`` cycles have.
+    Shards are visited in turn, again and again. A visit counts the phrases that are active: words
+    in the first cycle; a longer phrase from the visit after both its parts (without the last and
+    without the first word) reached the threshold, for one cycle. Each visit's counts go to a
+    bucketed log, so that sums over visits need no shuffle. Tasks know the phrases that reached
+    the threshold, ever and in the last cycle, by two bitmaps; what a bitmap lets through by
+    chance is counted in more visits, which changes no sum (``totals``). Phrases of k words are
+    active for the last time in the k-th cycle. ``doc`` is the class of a document with the phrase.
     """
-    spark = docs.sparkSession
-    path, folder, name = scratch_path(spark, "shards"), scratch_path(spark, "phrases"), f"phrases_{uuid4().hex}"
-    shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard")
-    slim = docs.where("text is not null").select("text", F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), shard)
-    slim.write.partitionBy("shard").parquet(path)
-    texts = spark.read.schema("text string, lang string, shard int").parquet(path)
+    spark = texts.sparkSession
+    folder, name = scratch_path(spark, "phrases"), f"phrases_{uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     reached, cycle, visit = None, [], 0
     while visit < shards or any(m is not None for m in cycle):
@@ -212,55 +219,87 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, threshold: int = T
         maps = spark.sparkContext.broadcast([packed(reached), packed(_union(recent))]) if recent else None
         counted = scan(texts.where(F.col("shard") == visit % shards).drop("shard"), visit < shards, longest, maps)
         counted = counted.withColumns({"visit": F.lit(visit), "shard": F.lit(visit % shards)})
-        counted.write.mode("append").bucketBy(buckets, *PHRASE).option("path", folder).saveAsTable(name)
+        counted.write.mode("append").bucketBy(buckets, *KEY).option("path", folder).saveAsTable(name)
         if maps:
             maps.destroy()
         log = spark.table(name)
-        # A phrase of k words is active for the last time in the k-th cycle.
-        new = totals(log.where(F.col("k").between(1, longest - 1) & (F.col("k") * shards > visit)), visit)
+        new = totals(log.where((F.col("k") < longest) & (F.col("k") * shards > visit)), visit, shards)
         found = bitmap(new.where((F.col("n") >= threshold) & (F.col("before") < threshold)))
-        cycle = [*cycle[1 - shards :], found] if shards > 1 else [found]
+        cycle = [*cycle, found][-shards:]
         reached = _union([m for m in (reached, found) if m is not None])
         visit += 1
-    frequent = write_through(totals(log, visit).where((F.col("k") == 0) | (F.col("n") >= threshold)).drop("before"), "frequent-phrases")
+    counted = write_through(totals(log, visit, shards).where(F.col("n") >= threshold).drop("before"), "frequent-phrases")
     spark.sql(f"drop table {name}")
-    remove(spark, path, folder)
-    return frequent
+    remove(spark, folder)
+    return counted
 
 
-def _union(maps: list[np.ndarray]) -> np.ndarray | None:
-    return np.bitwise_or.reduce(maps) if maps else None
-
-
-def part(first: Column, size: Column) -> list[Column]:
-    """The word columns of the ``size`` words from the ``first`` (1...) on."""
-    words = F.array(*WORDS)
-    return [F.when(size > j, F.get(words, first - 1 + j)).otherwise(F.lit(0)).cast("long").alias(w) for j, w in enumerate(WORDS)]
+def frequent_phrases(docs: DataFrame, longest: int = LONGEST, threshold: int = THRESHOLD, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
+    """Phrases of ``docs`` (doc_id, text, lang) with at least ``threshold`` occurrences, and words by language, both stored.
 
+    The first have the columns of DESCRIBED and n; the second lang and n. Documents are dealt into
+    shards and counted (``counted_phrases``). A last scan spells the frequent phrases out: each in
+    documents of one class only, so that about one row a phrase moves. Phrases are told apart by 96
+    bits, words by 64.
+    """
+    spark = docs.sparkSession
+    path = scratch_path(spark, "shards")
+    row = F.xxhash64("doc_id", "text")
+    slim = docs.where("text is not null").select(
+        "text", F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.pmod(F.shiftright(row, 20), F.lit(DOC_CLASSES)).cast("int").alias("doc"),
+        F.pmod(row, F.lit(shards)).cast("int").alias("shard"),
+    )
+    slim.write.partitionBy("shard").parquet(path)
+    texts = spark.read.schema("text string, lang string, doc int, shard int").parquet(path)
+    counted = counted_phrases(texts, longest, threshold, shards)
 
-def best_cuts(frequent: DataFrame) -> DataFrame:
-    """For each phrase of several words its lowest-scoring cut: columns of the phrase, a, l, r and score."""
-    keys = ["lang", *WORDS]
-    known = frequent.where("k >= 1").select(*keys, F.col("n").alias("part_n"))
-    own = [F.col(w).alias(f"of_{w}") for w in WORDS]
-    cuts = frequent.where("k >= 2").select("k", "lang", *own, *WORDS, F.col("n").alias("a"), F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut"))
-    whole = ["k", "lang", *[f"of_{w}" for w in WORDS], "a", "cut"]
-    left = cuts.select(*whole, F.struct(*part(F.col("cut") + 1, F.col("k") - F.col("cut"))).alias("rest"), *part(F.lit(1), F.col("cut")))
-    left = left.join(known, keys).select(*whole, F.col("part_n").alias("l"), *[F.col(f"rest.{w}").alias(w) for w in WORDS])
-    both = left.join(known, keys).select(*whole, "l", F.col("part_n").alias("r"))
+    def places(batches: Iterator[Columns]) -> Iterator[Columns]:
+        for batch in batches:
+            keys = np.array(batch["key"], np.int64).view(np.uint64)
+            yield {"key": _in_doc(keys, np.array(batch["doc"], np.int64)).view(np.int64)}
+
+    wanted = bitmap(map_batches(counted.select("key", "doc"), places, "key long"))
+    maps = None if wanted is None else spark.sparkContext.broadcast(packed(wanted))
+
+    def spell(batches: Iterator[Columns]) -> Iterator[Columns]:
+        known = unpacked(maps.value) if maps else None
+        for text in grouped(batches):
+            for lang, n in zip(text.langs, np.bincount(text.lang, minlength=len(text.langs)).tolist(), strict=True):
+                yield {f.split()[0]: [{"k": 0, "key": n, "check": 0, "lang": lang}.get(f.split()[0])] for f in DESCRIBED.split(", ")}
+            for k in range(1, longest + 1 if maps else 1):
+                if k > 1:
+                    text.grow()
+                at = np.flatnonzero(text.whole[-1] & _has(known, _in_doc(text.keys[-1], text.doc[: len(text.keys[-1])])))
+                if len(at):
+                    yield text.described(k, at)
+
+    spelled = write_through(map_batches(texts.drop("shard"), spell, DESCRIBED), "spelled-phrases")
+    words = spelled.where("k = 0").groupBy("lang").agg(F.sum("key").alias("n"))
+    names = [f.split()[0] for f in DESCRIBED.split(", ")]
+    phrases = write_through(counted.join(spelled.where("k > 0").dropDuplicates(KEY), KEY).select(*names, "n"), "phrases")
+    words = write_through(words, "words-by-language")
+    remove(spark, path)
+    return phrases, words
+
+
+def best_cuts(phrases: DataFrame) -> DataFrame:
+    """For each phrase of several words its lowest-scoring cut: key, lang, phrase, a, l, r and score."""
+    known = phrases.where("k < 4").select(F.col("key").alias("part"), F.col("n").alias("part_n"))
+    cut = lambda c: F.when(F.col("k") > c, F.struct(F.lit(c).alias("cut"), F.col(f"l{c}").alias("left"), F.col(f"r{c}").alias("right")))
+    whole = ["key", "check", "lang", "phrase", "a"]
+    cuts = phrases.where("k > 1").select("key", "check", "lang", "phrase", F.col("n").alias("a"), F.explode(F.array_compact(F.array(cut(1), cut(2), cut(3)))).alias("c"))
+    left = cuts.select(*whole, "c.cut", "c.right", F.col("c.left").alias("part")).join(known, "part").withColumnRenamed("part_n", "l").drop("part")
+    both = left.withColumnRenamed("right", "part").join(known, "part").withColumnRenamed("part_n", "r")
     score = F.expr(f"(cast(a as decimal(20, 0)) * {SCALE}) div (cast(l as decimal(20, 0)) + cast(r as decimal(20, 0)))")
-    lowest = both.groupBy(*whole[:-1]).agg(F.min(F.struct(score.alias("score"), "cut", "l", "r")).alias("best"))
-    return lowest.select("k", "lang", *[F.col(f"of_{w}").alias(w) for w in WORDS], "a", "best.l", "best.r", "best.score")
+    lowest = both.groupBy(*whole).agg(F.min(F.struct(score.alias("score"), "cut", "l", "r")).alias("best"))
+    return lowest.select(*whole, "best.l", "best.r", "best.score")
 
 
-def longer_counts(frequent: DataFrame) -> DataFrame:
-    """For each phrase inside longer frequent ones the largest count of these (``most``)."""
-    size = F.col("k")
-    inner = F.flatten(F.transform(F.sequence(F.lit(2), size - 1), lambda m: F.transform(
-        F.sequence(F.lit(1), size - m + 1), lambda s: F.struct(s.alias("first"), m.alias("size")))))
-    parts = frequent.where("k >= 3").select("lang", *WORDS, "n", F.explode(inner).alias("part"))
-    named = parts.select("lang", "n", *part(F.col("part.first"), F.col("part.size")))
-    return named.groupBy("lang", *WORDS).agg(F.max("n").alias("most"))
+def longer_counts(phrases: DataFrame) -> DataFrame:
+    """For each phrase (``key``) inside longer frequent ones the largest count of these (``most``)."""
+    three, four = F.array("l2", "r1"), F.array("l2", "r2", "mid", "l3", "r1")
+    inner = phrases.where("k > 2").select("n", F.explode(F.when(F.col("k") == 3, three).otherwise(four)).alias("key"))
+    return inner.groupBy("key").agg(F.max("n").alias("most"))
 
 
 def collocations(
@@ -272,23 +311,12 @@ def collocations(
     least ``threshold`` occurrences, but for those inside a longer one that has ``covered`` percent
     of their occurrences. Null and empty texts have no words; repeated rows count each time.
     """
-    frequent = frequent_phrases(docs, threshold=threshold, shards=shards)
-    keys = ["lang", *WORDS]
-    scored = best_cuts(frequent).join(longer_counts(frequent), keys, "left")
+    phrases, words = frequent_phrases(docs, threshold=threshold, shards=shards)
+    scored = best_cuts(phrases).join(longer_counts(phrases), "key", "left")
     scored = scored.where(F.col("most").isNull() | (F.col("most").cast("decimal(20,0)") * 100 < F.col("a").cast("decimal(20,0)") * covered))
-    # Equal scores and counts at the end of a list stay until phrases are spelled out.
-    by_count = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
-    front = write_through(scored.withColumn("place", F.rank().over(by_count)).where(F.col("place") <= best).drop("place", "most"), "best-phrases")
-    words = frequent.where("k = 1").select("lang", F.col("w1").alias("w"), "word")
-    spelled = (
-        front.select(*keys, F.posexplode(F.slice(F.array(*WORDS), F.lit(1), F.col("k"))).alias("at", "w")).join(words, ["lang", "w"])
-        .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("spelled"))  # at most four words
-        .select(*keys, F.array_join("spelled.word", " ").alias("phrase"))
-    )
-    total = frequent.where("k = 0").select("lang", "n")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = front.join(spelled, keys).withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= best)
-    return ranked.join(total, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    ranked = scored.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= best)
+    return ranked.join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
