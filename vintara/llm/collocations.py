@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from vintara.llm.common import Columns, map_batches, read, remove, scratch_path, write_through
 from vintara.llm.jaccard import word_hashes
 
-SHARDS = 4
+SHARDS = 3
 LONGEST = 4
 THRESHOLD = 30
 COVERED_PERCENT = 80
@@ -26,7 +26,7 @@ UNKNOWN = "und"
 # Bits of a bitmap of phrases (16 MB); more phrases only let more through that are too rare.
 BITMAP_BITS = 1 << 27
 # Text whose phrases are counted at once in a task.
-GROUP_BYTES = 4_000_000
+GROUP_BYTES = 3_000_000
 
 # A-Z count as a-z; a tab parts words as a space does; the signs that end a piece become line ends.
 PIECES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 9)
@@ -50,7 +50,7 @@ class Text:
     """Words of some texts with their languages, and numbers of the phrases at each place.
 
     A phrase of k words at place i has the number keys[k - 1][i] (64 bits, its language included)
-    and a second one, checks[k - 1][i] (32 bits are used).
+    and a second one (``check``, of which 32 bits are used).
     """
 
     def __init__(self, texts: list[str | None], langs: list[str], docs: list[int]):
@@ -68,19 +68,25 @@ class Text:
         self.doc = np.array(docs, np.int32)[of_word]
         salts = np.array([xxhash.xxh3_64_intdigest(x.encode()) for x in self.langs], np.uint64)
         first = self.h ^ salts[self.lang]
-        self.keys, self.checks = [_turn(first)], [_turn(first * STEP)]
+        self._salts = salts
+        self.keys = [_turn(first)]
         self.whole = [np.ones(len(first), bool)]
 
     def grow(self) -> None:
         """One word more: numbers of these phrases, and where they lie within a piece (``whole``)."""
         k = len(self.keys)
         self.keys.append(_turn(self.keys[-1][:-1] * STEP + self.h[k:]))
-        self.checks.append(_turn((self.checks[-1][:-1] ^ self.h[k:]) * STEP))
         self.whole.append(self.piece[k:] == self.piece[: max(0, len(self.piece) - k)])
 
+    def check(self, k: int, at: np.ndarray) -> np.ndarray:
+        found = self._salts[self.lang[at]]
+        for j in range(k):
+            found = _turn((found ^ self.h[at + j]) * STEP)
+        return found
+
     def distinct(self, k: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of the places ``at``, one for each distinct phrase of ``k`` words, and how many have that phrase."""
-        key, check = self.keys[k - 1][at], self.checks[k - 1][at]
+        key, check = self.keys[k - 1][at], self.check(k, at)
         _, first, which, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
         if (check != check[first][which]).any():
             _, first, n = np.unique(np.stack([key, check], axis=1), axis=0, return_index=True, return_counts=True)
@@ -89,7 +95,7 @@ class Text:
     def named(self, k: int, at: np.ndarray) -> Columns:
         return {
             "k": np.full(len(at), k, np.int32), "key": self.keys[k - 1][at].view(np.int64),
-            "check": (self.checks[k - 1][at] >> np.uint64(32)).astype(np.uint32).view(np.int32),
+            "check": (self.check(k, at) >> np.uint64(32)).astype(np.uint32).view(np.int32),
         }
 
     def counted(self, k: int, at: np.ndarray) -> Columns:
@@ -205,7 +211,8 @@ def counted_phrases(texts: DataFrame, longest: int, threshold: int, shards: int)
     Shards are visited in turn, again and again. A visit counts the phrases that are active: words
     in the first cycle; a longer phrase from the visit after both its parts (without the last and
     without the first word) reached the threshold, for one cycle. Each visit's counts go to a
-    bucketed log, so that sums over visits need no shuffle. Tasks know the phrases that reached
+    bucketed log, so that sums over visits need no shuffle; in its files phrases of a length lie
+    together, and lengths that can't reach the threshold any more are not read. Tasks know the phrases that reached
     the threshold, ever and in the last cycle, by two bitmaps; what a bitmap lets through by
     chance is counted in more visits, which changes no sum (``totals``). Phrases of k words are
     active for the last time in the k-th cycle. ``doc`` is the class of a document with the phrase.
@@ -219,7 +226,7 @@ def counted_phrases(texts: DataFrame, longest: int, threshold: int, shards: int)
         maps = spark.sparkContext.broadcast([packed(reached), packed(_union(recent))]) if recent else None
         counted = scan(texts.where(F.col("shard") == visit % shards).drop("shard"), visit < shards, longest, maps)
         counted = counted.withColumns({"visit": F.lit(visit), "shard": F.lit(visit % shards)})
-        counted.write.mode("append").bucketBy(buckets, *KEY).option("path", folder).saveAsTable(name)
+        counted.write.mode("append").bucketBy(buckets, *KEY).sortBy("k").option("path", folder).saveAsTable(name)
         if maps:
             maps.destroy()
         log = spark.table(name)
