@@ -1,9 +1,12 @@
 """The physical plans that matter at scale."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from checks.catalog import CATALOG
+from vintara import session
+from vintara.operators import metrics, ordered
 from vintara.operators.ordered import running_totals
 
 
@@ -97,12 +100,36 @@ def test_deduplication_aggregates_keys_only(spark, sf_dir):
     assert "SortAggregate" not in text and "partial_count" in text
 
 
-@pytest.mark.parametrize("name", ("auc", "roc_points", "lgd_summary", "decile_calibration"))
-def test_order_statistics_write_nothing(spark, sf_dir, name, monkeypatch):
-    """Running totals are one lazy plan over slices of values, no window over a whole group."""
-    monkeypatch.setattr("vintara.session.scratch_path", lambda *_: pytest.fail("wrote a file"))
-    text = plan(spark, sf_dir, name)
-    assert "_slice" in text and "rangepartitioning" not in text
+@pytest.mark.parametrize("name, one", [("auc", "pd_12m"), ("roc_points", "pd_12m"), ("decile_calibration", "loan_outcomes"), ("lgd_summary", "loan_outcomes")])
+def test_the_input_of_order_statistics_is_computed_once(spark, sf_dir, name, one, monkeypatch):
+    """All plans that run for a query, those of stored steps included, scan servicing as often as its input does."""
+    plans = []
+
+    def stored(df, step):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return session.write_through(df, step)
+
+    for module in (ordered, metrics):
+        monkeypatch.setattr(module, "write_through", stored)
+    final = plan(spark, sf_dir, name)
+    assert plans and 0 < "".join([*plans, final]).count("lineitem.parquet") <= plan(spark, sf_dir, one).count("lineitem.parquet")
+
+
+def test_no_running_total_over_all_values(spark, monkeypatch):
+    """Of 300 000 values, half of them equal, only those near the wanted ranks are put in order."""
+    rows = spark.range(300_000).select((F.when(F.col("id") % 2 == 0, F.lit(0.25)).otherwise(F.col("id") * 7919 % 300_007 / 300_007)).alias("v"))
+    sizes = []
+
+    def counted(counts, *args, **kwargs):
+        sizes.append(counts.count())
+        return running_totals(counts, *args, **kwargs)
+
+    monkeypatch.setattr(ordered, "running_totals", counted)
+    points = [0.0, 0.1, 0.5, 0.77, 1.0]
+    found = {r["q"]: r["quantile"] for r in ordered.exact_quantiles(rows, [], "v", points).collect()}
+    values = np.array([r["v"] for r in rows.collect()])
+    assert [found[q] for q in points] == pytest.approx(np.quantile(values, points).tolist(), abs=1e-12)
+    assert sizes[0] < 1500
 
 
 def test_hot_group_with_many_scores(spark):

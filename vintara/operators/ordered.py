@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Parts of a group that are summed by themselves.
-SLICES = 200
+from vintara.session import write_through
+
+# One part in ACCURACY of the rows of a group is how far a sketched rank may be off.
+ACCURACY = 10_000
 
 
 def running_totals(
@@ -15,33 +19,31 @@ def running_totals(
 ) -> DataFrame:
     """Running sum of ``sums`` per group, by ``value``, as columns ``cum_<name>``; ``all_<name>`` is the whole.
 
-    A single window would put a whole group into one task. Instead a group is cut into slices at
-    approximate quantiles of ``value``; a row's slice depends on its value only, so that all
-    uses agree, and how good the quantiles are changes sizes of slices but no result. Every row
-    gets the total of the slices before its own plus a running sum inside the slice. ``counts``
-    must hold one row per (group, value); ``groups`` have few values (splits, models, features).
+    A prefix scan over ranges: ``counts`` (one row per group and value) is dealt by range of group
+    and value and stored, so that it is computed once. Each range is summed, a range starts from
+    the totals of the ranges of its group before it, and every row adds the running sum inside its
+    range. No task holds more than a range, however large a group is.
     """
-    steps = [k / SLICES for k in range(1, SLICES)]
-    cuts = counts.groupBy(*groups).agg(F.percentile_approx(value, steps, 10 * SLICES).alias("_cuts"))
-    below = F.size(F.filter(F.array_distinct("_cuts"), lambda c: c < F.col(value)))
-    sliced = attach(counts, cuts, groups, ["_cuts"]).withColumn("_slice", below).drop("_cuts")
-    keys = [*groups, "_slice"]
-    # At most SLICES rows per group: small whatever the data size.
-    totals = sliced.groupBy(*keys).agg(*[F.sum(s).alias(f"_total_{s}") for s in sums])
+    order = F.col(value).desc() if descending else F.col(value).asc()
+    dealt = counts.repartitionByRange(*groups, order).withColumn("_range", F.spark_partition_id())
+    stored = write_through(dealt, "ordered-values")
+    keys = [*groups, "_range"]
+    # A row per range, and one more for each group that starts inside a range.
+    totals = stored.groupBy(*keys).agg(*[F.sum(s).alias(f"_total_{s}") for s in sums])
     in_group = W.partitionBy(*groups) if groups else W.partitionBy(F.lit(0))
-    place = F.col("_slice").desc() if descending else F.col("_slice")
-    earlier = in_group.orderBy(place).rowsBetween(W.unboundedPreceding, -1)
+    earlier = in_group.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(
-        *keys,
+        *[F.col(k).alias(f"_of_{k}") for k in keys],
         *[F.coalesce(F.sum(f"_total_{s}").over(earlier), F.lit(0)).alias(f"_before_{s}") for s in sums],
         *[F.sum(f"_total_{s}").over(in_group).alias(f"all_{s}") for s in sums],
     )
-    order = F.col(value).desc() if descending else F.col(value)
     within = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    inside = stored.withColumns({f"cum_{s}": F.sum(s).over(within) for s in sums})
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
     return (
-        sliced.join(offsets, keys)
-        .withColumns({f"cum_{s}": F.sum(s).over(within) + F.col(f"_before_{s}") for s in sums})
-        .drop("_slice", *[f"_before_{s}" for s in sums])
+        inside.join(offsets, same)
+        .withColumns({f"cum_{s}": F.col(f"cum_{s}") + F.col(f"_before_{s}") for s in sums})
+        .drop("_range", *[f"_of_{k}" for k in keys], *[f"_before_{s}" for s in sums])
     )
 
 
@@ -50,55 +52,70 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolation quantiles per group: columns (groups, q, quantile).
 
-    Equal values are counted first, then ranks come from running totals, so no task holds a
-    whole group and ties cost one row. Nulls are ignored.
+    The two columns needed are stored, so that ``df`` is computed once. Nulls are ignored.
     """
-    counts = (
-        df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("n"))
-    )
-    return quantiles_of_counts(running_totals(counts, groups, value, ["n"]), groups, value, points)
+    slim = df.where(F.col(value).isNotNull()).select(*groups, value)
+    return quantiles_of_rows(write_through(slim, "quantile-values"), groups, value, points)
 
 
-def quantiles_of_counts(
-    ranked: DataFrame, groups: list[str], value: str, points: list[float]
+def quantiles_of_rows(
+    rows: DataFrame, groups: list[str], value: str, points: list[float]
 ) -> DataFrame:
-    """Quantiles from one row per (group, value) with its count ``n`` and running ``cum_n``."""
-    sizes = ranked.groupBy(*groups).agg(F.max("cum_n").alias("_size"))
-    # Two ranks per requested point bound each quantile; points are a short fixed list.
-    wanted = sizes.withColumn("q", F.explode(F.array(*[F.lit(float(p)) for p in points])))
-    place = F.col("q") * (F.col("_size") - 1)
-    wanted = wanted.select(
-        *groups,
-        "q",
-        (place - F.floor(place)).alias("_share"),
-        F.floor(place).alias("_low"),
-        F.ceil(place).alias("_high"),
-    )
-    spans = ranked.select(
-        *groups,
-        F.col(value).cast("double").alias("_v"),
-        (F.col("cum_n") - F.col("n")).alias("_from"),
-        (F.col("cum_n") - 1).alias("_to"),
-    )
-    per_group = wanted.groupBy(*groups).agg(
-        F.collect_list(F.struct("q", "_share", "_low", "_high")).alias("_points")
+    """Exact quantiles of stored ``rows`` by selection in two passes.
+
+    The first pass sketches each group: around each wanted rank a bracket of values is sure to
+    hold it. The second counts the values inside a bracket one by one and those of each gap
+    between brackets as a whole, so that equal values cost one row and only about 4 in ACCURACY
+    of a group's rows per point are put in order. A small group is one bracket.
+    """
+    points = sorted(points)
+    margin = 2 / ACCURACY
+    lows, highs = [max(0.0, p - margin) for p in points], [min(1.0, p + margin) for p in points]
+    sketch = rows.groupBy(*groups).agg(
+        F.count(value).alias("_n"), F.min(value).alias("_least"), F.max(value).alias("_most"),
+        F.percentile_approx(value, lows, ACCURACY).alias("_lows"),
+        F.percentile_approx(value, highs, ACCURACY).alias("_highs"),
     )
-    covers_low = (F.col("_p._low") >= F.col("_from")) & (F.col("_p._low") <= F.col("_to"))
-    covers_high = (F.col("_p._high") >= F.col("_from")) & (F.col("_p._high") <= F.col("_to"))
-    # A value row emits only the points whose ranks fall on it: two rows per point in total.
-    hit = F.filter(
-        "_points",
-        lambda p: ((p["_low"] >= F.col("_from")) & (p["_low"] <= F.col("_to")))
-        | ((p["_high"] >= F.col("_from")) & (p["_high"] <= F.col("_to"))),
+    small = F.col("_n") <= ACCURACY
+
+    def bracket(k: int) -> Column:
+        low = F.when(small | F.lit(lows[k] == 0.0), F.col("_least")).otherwise(F.col("_lows")[k])
+        high = F.when(small | F.lit(highs[k] == 1.0), F.col("_most")).otherwise(F.col("_highs")[k])
+        return F.struct(low.alias("low"), high.alias("high"))
+
+    facts = sketch.select(*groups, F.array(*[bracket(k) for k in range(len(points))]).alias("_brackets"))
+    v = F.col(value)
+    inside = F.exists("_brackets", lambda b: (b["low"] <= v) & (v <= b["high"]))
+    above = F.size(F.filter("_brackets", lambda b: b["low"] > v))
+    counted = (
+        attach(rows, facts, groups, ["_brackets"])
+        .select(*groups, v, F.when(inside, v).alias("_v"), F.when(~inside, above).alias("_gap"))
+        .groupBy(*groups, "_v", "_gap").agg(F.count("*").alias("n"), F.min(value).alias(value))
     )
-    hits = attach(spans, per_group, groups, ["_points"]).select(
-        *groups, "_v", "_from", "_to", F.explode(hit).alias("_p")
+    ranked = running_totals(counted.drop("_v"), groups, value, ["n"])
+    return _interpolated(ranked, groups, value, points)
+
+
+def _interpolated(ranked: DataFrame, groups: list[str], value: str, points: list[float]) -> DataFrame:
+    """Quantiles from rows with count ``n``, running ``cum_n`` and ``all_n``; no wanted rank is in a ``_gap``."""
+    wanted = F.array(*[F.lit(float(p)) for p in points])
+
+    def ranks(q: Column) -> Column:
+        place = q * (F.col("all_n") - 1)
+        return F.struct(q.alias("q"), (place - F.floor(place)).alias("share"), F.floor(place).alias("low"), F.ceil(place).alias("high"))
+
+    start, end = F.col("cum_n") - F.col("n"), F.col("cum_n") - 1
+    holds = lambda rank: (rank >= start) & (rank <= end)
+    # A row gives only the points whose ranks fall on it: two rows per point in total.
+    hits = ranked.select(
+        *groups, F.col(value).cast("double").alias("_x"), "_gap", start.alias("_start"), end.alias("_end"),
+        F.explode(F.filter(F.transform(wanted, ranks), lambda p: holds(p["low"]) | holds(p["high"]))).alias("_p"),
     )
-    low, high = F.max(F.when(covers_low, F.col("_v"))), F.max(F.when(covers_high, F.col("_v")))
-    share = F.col("_p._share")
+    sure = F.when(F.col("_gap").isNull(), F.col("_x")).otherwise(F.raise_error(F.lit("a sketched rank was off by more than it may be")).cast("double"))
+    at = lambda rank: F.max(F.when((rank >= F.col("_start")) & (rank <= F.col("_end")), sure))
     return (
-        hits.groupBy(*groups, F.col("_p.q").alias("q"), share.alias("_share"))
-        .agg(low.alias("_a"), high.alias("_b"))
+        hits.groupBy(*groups, F.col("_p.q").alias("q"), F.col("_p.share").alias("_share"))
+        .agg(at(F.col("_p.low")).alias("_a"), at(F.col("_p.high")).alias("_b"))
         .select(*groups, "q", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_share")).alias("quantile"))
     )
 
