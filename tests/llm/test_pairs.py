@@ -87,6 +87,24 @@ def test_links_inside_components_are_counted(spark):
     assert links.count() == pairs > 2 * len(nodes)
 
 
+def test_links_of_repeated_and_odd_rows(spark, mixed_dir):
+    """Repeated rows are linked with each other and with all that their text is linked with."""
+    a, b = " ".join(f"w{k}" for k in range(60)), " ".join(f"w{k}" for k in range(62))
+    rows = [(1, a), (1, a), (2, b), (2, b), (2, b), (None, a), (7, None), (8, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    links, found = jaccard.jaccard_links(frame)
+    assert links.count() == 1
+    assert Counter((r["doc_id"], r["n_links"]) for r in found.collect()) == Counter([(1, 5), (1, 5), (2, 5), (2, 5), (2, 5), (None, 5), (7, 0), (8, 0)])
+    docs = [tuple(r) for r in spark.read.parquet(f"{mixed_dir}/documents.parquet").select("doc_id", "text").collect()]
+    sets = [(d, shingles(t)) for d, t in docs]
+    links_of = lambda x: sum(100 * len(x & y) >= 75 * len(x | y) for _, y in sets if y) - 1 if x else 0
+    assert Counter((r["doc_id"], r["n_links"]) for r in jaccard.op1_jaccard_links(spark, mixed_dir).collect()) == Counter((d, links_of(x)) for d, x in sets)
+
+
+def test_no_links_of_no_documents(spark, empty_dir):
+    assert jaccard.op1_jaccard_links(spark, empty_dir).collect() == []
+
+
 def test_one_of_each_component_stays(spark):
     docs = [(3, "a b c d e f g"), (2, "a b c d e f g"), (2, "a b c d e f g"), (9, None), (8, " "), (2, "other words here"), (None, "q r s"), (None, "q r s")]
     kept = jaccard.one_of_each(spark.createDataFrame(docs, "doc_id long, text string")).collect()

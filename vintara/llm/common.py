@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from vintara.session import scratch_path, write_through
 
-__all__ = ["FINE", "hashed_sample", "map_batches", "open_folder", "prepare", "read", "remove", "scratch_path", "write_through"]
+__all__ = ["FINE", "discard", "hashed_sample", "map_batches", "open_folder", "prepare", "read", "remove", "scratch_path", "write_through"]
 
 # Rows of an Arrow batch where a row holds a whole text: a batch of long texts stays small.
 FINE = 512
@@ -83,6 +83,12 @@ def remove(spark: SparkSession, *paths: str) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def discard(*stored: DataFrame) -> None:
+    """Delete the files of stored steps (``write_through``) that nothing reads any more."""
+    for df in stored:
+        remove(df.sparkSession, *{f.rsplit("/", 1)[0] for f in df.inputFiles()})
+
+
 def hashed_sample(df: DataFrame, keys: list[str], rows: int) -> list[Row]:
     """About ``rows`` rows of ``df`` and no more, those with the smallest hash of ``keys``.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vintara.llm.common import write_through
+from vintara.llm.common import discard, write_through
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -28,7 +28,8 @@ def components(links: DataFrame) -> DataFrame:
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(smallest, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = hung.unionByName(smallest.select("u", F.col("m").alias("v"))).where("u != v")
-        stars = write_through(small.distinct(), "links")
+        old, stars = stars, write_through(small.distinct(), "links")
+        discard(old)
     nodes = stars.select(F.col("u").alias("node"), F.col("v").alias("label"))
     return nodes.unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 

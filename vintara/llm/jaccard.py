@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintara.llm.common import Columns, map_batches, read, write_through
+from vintara.llm.common import Columns, discard, map_batches, read, write_through
 from vintara.llm.components import components
 
 WORDS = 5
@@ -29,8 +29,8 @@ HASH_BITS = 64 - LEVEL_BITS
 GROUP_BYTES = 1_000_000
 LONG_WORD = 32
 SUFFIX_DEPTH = 3
-# Turns in which a shingle's nodes meet a pivot, before all pairs of different components meet.
-PIVOT_TURNS = 2
+# Turns in which a shingle's nodes meet a pivot go on while each leaves at most this part of the rows open.
+OPEN_PART = 0.8
 # Bits of the bitmap of wanted documents: for each of them, and at most (32 MB).
 BITMAP_BITS_EACH = 16
 MOST_BITMAP_BITS = 1 << 28
@@ -207,7 +207,7 @@ def reaches(x: np.ndarray, y: np.ndarray, percent: int = PERCENT) -> bool:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Those of the distinct ``pairs`` (a, b) whose sets reach the threshold."""
+    """Those of the distinct ``pairs`` (a, b) whose ``sets`` (node, tokens; repeated ones are one) reach the threshold."""
 
     def check(batches: Iterator[Columns]) -> Iterator[Columns]:
         for batch in batches:
@@ -217,6 +217,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
             ]
             yield {"a": [batch["a"][k] for k in hits], "b": [batch["b"][k] for k in hits]}
 
+    # Repeated rows give a set once for each task that has them; both joins read one shuffle of the sets.
+    sets = sets.dropDuplicates(["node"])
     x = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     y = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
     return map_batches(pairs.join(x, "a").join(y, "b"), check, "a long, b long")
@@ -244,12 +246,15 @@ def token_sets(docs: DataFrame, wanted: DataFrame, levels: np.ndarray) -> DataFr
     bitmap = bitmap.reshape(-1)
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
+        seen: set[int] = set()
         for batch in batches:
             at = np.array(batch["place"], dtype=np.int64) - 1
             hit = np.flatnonzero((bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
             sets = [ordered_tokens(h, levels) for h in shingle_sets([batch["text"][k] for k in hit])]
-            sets = [t for t in sets if len(t)]
-            yield {"node": [set_identity(t)[0] for t in sets], "tokens": [t.tobytes() for t in sets]}
+            named = {set_identity(t)[0]: t for t in sets if len(t)}
+            new = [node for node in named if node not in seen]
+            seen.update(new)
+            yield {"node": new, "tokens": [named[node].tobytes() for node in new]}
 
     doc = F.coalesce("doc_id", F.lit(-(2**63)))
     texts = docs.select("text", doc.alias("doc"), F.xxhash64("text").alias("tie")).select("text", place("doc", "tie").alias("place"))
@@ -264,7 +269,7 @@ def fits(n: Column, pos: Column, other_n: Column, other_pos: Column, percent: in
 
 
 def pivot_pairs(shared: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of each token's pivot, another one each turn, with its nodes of other labels.
+    """Pairs (a < b) of each token's pivot, another one each turn, with its nodes of other labels.
 
     A token of very many nodes gives as many pairs as nodes.
     """
@@ -275,11 +280,11 @@ def pivot_pairs(shared: DataFrame, turn: int, percent: int) -> DataFrame:
     )
     near = fits(F.col("n"), F.col("pos"), F.col("pivot_n"), F.col("pivot_pos"), percent)
     met = shared.join(heads, "token").where((F.col("label") != F.col("pivot_label")) & near)
-    return met.select("a", F.col("node").alias("b")).distinct()
+    return met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
 
 
 def open_pairs(shared: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a token's nodes with different labels that pass the filters."""
+    """All pairs (a < b) of a token's nodes with different labels that pass the filters."""
     a, b = shared.alias("a"), shared.alias("b")
     near = fits(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), percent)
     apart = (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label"))
@@ -305,20 +310,27 @@ def candidates(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> t
     same = F.assert_true(F.col("check") == F.col("other"), F.lit("two sets share a node number"))
     classes = write_through(classes.withColumn("sure", same).where(F.col("sure").isNull()).drop("check", "other", "sure"), "classes")
 
-    postings = rows.where("prefix is not null").select("row", F.posexplode("prefix").alias("pos", "token"))
-    often = postings.groupBy("token").agg(F.count(F.lit(1)).alias("uses")).where("uses > 1").select("token")
+    # Each of the two shuffles by token is read by all that follows. The largest values only keep
+    # the columns of both readers alike, so that it is one shuffle.
+    postings = rows.where("prefix is not null").select("row", F.posexplode("prefix").alias("pos", "token")).repartition("token")
+    often = postings.groupBy("token").agg(F.min("row").alias("low"), F.max("row").alias("high"), F.max("pos").alias("last"))
+    often = often.where("low != high and last is not null").select("token")
     of_row = rows.where("n > 0").select("row", "node", F.col("n").cast("int").alias("n"))
-    several = write_through(postings.join(often, "token").join(of_row, "row").select("token", "node", "n", "pos").distinct(), "tokens")
-    many = several.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high")
-    shared = write_through(several.join(many.select("token"), "token", "left_semi").withColumn("label", F.col("node")), "shared-tokens")
+    named = postings.join(often, "token").join(of_row, "row").select("token", "node", "n", "pos").repartition("token")
+    many = named.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.max("n").alias("most"), F.max("pos").alias("last"))
+    many = many.where("low != high and most is not null and last is not null").select("token")
+    several = named.distinct().join(many, "token", "left_semi")
+    shared = write_through(several.withColumn("label", F.col("node")), "shared-tokens")
     return rows, classes, shared
 
 
 def checked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
     """Those of the stored ``pairs`` (a, b) of nodes whose sets reach the threshold, stored."""
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = token_sets(docs, classes.join(asked, "node").select("node", "doc", "tie"), levels)
-    return write_through(verified(pairs, write_through(sets, "token-sets"), percent), "verified-links")
+    sets = write_through(token_sets(docs, classes.join(asked, "node").select("node", "doc", "tie"), levels), "token-sets")
+    links = write_through(verified(pairs, sets, percent), "verified-links")
+    discard(sets)
+    return links
 
 
 def jaccard_links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -350,27 +362,38 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` (doc_id, text) to rows doc_id, n_shingles, component_id, label and tie (text hash).
 
     Equal sets are one node. A shingle in the prefixes of several nodes links them as candidates
-    where the length and positional filters let them: for some turns each node with one pivot of
-    the shingle only, so that a shingle of very many nodes gives as many pairs as nodes; then all
-    pairs that are left, of nodes in different components. A pair is verified once in a turn.
+    where the length and positional filters let them: at first each node with one pivot of the
+    shingle only, so that a shingle of very many nodes gives as many pairs as nodes, with another
+    pivot each turn, as long as a turn settles OPEN_PART of what is open; then all pairs that are
+    left, of nodes in different components. Pairs of earlier turns are left out: each is verified
+    once.
     Sets without a shingle are linked with nothing. Null doc_ids take part; the smallest doc_id
     of a component leaves them out, and is null where there is no other. Repeated rows are copies.
     """
     levels = count_levels(docs)
     rows, classes, shared = candidates(docs, levels, percent)
-    labels = None
-    for turn in range(PIVOT_TURNS + 1):
-        if turn < PIVOT_TURNS:
-            pairs = pivot_pairs(shared, turn, percent)
-        else:
-            pairs = open_pairs(shared, percent)
+    labels, tried, turn, n_open, pivots = None, [], 0, shared.count(), True
+    while n_open:
+        pairs = pivot_pairs(shared, turn, percent) if pivots else open_pairs(shared, percent)
+        if tried:
+            pairs = pairs.join(reduce(DataFrame.unionByName, tried), ["a", "b"], "left_anti")
         pairs = write_through(pairs, "pairs")
         found = checked(pairs, docs, classes, levels, percent)
         # A component so far is a star about its label, so its links are as few as its nodes.
         stars = [] if labels is None else [labels.select(F.col("node").alias("a"), F.col("label").alias("b"))]
-        labels = write_through(components(reduce(DataFrame.unionByName, stars, found)), "labels")
-        if turn < PIVOT_TURNS:
+        old, labels = labels, write_through(components(reduce(DataFrame.unionByName, stars, found)), "labels")
+        tried.append(pairs)
+        before = shared
+        if pivots:
             shared = write_through(still_open(shared, labels), "open-tokens")
+            was, n_open = n_open, shared.count()
+            turn, pivots = turn + 1, n_open <= OPEN_PART * was
+        else:
+            n_open = 0
+        discard(before, found, *([old] if old is not None else []))
+    discard(*tried)
+    if labels is None:
+        labels = shared.select("node", "label")
 
     lows = classes.select("node", "low").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     component = lows.groupBy("label").agg(F.min("low").alias("component_id"))
