@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import zlib
 from collections import Counter, defaultdict
 
@@ -99,10 +100,52 @@ def test_shards_are_narrow(spark, sf_dir):
 
 
 def test_written_shards(spark, sf_dir, tmp_path):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    hilbert.write_shards(docs, hilbert.shard_documents(docs, 4), str(tmp_path / "out"))
+    """Every row once, repeated ones and those without a doc_id too, with its own columns."""
+    extra = spark.createDataFrame([(None, None, None, None, None), (7, "x", "en", "s", 1), (7, "x", "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").unionByName(odd(spark)).unionByName(extra).withColumn("shard", F.lit("own"))
+    hilbert.write_shards(docs, str(tmp_path / "out"), 4)
     back = spark.read.parquet(str(tmp_path / "out"))
-    assert back.count() == docs.count() and back.select("shard").distinct().count() == 4
+    names = ["doc_id", "text", "lang", "source", "n_chars"]
+    assert Counter(tuple(r) for r in back.select(*names).collect()) == Counter(tuple(r) for r in docs.select(*names).collect())
+    counts = [r["count"] for r in back.groupBy("shard").count().collect()]
+    assert len(counts) == 4 and max(counts) - min(counts) <= 1
+
+
+def test_sources_with_a_common_beginning_are_told_apart(spark, tmp_path):
+    """Whole values are ranked: shards hold few of many long names, and readers skip files by them."""
+    rows = [(k, "t", "en", f"https://a-long-common-beginning/{k % 32:02d}", 1) for k in range(2048)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    placed = hilbert.shard_documents(docs, shards=16).select("shard", "source").distinct()
+    assert placed.groupBy("shard").count().agg(F.max("count")).first()[0] <= 16
+    hilbert.write_shards(docs, str(tmp_path / "out"), 16)
+    import pyarrow.parquet as pq
+
+    spans = [pq.read_metadata(f).row_group(0).column(3).statistics for f in (tmp_path / "out").rglob("*.parquet")]
+    asked = "https://a-long-common-beginning/03"
+    assert sum(x.min <= asked <= x.max for x in spans) <= len(spans) / 2
+
+
+def test_order_of_shards_is_that_of_the_curve(spark):
+    """Cells by brute force: share of rows at or below a value; rows by curve place, then doc_id."""
+    rng = np.random.default_rng(2)
+    rows = [(k, "x" * int(rng.integers(1, 40)), ["de", "en", None][k % 3], f"s{int(rng.zipf(1.5)) % 9}", 1) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+
+    def text_cells(values):
+        known = sorted(v for v in values if v is not None)
+        ends = [v for v in sorted(set(known)) if 64 * sum(x <= v for x in known) // len(known) > 64 * sum(x < v for x in known) // len(known)]
+        return [0 if v is None else sum(e < v for e in ends) for v in values]
+
+    def number_cells(values):
+        known = sorted(values)
+        edges = sorted({known[max(0, math.ceil(k * len(known) / 64) - 1)] for k in range(1, 64)})
+        return [sum(e < v for e in edges) for v in values]
+
+    dims = [text_cells([r[3] for r in rows]), text_cells([r[2] for r in rows]), number_cells([len(r[1]) + 1 for r in rows]), number_cells([r[0] for r in rows])]
+    curve = hilbert.curve_index(np.array(dims).T, 6)
+    order = sorted(range(400), key=lambda k: (curve[k], k))
+    found = hilbert.shard_documents(docs, 16).orderBy("shard", "slot").collect()
+    assert [r["doc_id"] for r in found] == order
 
 
 # ---------------------------------------------------------------- pipeline

@@ -178,7 +178,9 @@ def read_ids(manifest: DataFrame, folder: str) -> DataFrame:
                 found.append(reader.ids(first, n).tobytes())
             yield {**batch, "ids": found}
 
-    by_file = manifest.repartition("part").sortWithinPartitions("part", "first")
+    # As many tasks as files: rows of the manifest are too small for Spark to tell.
+    n_files = manifest.agg(F.count_distinct("file")).first()[0]
+    by_file = manifest.repartitionByRange(max(1, n_files), "part", "first").sortWithinPartitions("part", "first")
     return map_batches(by_file, fetch, MANIFEST + ", ids binary")
 
 

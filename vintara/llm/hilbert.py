@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vintara.llm.common import Columns, map_batches, read, write_through
+from vintara.operators.ordered import running_totals
 
 SHARDS = 16
 # Bits of each quantised dimension: 64 cells.
@@ -44,38 +46,53 @@ def curve_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def text_rank(column: Column) -> Column:
-    """A number that orders strings by their first seven bytes; null stays null."""
-    head = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 7)), 14, "0")
-    return F.conv(head, 16, 10).cast("long")
-
-
 def quantiles(df: DataFrame, dims: list[str], bits: int = BITS) -> list[list[float]]:
-    """Cell boundaries of each dimension from all rows, at most 2**bits - 1 each."""
+    """Cell boundaries of each numeric dimension from all rows, at most 2**bits - 1 each."""
     steps = [k / 2**bits for k in range(1, 2**bits)]
-    found = df.agg(*[F.percentile_approx(c, steps, QUANTILE_ACCURACY).alias(c) for c in dims]).first()
+    found = df.agg(*[F.percentile_approx(c, steps, QUANTILE_ACCURACY).alias(c) for c in dims]).first() if dims else {}
     return [sorted(set(found[c] or [])) for c in dims]
 
 
+def text_boundaries(df: DataFrame, dim: str, bits: int = BITS) -> list[bytes]:
+    """Cell boundaries of a dimension of strings: whole values, cut by the running share of all rows.
+
+    Rows are counted by value; the running totals are exact and in byte order of the values. At
+    most 2**bits values come to the driver.
+    """
+    counts = df.where(F.col(dim).isNotNull()).groupBy(dim).agg(F.count(F.lit(1)).alias("n"))
+    ranked = running_totals(counts, [], dim, ["n"])
+    cell = lambda n: F.floor(n * F.lit(2**bits) / F.col("all_n"))
+    ends = ranked.where(cell(F.col("cum_n")) > cell(F.col("cum_n") - F.col("n"))).select(dim)
+    return sorted(r[dim].encode() for r in ends.collect())
+
+
 def hilbert_order(docs: DataFrame, dims: dict[str, Column], bits: int = BITS) -> DataFrame:
-    """Add ``curve``, the Hilbert index of the quantised ``dims``, to ``docs``.
+    """Add ``curve``, the Hilbert index of the quantised ``dims`` (numbers or strings), to ``docs``.
 
-    Nulls share the lowest cell of a dimension. Boundaries are quantiles over all rows, so each
-    cell of a dimension holds about as many rows unless values repeat.
+    Nulls share the lowest cell of a dimension. Boundaries come from all rows, so each cell of a
+    dimension holds about as many rows unless values repeat. A column ``curve`` of docs is replaced.
     """
     names = [f"dim_{k}" for k in dims]
-    wide = docs.withColumns({f"dim_{k}": c.cast("double") for k, c in dims.items()})
-    edges = [np.array(e) for e in quantiles(wide, names, bits)]
-    kept = [f for f in docs.schema if f.name not in names]
+    wide = docs.withColumns({f"dim_{k}": c for k, c in dims.items()})
+    texts = {f.name for f in wide.schema if f.name in names and f.dataType.simpleString() == "string"}
+    numbers = [n for n in names if n not in texts]
+    wide = wide.withColumns({n: F.col(n).cast("double") for n in numbers})
+    edges: dict[str, list] = dict(zip(numbers, quantiles(wide, numbers, bits), strict=True))
+    edges |= {n: text_boundaries(wide, n, bits) for n in texts}
+    kept = [f for f in docs.schema if f.name not in (*names, "curve")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", curve long"
 
     def index(batches: Iterator[Columns]) -> Iterator[Columns]:
         for batch in batches:
             cells = []
-            for name, edge in zip(names, edges, strict=True):
-                values = np.array([-np.inf if v is None else v for v in batch.pop(name)])
-                cells.append(np.searchsorted(edge, values, "left"))
-            yield {**batch, "curve": curve_index(np.stack(cells, axis=1), bits)}
+            for name in names:
+                values, edge = batch.pop(name), edges[name]
+                if name in texts:
+                    cell = {v: bisect_left(edge, v.encode()) for v in set(values) if v is not None}
+                    cells.append(np.array([cell.get(v, 0) for v in values], np.int64))
+                else:
+                    cells.append(np.searchsorted(edge, [-np.inf if v is None else v for v in values], "left"))
+            yield {**{f.name: batch[f.name] for f in kept}, "curve": curve_index(np.stack(cells, axis=1), bits)}
 
     return map_batches(wide, index, schema)
 
@@ -101,36 +118,39 @@ def cut_runs(ordered: DataFrame, shards: int = SHARDS) -> DataFrame:
     return ranked.withColumn("shard", shard).withColumn("slot", rank - first).drop("range", "range_start", "in_range")
 
 
-def write_shards(docs: DataFrame, placed: DataFrame, path: str) -> None:
-    """Write ``docs`` as Parquet, a folder for each shard, rows in curve order.
-
-    ``placed`` has shard and slot by doc_id; files of a shard hold narrow ranges of every
-    dimension, so that readers skip files by their column statistics.
-    """
-    rows = docs.join(placed.select("doc_id", "shard", "slot"), "doc_id")
-    dealt = rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
-    dealt.write.partitionBy("shard").parquet(path)
-
-
 def document_dims() -> dict[str, Column]:
-    return {
-        "source": text_rank(F.col("source")), "lang": text_rank(F.col("lang")),
-        "size": F.col("size"), "doc": F.col("doc_id"),
-    }
+    return {"source": F.col("source"), "lang": F.col("lang"), "size": F.col("size"), "doc": F.col("doc_id")}
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = SHARDS, *, carried: bool = False) -> DataFrame:
     """Documents (doc_id, text, source, lang) to shards under the law of equal row counts.
 
     A null text has size 1 and the checksum of the empty text. Repeated rows take places of their
-    own; null doc_ids are placed like the smallest.
+    own; null doc_ids are placed like the smallest. With ``carried`` all columns of docs come
+    along; those named as the result's (size, text_crc32, tie, curve, shard, slot) are replaced.
     """
     text = F.coalesce("text", F.lit(""))
-    slim = docs.select(
-        "doc_id", "source", "lang", (F.octet_length(text) + F.lit(1)).cast("long").alias("size"),
-        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.xxhash64("text").alias("tie"),
-    )
-    return cut_runs(hilbert_order(slim, document_dims()), shards)
+    own = {
+        "size": (F.octet_length(text) + F.lit(1)).cast("long"), "text_crc32": F.crc32(F.encode(text, "UTF-8")),
+        "tie": F.xxhash64("text"),
+    }
+    if carried:
+        wide = docs.drop("curve", "shard", "slot", "range").withColumns(own)
+    else:
+        wide = docs.select("doc_id", "source", "lang", *[c.alias(n) for n, c in own.items()])
+    return cut_runs(hilbert_order(wide, document_dims()), shards)
+
+
+def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
+    """Write ``docs`` as Parquet, a folder for each shard, rows in curve order.
+
+    Every row is written once, repeated ones and those without a doc_id too: rows keep their
+    columns through the placing, nothing is joined. Files of a shard hold narrow ranges of every
+    dimension, so that readers skip files by their column statistics.
+    """
+    placed = shard_documents(docs, shards, carried=True).drop("size", "text_crc32", "tie", "curve")
+    dealt = placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+    dealt.write.partitionBy("shard").parquet(path)
 
 
 def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

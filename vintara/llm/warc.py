@@ -196,7 +196,9 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
                 out["refers_to"].append(None if target is None else int(target))
             yield out
 
-    by_file = manifest.repartition("file").sortWithinPartitions("file", "at")
+    # As many tasks as archives: rows of the manifest are too small for Spark to tell.
+    n_files = manifest.agg(F.count_distinct("file")).first()[0]
+    by_file = manifest.repartitionByRange(max(1, n_files), "file", "at").sortWithinPartitions("file", "at")
     return map_batches(by_file, fetch, READ)
 
 
