@@ -222,3 +222,12 @@ def test_vintage_curves(svcg, orig):
     assert [p["obs_year"] for p in series[2010]] == [2010, 2011, 2012]
     wide = {r["obs_year"]: r for r in vintages.vintage_pivot(vintages.vintage_curves(years)).collect()}
     assert wide[2010]["2010"] == 100.0 and wide[2010]["2011"] is None
+
+
+def test_vintage_pivot_takes_the_vintages_of_the_data(spark):
+    rows = [(2003, 2005, 10, 0.1), (2003, 2006, 10, 0.2), (2019, 2020, 4, 0.25), (None, 2020, 4, 0.5)]
+    curves = spark.createDataFrame(rows, "vintage_year int, obs_year int, total_loans long, default_rate double")
+    wide = {r["obs_year"]: r for r in vintages.vintage_pivot(curves).collect()}
+    assert wide[2005].asDict() == {"obs_year": 2005, "2003": 10.0, "2019": None} and wide[2020]["2019"] == 25.0
+    assert vintages.vintage_pivot(curves, [2019]).columns == ["obs_year", "2019"]
+    assert vintages.vintage_pivot(curves.limit(0)).collect() == []

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vintara import schema as S
+from vintara.session import write_through
 
 
 def loan_years(servicing: DataFrame, origination: DataFrame) -> DataFrame:
@@ -59,9 +62,17 @@ def cumulative_curves(loan_years: DataFrame) -> DataFrame:
     ).withColumn("cumulative_default_rate", F.col("cumulative_defaults") / F.col("vintage_loans"))
 
 
-def vintage_pivot(curves: DataFrame, years: tuple[int, ...] = S.VINTAGE_YEARS) -> DataFrame:
-    """One row per observation year, one column per vintage, rate in percent to 3 places."""
+def vintage_pivot(curves: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
+    """One row per observation year, one column per vintage, rate in percent to 3 places.
+
+    Vintages are those of ``curves``, or the given ``years``. The curves, a few rows per vintage,
+    are stored, as they are read for their vintages first.
+    """
     percent = F.round(F.col("default_rate") * 100, 3)
+    if years is None:
+        curves = write_through(curves, "vintage-curves")
+        rows = curves.where(F.col("vintage_year").isNotNull()).select("vintage_year").distinct().collect()
+        years = sorted(r["vintage_year"] for r in rows)
     return curves.groupBy("obs_year").pivot("vintage_year", list(years)).agg(F.max(percent))
 
 
