@@ -10,7 +10,7 @@ import numpy as np
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vintara.llm.common import Columns, discard, map_batches, read, write_through
@@ -29,7 +29,9 @@ HASH_BITS = 64 - LEVEL_BITS
 GROUP_BYTES = 1_000_000
 LONG_WORD = 32
 SUFFIX_DEPTH = 3
-# Turns in which a shingle's nodes meet a pivot go on while each leaves at most this part of the rows open.
+# Turns in which a shingle's nodes meet a pivot go on while there are many more pairs left than
+# rows, and a turn leaves at most this part of the pairs.
+PAIRS_A_ROW = 2
 OPEN_PART = 0.8
 # Bits of the bitmap of wanted documents: for each of them, and at most (32 MB).
 BITMAP_BITS_EACH = 16
@@ -271,16 +273,13 @@ def fits(n: Column, pos: Column, other_n: Column, other_pos: Column, percent: in
 def pivot_pairs(shared: DataFrame, turn: int, percent: int) -> DataFrame:
     """Pairs (a < b) of each token's pivot, another one each turn, with its nodes of other labels.
 
-    A token of very many nodes gives as many pairs as nodes.
+    A token of very many nodes gives as many pairs as nodes. One shuffle by token.
     """
-    chance = F.xxhash64("node", F.lit(turn))
-    pivots = shared.groupBy("token").agg(F.min_by("node", chance).alias("node"))
-    heads = shared.join(pivots, ["token", "node"]).select(
-        "token", F.col("node").alias("a"), F.col("n").alias("pivot_n"), F.col("pos").alias("pivot_pos"), F.col("label").alias("pivot_label")
-    )
-    near = fits(F.col("n"), F.col("pos"), F.col("pivot_n"), F.col("pivot_pos"), percent)
-    met = shared.join(heads, "token").where((F.col("label") != F.col("pivot_label")) & near)
-    return met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    chance = F.xxhash64("node", F.lit(turn)).alias("chance")
+    pivot = F.min(F.struct(chance, "node", "n", "pos", "label")).over(Window.partitionBy("token"))
+    near = fits(F.col("n"), F.col("pos"), F.col("pivot.n"), F.col("pivot.pos"), percent)
+    met = shared.withColumn("pivot", pivot).where((F.col("label") != F.col("pivot.label")) & near)
+    return met.select(F.least("pivot.node", "node").alias("a"), F.greatest("pivot.node", "node").alias("b")).distinct()
 
 
 def open_pairs(shared: DataFrame, percent: int) -> DataFrame:
@@ -295,12 +294,27 @@ def open_pairs(shared: DataFrame, percent: int) -> DataFrame:
 def still_open(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of tokens whose nodes have several labels, with these labels."""
     named = shared.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = named.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-    return named.join(mixed.select("token"), "token", "left_semi")
+    return several_values(named, "label")
+
+
+def several_values(rows: DataFrame, name: str) -> DataFrame:
+    """The rows of tokens that have more than one value of ``name``; one shuffle by token."""
+    token = Window.partitionBy("token")
+    ends = rows.withColumns({"low": F.min(name).over(token), "high": F.max(name).over(token)})
+    return ends.where("low != high").drop("low", "high")
+
+
+def open_size(shared: DataFrame) -> tuple[int, int]:
+    """Rows of ``shared``, and pairs of a token's nodes with different labels."""
+    labels = shared.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"))
+    n = F.col("n").cast("decimal(20,0)")
+    tokens = labels.groupBy("token").agg(F.sum("n").alias("n"), F.sum(n * n).alias("alike"))
+    found = tokens.agg(F.sum("n"), F.sum((n * n - F.col("alike")) / 2)).first()
+    return int(found[0] or 0), int(found[1] or 0)
 
 
 def candidates(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Stored rows with prefixes, classes of equal sets by node, and the tokens that several nodes' prefixes share."""
+    """Stored rows, classes of equal sets by node, and the tokens that several nodes' prefixes share."""
     rows = write_through(with_prefixes(docs, levels, percent), "prefixes")
     doc = F.coalesce("doc_id", F.lit(-(2**63)))
     classes = rows.where("n > 0").groupBy("node").agg(
@@ -310,17 +324,14 @@ def candidates(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> t
     same = F.assert_true(F.col("check") == F.col("other"), F.lit("two sets share a node number"))
     classes = write_through(classes.withColumn("sure", same).where(F.col("sure").isNull()).drop("check", "other", "sure"), "classes")
 
-    # Each of the two shuffles by token is read by all that follows. The largest values only keep
-    # the columns of both readers alike, so that it is one shuffle.
-    postings = rows.where("prefix is not null").select("row", F.posexplode("prefix").alias("pos", "token")).repartition("token")
-    often = postings.groupBy("token").agg(F.min("row").alias("low"), F.max("row").alias("high"), F.max("pos").alias("last"))
-    often = often.where("low != high and last is not null").select("token")
+    postings = rows.where("prefix is not null").select("row", F.posexplode("prefix").alias("pos", "token"))
     of_row = rows.where("n > 0").select("row", "node", F.col("n").cast("int").alias("n"))
-    named = postings.join(often, "token").join(of_row, "row").select("token", "node", "n", "pos").repartition("token")
-    many = named.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.max("n").alias("most"), F.max("pos").alias("last"))
-    many = many.where("low != high and most is not null and last is not null").select("token")
-    several = named.distinct().join(many, "token", "left_semi")
-    shared = write_through(several.withColumn("label", F.col("node")), "shared-tokens")
+    named = several_values(postings, "row").join(of_row, "row").select("token", "node", "n", "pos")
+    shared = write_through(several_values(named, "node").distinct().withColumn("label", F.col("node")), "shared-tokens")
+    # Prefixes are not read any more.
+    slim = write_through(rows.drop("prefix"), "rows")
+    discard(rows)
+    rows = slim
     return rows, classes, shared
 
 
@@ -364,15 +375,17 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Equal sets are one node. A shingle in the prefixes of several nodes links them as candidates
     where the length and positional filters let them: at first each node with one pivot of the
     shingle only, so that a shingle of very many nodes gives as many pairs as nodes, with another
-    pivot each turn, as long as a turn settles OPEN_PART of what is open; then all pairs that are
-    left, of nodes in different components. Pairs of earlier turns are left out: each is verified
-    once.
+    pivot each turn, as long as many more pairs than rows are left and a turn leaves OPEN_PART of
+    them at most; then all pairs that are left, of nodes in different components. Pairs of earlier
+    turns are left out: each is verified once.
     Sets without a shingle are linked with nothing. Null doc_ids take part; the smallest doc_id
     of a component leaves them out, and is null where there is no other. Repeated rows are copies.
     """
     levels = count_levels(docs)
     rows, classes, shared = candidates(docs, levels, percent)
-    labels, tried, turn, n_open, pivots = None, [], 0, shared.count(), True
+    labels, tried, turn = None, [], 0
+    n_open, n_pairs = open_size(shared)
+    pivots = n_pairs > PAIRS_A_ROW * n_open
     while n_open:
         pairs = pivot_pairs(shared, turn, percent) if pivots else open_pairs(shared, percent)
         if tried:
@@ -386,8 +399,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         before = shared
         if pivots:
             shared = write_through(still_open(shared, labels), "open-tokens")
-            was, n_open = n_open, shared.count()
-            turn, pivots = turn + 1, n_open <= OPEN_PART * was
+            most = OPEN_PART * n_pairs
+            n_open, n_pairs = open_size(shared)
+            turn, pivots = turn + 1, PAIRS_A_ROW * n_open < n_pairs <= most
         else:
             n_open = 0
         discard(before, found, *([old] if old is not None else []))
