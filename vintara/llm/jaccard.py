@@ -32,7 +32,8 @@ SUFFIX_DEPTH = 3
 # Turns in which a shingle's nodes meet a pivot go on while there are many more pairs left than
 # rows, and a turn leaves at most this part of the pairs.
 PAIRS_A_ROW = 2
-OPEN_PART = 0.8
+OPEN_PART = 0.9
+NODE_PIVOTS = 8
 # Bits of the bitmap of wanted documents: for each of them, and at most (32 MB).
 BITMAP_BITS_EACH = 16
 MOST_BITMAP_BITS = 1 << 28
@@ -271,15 +272,19 @@ def fits(n: Column, pos: Column, other_n: Column, other_pos: Column, percent: in
 
 
 def pivot_pairs(shared: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs (a < b) of each token's pivot, another one each turn, with its nodes of other labels.
+    """Pairs (a < b) of nodes with pivots of their tokens, of other labels; other pivots each turn.
 
-    A token of very many nodes gives as many pairs as nodes. One shuffle by token.
+    A token's pivot is its node of the smallest chance. A node meets NODE_PIVOTS of its tokens'
+    pivots, those of the smallest chance, so that there are about as many pairs as nodes however
+    many nodes a token has. One shuffle by token, one by node.
     """
     chance = F.xxhash64("node", F.lit(turn)).alias("chance")
     pivot = F.min(F.struct(chance, "node", "n", "pos", "label")).over(Window.partitionBy("token"))
     near = fits(F.col("n"), F.col("pos"), F.col("pivot.n"), F.col("pivot.pos"), percent)
     met = shared.withColumn("pivot", pivot).where((F.col("label") != F.col("pivot.label")) & near)
-    return met.select(F.least("pivot.node", "node").alias("a"), F.greatest("pivot.node", "node").alias("b")).distinct()
+    tried = met.select("node", F.col("pivot.chance").alias("chance"), F.col("pivot.node").alias("other")).distinct()
+    first = tried.withColumn("at", F.row_number().over(Window.partitionBy("node").orderBy("chance", "other"))).where(F.col("at") <= NODE_PIVOTS)
+    return first.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
 def open_pairs(shared: DataFrame, percent: int) -> DataFrame:
@@ -338,10 +343,8 @@ def candidates(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> t
 def checked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
     """Those of the stored ``pairs`` (a, b) of nodes whose sets reach the threshold, stored."""
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = write_through(token_sets(docs, classes.join(asked, "node").select("node", "doc", "tie"), levels), "token-sets")
-    links = write_through(verified(pairs, sets, percent), "verified-links")
-    discard(sets)
-    return links
+    sets = token_sets(docs, classes.join(asked, "node").select("node", "doc", "tie"), levels)
+    return write_through(verified(pairs, sets, percent), "verified-links")
 
 
 def jaccard_links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
