@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import table
 from vintara.llm import crf, pii, repetition
@@ -90,6 +91,46 @@ def test_masked_text(spark, pii_dir):
     assert rows == {1: "call <PHONE> or <EMAIL>, é", 2: None, 3: "", 4: "<IP>"}
 
 
+def plain_mask(text, spans):
+    at, out = 0, ""
+    for start, kind, end in spans:
+        if start >= at:
+            out += text[at:start] + f"<{list(BASE)[kind].upper()}>"
+        at = max(at, end)
+    return out + text[at:]
+
+
+def test_many_spans_in_long_texts(spark):
+    """Texts of thousands of spans, of a million characters, and with cuts at every edge of pieces and blocks."""
+    phones = " call +1 (743) 555-3824 or 212-555-0187, é𝒳@" * 8_000
+    texts = [phones, "+49 30 1234567 4111 1111 1111 1111 " * 6_000, "x " * 500_000 + " a@b.com " + "é" * 5_000]
+    texts += ["é" * n + "+12345678901;a@b.cc" + "z" * m for n in (1022, 1023, 1024, 2047) for m in (0, 1, 1005)]
+    texts += ["1.2.3.4 " * n for n in (127, 128, 129, 256, 257)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    found = pii.detect(docs, pii.learn(docs))
+    rows = found.select("k", "base", "spans", pii.masked(found["text"], found["spans"]).alias("masked")).collect()
+    for r in rows:
+        text, kinds = texts[r["k"]], list(BASE)
+        assert [f"{kinds[s['kind']]}:{s['start']}:{s['end']}" for s in r["base"]] == base_spans(text)
+        assert r["masked"] == plain_mask(text, r["spans"])
+    assert max(len(r["spans"]) for r in rows) == 16_000
+
+
+def test_added_spans_keep_clear_of_base_spans(spark):
+    rng = np.random.default_rng(1)
+
+    def drawn(n):
+        starts = rng.integers(0, 3_000, n)
+        return sorted((int(a), int(k), int(a + w)) for a, k, w in zip(starts, rng.integers(0, 4, n), rng.integers(1, 9, n), strict=True))
+
+    cases = [(k, drawn(n), drawn(m)) for k, (n, m) in enumerate([(0, 5), (5, 0), (1, 1), (300, 700), (700, 300), (400, 400)])]
+    kind = "array<struct<start:int,kind:int,end:int>>"
+    df = spark.createDataFrame(cases, f"k int, base {kind}, more {kind}")
+    for r in df.select("k", F.array_sort(pii.apart(F.col("more"), F.col("base"))).alias("kept")).collect():
+        _, base, more = cases[r["k"]]
+        assert [tuple(s) for s in r["kept"]] == [m for m in more if not any(b[0] < m[2] and m[0] < b[2] for b in base)]
+
+
 def test_reliable_labelers_are_told_from_noise():
     rng = np.random.default_rng(0)
     truth = rng.random(4000) < 0.4

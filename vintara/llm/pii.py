@@ -7,6 +7,7 @@ reliable each labeler is, and its posteriors train the final classifier of spans
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
@@ -55,6 +56,9 @@ COUNTER_CUES = r"(?i)(?:version|release|isbn|issn|order|invoice|serial|part no|m
 CONTEXT = 40
 LABELERS = ("form", "valid", "gazetteer", "cue", "counter_cue", "edges")
 ACCEPT = 0.8
+# Numbers folded as one block, and code points of a piece of text: both only bound the work for a span.
+BLOCK = 128
+PIECE = 1024
 ROUNDS = 60
 
 
@@ -63,24 +67,71 @@ def found(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, also where ``use`` names it inside lambdas."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def larger(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+def running(numbers: Column, fold: Callable[[Column, Column], Column]) -> Column:
+    """For each of the numbers the fold, from 0, of those before it.
+
+    A fold that keeps all its steps copies them at each, so numbers go by blocks of ``BLOCK``: the
+    totals of the blocks give each block its start.
+    """
+    none = F.array().cast("array<array<int>>")
+
+    def steps(values: Column, first: Column) -> Column:
+        more = lambda done, v: F.concat(done, F.array(fold(F.get(done, F.size(done) - 1), v)))
+        return F.aggregate(values, F.array(first), more)
+
+    def cut(values: Column) -> Column:
+        last = ((F.size(values) - 1) / BLOCK).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(values, k * BLOCK + 1, F.lit(BLOCK)))
+        return F.when(F.size(values) == 0, none).otherwise(blocks)
+
+    def before(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), fold))
+        return let(steps(totals, F.lit(0)), lambda firsts: F.flatten(F.transform(
+            blocks, lambda b, k: F.slice(steps(b, F.get(firsts, k)), F.lit(1), F.size(b))
+        )))
+
+    return let(let(numbers, cut), before)
+
+
 def placed(text: Column, values: Column, pattern: str) -> Column:
     """Matches with their places: the gaps between matches come from a split by the same pattern."""
     none = F.array().cast("array<struct<start:int,value:string>>")
 
-    def fold(gaps: Column) -> Column:
-        def step(done: Column, k: Column) -> Column:
-            start = done["at"] + F.length(F.get(gaps, k))
-            value = F.get(values, k)
-            return F.struct(
-                (start + F.length(value)).alias("at"),
-                F.concat(done["spans"], F.array(F.struct(start.alias("start"), value.alias("value")))).alias("spans"),
-            )
+    def spans(gaps: Column) -> Column:
+        lengths = F.transform(values, lambda v, k: F.length(F.get(gaps, k)) + F.length(v))
+        return let(running(lengths, lambda a, b: a + b), lambda before: F.transform(
+            values, lambda v, k: F.struct((F.get(before, k) + F.length(F.get(gaps, k))).alias("start"), v.alias("value"))
+        ))
+
+    return F.when(F.size(values) == 0, none).otherwise(let(F.split(text, pattern, -1), spans))
+
+
+def pieces_of(text: Column) -> Column:
+    """The text cut every ``PIECE`` code points, so that a part is reached without counting from the start."""
+    return F.when(F.length(text) <= PIECE, F.array(text)).otherwise(found(text, f"(?s).{{1,{PIECE}}}"))
+
 
-        first = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(values) - 1), first, step, lambda done: done["spans"])
+def near(pieces: Column, start: Column, length: Column) -> Column:
+    """A part of the text that is no longer than a piece, out of the two pieces that hold it."""
+    first = (start / PIECE).cast("int")
+    held = F.concat(F.get(pieces, first), F.coalesce(F.get(pieces, first + 1), F.lit("")))
+    return F.coalesce(F.substring(held, start - first * PIECE + 1, length), F.lit(""))
 
-    gaps = F.transform(F.array(F.split(text, pattern, -1)), fold)
-    return F.when(F.size(values) == 0, none).otherwise(F.get(gaps, F.lit(0)))
+
+def between(pieces: Column, start: Column, end: Column) -> Column:
+    """The text from ``start`` to before ``end``, out of the pieces that hold it."""
+    first, last = (start / PIECE).cast("int"), (end / PIECE).cast("int")
+    held = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+    return F.substring(held, start - first * PIECE + 1, end - start)
 
 
 def luhn(digits: Column) -> Column:
@@ -106,11 +157,20 @@ def valid(kind: str, value: Column) -> Column:
     return F.length(digits).between(9, 15)
 
 
-def votes(kind: str, text: Column, span: Column, base: bool) -> Column:
+def in_context(pieces: Column, span: Column) -> Column:
+    """A placed span with its end, the text before it and the character after it."""
+    start = span["start"]
+    end = start + F.length(span["value"])
+    left = near(pieces, F.greatest(start - CONTEXT, F.lit(0)), F.least(start, F.lit(CONTEXT)))
+    return F.struct(
+        start.alias("start"), end.alias("end"), span["value"].alias("value"),
+        left.alias("left"), near(pieces, end, F.lit(1)).alias("right"),
+    )
+
+
+def votes(kind: str, span: Column, base: bool) -> Column:
     """What each labeler says of a span, coded 0 against, 1 nothing, 2 for; and its length class."""
-    value, start = span["value"], span["start"]
-    left = F.substring(text, F.greatest(start - CONTEXT, F.lit(0)) + 1, F.least(start, F.lit(CONTEXT)))
-    right = F.substring(text, start + F.length(value) + 1, F.lit(1))
+    value, left, right = span["value"], span["left"], span["right"]
     yes, no, silent = F.lit(2), F.lit(0), F.lit(1)
     ok = valid(kind, value)
     bare = F.regexp_replace(value, "[^0-9]", "") if kind == "card" else value
@@ -123,7 +183,7 @@ def votes(kind: str, text: Column, span: Column, base: bool) -> Column:
         "edges": F.when(F.right(left, F.lit(1)).rlike(r"[\p{L}\p{N}]") | right.rlike(r"[\p{L}\p{N}]"), no).otherwise(silent),
     }
     return F.struct(
-        start.alias("start"), (start + F.length(value)).alias("end"), F.lit(base).alias("base"), ok.alias("ok"),
+        span["start"].alias("start"), span["end"].alias("end"), F.lit(base).alias("base"), ok.alias("ok"),
         *[said[k].alias(k) for k in LABELERS], F.least(F.length(value) / 8, F.lit(3)).cast("int").alias("size"),
     )
 
@@ -141,16 +201,19 @@ def with_candidates(docs: DataFrame) -> DataFrame:
         {f"_{k}": F.when(guard[k], found(text, BASE[k])).otherwise(none) for k in KINDS}
         | {f"_{k}_wide": F.when(loose[k], found(text, WIDE[k])).otherwise(none) for k in KINDS}
     )
+    sizes = [F.size(c) for k in KINDS for c in (f"_{k}", f"_{k}_wide")]
     second = first.withColumns(
         {f"_{k}": placed(text, F.col(f"_{k}"), BASE[k]) for k in KINDS}
         | {f"_{k}_wide": placed(text, F.col(f"_{k}_wide"), WIDE[k]) for k in KINDS}
+        | {"_pieces": F.when(reduce(lambda a, b: a + b, sizes) > 0, pieces_of(text))}
     )
 
     def voted(kind: str, name: str, base: bool) -> Column:
-        return F.transform(F.col(name), lambda s: votes(kind, text, s, base))
+        spans = F.transform(F.col(name), lambda s: in_context(F.col("_pieces"), s))
+        return F.transform(spans, lambda s: votes(kind, s, base))
 
     both = {f"_{k}": F.concat(voted(k, f"_{k}", True), voted(k, f"_{k}_wide", False)) for k in KINDS}
-    return second.withColumns(both).drop(*[f"_{k}_wide" for k in KINDS])
+    return second.withColumns(both).drop("_pieces", *[f"_{k}_wide" for k in KINDS])
 
 
 def vote_counts(candidates: DataFrame) -> dict[str, np.ndarray]:
@@ -240,8 +303,28 @@ def detect(docs: DataFrame, model: dict[str, list[float]], accept: float = ACCEP
     base = F.concat(*[chosen(k, True) for k in range(len(KINDS))])
     more = F.concat(*[chosen(k, False) for k in range(len(KINDS))])
     both = candidates.withColumn("base", F.array_sort(base)).withColumn("_more", more).drop(*[f"_{k}" for k in KINDS])
-    apart = F.filter("_more", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    return both.withColumn("spans", F.array_sort(F.concat("base", apart))).drop("_more")
+    spans = F.array_sort(F.concat("base", apart(F.col("_more"), F.col("base"))))
+    return both.withColumn("spans", spans).drop("_more")
+
+
+def apart(more: Column, base: Column) -> Column:
+    """The spans of ``more`` that no base span overlaps.
+
+    Base spans at their start and the others at their end, in order: what overlaps a span starts
+    before its end, so the furthest end of the base spans before it tells.
+    """
+
+    def event(at: str, is_base: int) -> Callable[[Column], Column]:
+        return lambda s: F.struct(s[at].alias("at"), F.lit(is_base).alias("is_base"), s.alias("span"))
+
+    def free(events: Column) -> Column:
+        ends = F.transform(events, lambda e: e["is_base"] * e["span"]["end"])
+        return let(running(ends, larger), lambda furthest: F.transform(
+            F.filter(events, lambda e, k: (e["is_base"] == 0) & (F.get(furthest, k) <= e["span"]["start"])), lambda e: e["span"]
+        ))
+
+    events = F.array_sort(F.concat(F.transform(more, event("end", 0)), F.transform(base, event("start", 1))))
+    return F.when((F.size(more) == 0) | (F.size(base) == 0), more).otherwise(let(events, free))
 
 
 def written(spans: Column) -> Column:
@@ -253,18 +336,27 @@ def masked(text: Column, spans: Column) -> Column:
     """The text with each span replaced by its kind in angle brackets; overlapping spans by the first."""
     names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
 
-    def step(done: Column, s: Column) -> Column:
-        before = F.substring(text, done["at"] + 1, s["start"] - done["at"])
-        return F.when(s["start"] < done["at"], F.struct(
-            F.greatest(done["at"], s["end"]).alias("at"), done["out"].alias("out")
-        )).otherwise(F.struct(s["end"].alias("at"), F.concat(done["out"], before, F.get(names, s["kind"])).alias("out")))
+    def filled(pieces: Column) -> Column:
+        def parts(done: Column) -> Column:
+            # ``done`` is how far the spans before each one reach.
+            part = lambda s, k: F.when(s["start"] < F.get(done, k), "").otherwise(
+                F.concat(between(pieces, F.get(done, k), s["start"]), F.get(names, s["kind"]))
+            )
+            last = F.size(spans) - 1
+            rest = between(pieces, F.greatest(F.get(done, last), F.get(spans, last)["end"]), F.length(text))
+            return F.concat(F.array_join(F.transform(spans, part), ""), rest)
+
+        return let(running(F.transform(spans, lambda s: s["end"]), larger), parts)
 
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, first, step, rest))
+    return F.when(F.size(spans) == 0, text).otherwise(let(pieces_of(text), filled))
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, their digest and all spans of each document; a null or an empty text has none.
+
+    Rows of a repeated doc_id are told apart by nothing: each has its own result row. The work for a
+    text grows with its length and its number of spans.
+    """
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     spans = detect(docs, learn(docs))
 
