@@ -444,3 +444,44 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of op1_jaccard_join with ``n_links``; all links are formed for it."""
     return jaccard_links(read(spark, sf_dir, "documents", "doc_id", "text"))[1]
+
+
+# Every pair with a shared shingle is counted, and every document of a component is reached from every other.
+_LINKS_SQL = r"""
+with recursive words as (
+    select doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'
+    ), lambda x: x <> '') as w
+    from documents
+), placed as (
+    select doc_id, len(w) as n_words, generate_subscripts(w, 1) as k, unnest(w) as word from words
+), runs as (
+    select doc_id, n_words, k, concat_ws(' ', word, lead(word, 1) over d, lead(word, 2) over d, lead(word, 3) over d, lead(word, 4) over d) as shingle
+    from placed window d as (partition by doc_id order by k)
+), shingles as (
+    select distinct doc_id, shingle from runs where k <= n_words - 4 or (k = 1 and n_words < 5)
+), sets as (
+    select doc_id, count(shingle) as n from documents left join shingles using (doc_id) group by doc_id
+), postings as (
+    select doc_id, n, shingle from shingles join sets using (doc_id)
+), links as (
+    select a.doc_id as a, b.doc_id as b
+    from postings a join postings b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+    group by a.doc_id, b.doc_id, a.n, b.n
+    having 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reached as (
+    select doc_id, doc_id as other from sets
+    union
+    select reached.doc_id, links.b from reached join links on links.a = reached.other
+), components as (
+    select doc_id, min(other) as component_id from reached group by doc_id
+)
+"""
+OP1_SQL = _LINKS_SQL + """
+select doc_id, n as n_shingles, component_id from sets join components using (doc_id)
+"""
+OP1_LINKS_SQL = _LINKS_SQL + """
+select doc_id, n as n_shingles, component_id,
+    (select count(*) from links where links.a = sets.doc_id) as n_links
+from sets join components using (doc_id)
+"""

@@ -27,6 +27,9 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_jaccard_join": jaccard.OP1_SQL,
+    "op1_jaccard_links": jaccard.OP1_LINKS_SQL,
+    "op7_warc": warc.OP7_SQL,
     "op11_phrase_collocations": collocations.OP11_SQL,
     "op12_benchmark_decontamination": decontaminate.OP12_SQL,
     "op13_importance_resampling": resampling.OP13_SQL,

@@ -208,3 +208,28 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_archives(pages, f"{folder}/archives").write.parquet(f"{folder}/manifest")
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
     return read_archives(manifest, f"{folder}/archives")
+
+
+# Base 32 of a digest: five hexadecimal digits are four characters.
+OP7_SQL = """
+with payloads as (
+    select page_id, coalesce(html, '') as payload from pages
+), digests as (
+    select page_id, cast(strlen(payload) as bigint) as payload_bytes, sha1(payload) as hex,
+        max(page_id) over (partition by payload) as kept
+    from payloads
+), parts as (
+    select *, [cast('0x' || substr(hex, 5 * k + 1, 5) as bigint) for k in range(8)] as fives from digests
+)
+select page_id, payload_bytes,
+    array_to_string([
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(((v >> 15) & 31) + 1 as int), 1)
+        || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(((v >> 10) & 31) + 1 as int), 1)
+        || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(((v >> 5) & 31) + 1 as int), 1)
+        || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast((v & 31) + 1 as int), 1)
+        for v in fives
+    ], '') as payload_digest,
+    case when page_id = kept then 'response' else 'revisit' end as record_type,
+    case when page_id <> kept then kept end as refers_to
+from parts
+"""
