@@ -510,12 +510,12 @@ def lgd_summary(spark, sf_dir):
 
 @query
 def snapshot_active(spark, sf_dir):
-    return active(spark, sf_dir)
+    return portfolio.active_portfolio(svcg(spark, sf_dir), orig(spark, sf_dir), keep_texts=True)
 
 
 @query
 def snapshot_row_mode(spark, sf_dir):
-    rows = portfolio.active_portfolio(svcg(spark, sf_dir), orig(spark, sf_dir), "row")
+    rows = portfolio.active_portfolio(svcg(spark, sf_dir), orig(spark, sf_dir), "row", keep_texts=True)
     return rows.select(
         S.LOAN, "REPORTING_DATE", "CURRENT_ACTUAL_UPB", "CURRENT_LOAN_DELINQUENCY_STATUS",
         "DLQ_STATUS_INT", "LOAN_AGE_MONTHS", "MODIFICATION_FLAG",

@@ -32,12 +32,12 @@ def test_no_cross_or_nested_loop_joins(spark, sf_dir, name, no_broadcast):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
-@pytest.mark.parametrize("name", ("lgd_observed", "scenario_all", "ecl_by_stage", "vintage_curves", "vintage_curves_cumulative"))
+@pytest.mark.parametrize("name", ("lgd_observed", "loan_outcomes", "pd_12m", "pd_orig", "snapshot_active", "scenario_all", "ecl_by_stage", "vintage_curves", "vintage_curves_cumulative"))
 def test_servicing_is_scanned_once(spark, sf_dir, name):
     assert plan(spark, sf_dir, name).count("lineitem.parquet") == 1
 
 
-@pytest.mark.parametrize("name", ("ecl_by_stage", "scenario_all", "scenario_delta", "loan_ecl", "ead_last_nonzero", "first_default"))
+@pytest.mark.parametrize("name", ("ecl_by_stage", "scenario_all", "scenario_delta", "loan_ecl", "ead_last_nonzero", "first_default", "loan_outcomes", "snapshot_active", "pd_12m", "pd_24m"))
 def test_loan_reductions_hash_before_the_shuffle(spark, sf_dir, name):
     text = plan(spark, sf_dir, name)
     assert "SortAggregate" not in text and "partial_max" in text.replace("partial_bool_or", "partial_max")

@@ -12,6 +12,7 @@ from vintara import schema as S
 from vintara.functions import loans as L
 from vintara.functions import risk as R
 from vintara.functions.nullsafe import flag, month_of, select_available
+from vintara.functions.textfold import TextFolds
 from vintara.plans.macro import at_month
 
 # Observation age and label horizon in months of each dataset.
@@ -49,43 +50,88 @@ def observations_and_labels(
 ) -> DataFrame:
     """Per loan: the first record at each observation age and each window's default label.
 
-    One aggregation serves all windows. Rows with a reported age inside some window need no
-    join and fold in their task before the shuffle; only rows without a reported age are joined
-    to the origination date that anchors them. Both filters reach the scan.
+    Servicing is read once and folded twice, by hashing both times. The first fold runs before the
+    shuffle and needs no origination: the rows of a loan with a reported age become one row, and
+    those without one, whose age only the origination date tells, one row for each reporting date.
+    Only these few rows meet origination, and the second fold, which the join has partitioned by
+    loan already, leaves one row for each loan. Texts are folded as numbers.
     """
     ages = sorted({a for a, _ in windows.values()})
     last = max(a + h for a, h in windows.values())
-    status = F.col("CURRENT_LOAN_DELINQUENCY_STATUS")
+    status, age, date = F.col("CURRENT_LOAN_DELINQUENCY_STATUS"), F.col("LOAN_AGE"), F.col("REPORTING_DATE")
+    texts = TextFolds(servicing, _SNAPSHOT)
     slim = servicing.select(
         S.LOAN, "LOAN_AGE", "ROW_SEQ", "IS_DEFAULTED",
         *[c for c in _SNAPSHOT if c != "DLQ_STATUS_INT"],
         L.delinquency_as_int(status).alias("DLQ_STATUS_INT"),
+        age.isNotNull().alias("_reported"),
+        F.when(age.isNull(), date).alias("_anchor"),
     )
-    reported = slim.where(F.col("LOAN_AGE").between(ages[0], last)).withColumn(
-        "_age", F.col("LOAN_AGE").cast("int")
-    )
-    computed = L.age_from_dates(F.col("REPORTING_DATE"), F.col("ORIGINATION_DATE"))
-    anchored = (
-        slim.where(F.col("LOAN_AGE").isNull())
-        .join(origination.select(S.LOAN, "ORIGINATION_DATE"), S.LOAN)
-        .withColumn("_age", computed)
-        .drop("ORIGINATION_DATE")
+    usable = F.col(S.LOAN).isNotNull() & (age.between(ages[0], last) | age.isNull())
+    rows = L.with_event_order(texts.prepare(slim.where(usable)))
+    order, reported = F.col("_order"), F.col("_reported")
+
+    def inside(months: Column, a: int, h: int) -> Column:
+        return flag((months > a) & (months <= a + h))
+
+    def first_rows(fold_values, order_at) -> list[Column]:
+        return [
+            column
+            for a in ages
+            for column in [
+                F.min(order_at(a)).alias(f"_order_at_{a}"), *[c for n in _SNAPSHOT for c in fold_values(n, a)]
+            ]
+        ]
+
+    # Rows of one reporting date have one age: their first record takes the place of the first age.
+    def place(a: int) -> Column:
+        here = age.cast("int") == a
+        return F.when(here | ~reported if a == ages[0] else here, order)
+
+    by_date = rows.groupBy(S.LOAN, "_reported", "_anchor").agg(
+        *first_rows(lambda n, a: texts.fold(n, lambda c: F.min_by(c, place(a)), f"{n}_at_{a}"), place),
+        *[
+            F.bool_or(inside(age, a, h) & flag(F.col("IS_DEFAULTED"))).alias(f"label_{n}")
+            for n, (a, h) in windows.items()
+        ],
+        F.bool_or(flag(F.col("IS_DEFAULTED"))).alias("_defaulted"),
     )
-    rows = L.with_event_order(reported.unionByName(anchored).where(F.col(S.LOAN).isNotNull()))
-    order = F.col("_order")
+    dates = origination.select(S.LOAN, "ORIGINATION_DATE", F.lit(True).alias("_originated"))
+    months = L.age_from_dates(F.col("_anchor"), F.col("ORIGINATION_DATE"))
+    anchored = by_date.join(dates, S.LOAN, "left").where(reported | F.col("_originated")).withColumn("_age", months)
+
+    def either(name: str, a: int) -> Column:
+        return F.when(reported, F.col(f"{name}_at_{a}")).otherwise(F.col(f"{name}_at_{ages[0]}"))
 
-    def first_at(a: int) -> list[Column]:
-        here = F.col("_age") == a
-        values = [F.min_by(c, F.when(here, order)).alias(f"{c}_at_{a}") for c in _SNAPSHOT]
-        return [flag(F.bool_or(here)).alias(f"seen_at_{a}"), *values]
+    def placed(a: int) -> Column:
+        return F.when(reported | (F.col("_age") == a), either("_order", a))
 
-    def label(name: str, a: int, h: int) -> Column:
-        inside = (F.col("_age") > a) & (F.col("_age") <= a + h)
-        return flag(F.bool_or(flag(inside) & F.col("IS_DEFAULTED"))).alias(f"label_{name}")
+    def again(name: str, a: int) -> list[Column]:
+        return [
+            F.min_by(F.when(reported, F.col(c)).otherwise(F.col(first)), placed(a)).alias(c)
+            for c, first in zip(texts.names(f"{name}_at_{a}", name), texts.names(f"{name}_at_{ages[0]}", name), strict=True)
+        ]
 
-    return rows.groupBy(S.LOAN).agg(
-        *[column for a in ages for column in first_at(a)],
-        *[label(n, a, h) for n, (a, h) in windows.items()],
+    folded = anchored.groupBy(S.LOAN).agg(
+        *first_rows(again, placed),
+        *[
+            flag(
+                F.bool_or(F.when(reported, F.col(f"label_{n}")).otherwise(inside(F.col("_age"), a, h) & F.col("_defaulted")))
+            ).alias(f"label_{n}")
+            for n, (a, h) in windows.items()
+        ],
+    )
+    return folded.select(
+        S.LOAN,
+        *[
+            column
+            for a in ages
+            for column in [
+                F.col(f"_order_at_{a}").isNotNull().alias(f"seen_at_{a}"),
+                *[texts.finish(n, f"{n}_at_{a}").alias(f"{n}_at_{a}") for n in _SNAPSHOT],
+            ]
+        ],
+        *[f"label_{n}" for n in windows],
     )
 
 

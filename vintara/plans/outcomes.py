@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vintara import schema as S
 from vintara.functions import loans as L
 from vintara.functions.nullsafe import flag, month_of, select_available
+from vintara.functions.textfold import TextFolds
 from vintara.plans.macro import at_month
 
 _RECOVERIES = (
@@ -17,25 +18,17 @@ _RECOVERIES = (
 
 
 def servicing_history(servicing: DataFrame) -> DataFrame:
-    """All per-loan summaries of the servicing rows.
+    """All per-loan summaries of the servicing rows, in one aggregation by hashing.
 
     They run before the join to origination: each task folds its rows to one per loan, so the
     shuffle carries loans rather than loan-months and a hot loan costs one row per task. Age
     falls back to dates that only origination can anchor, so minimum and maximum age are kept
     as two parts (reported age; reporting date of rows without one) and finished after the join.
-
-    The final zero-balance code is the one text value. It would turn the whole aggregation into
-    a sort, so it is folded by itself over the few zero-balance rows; both results are
-    partitioned by loan and join in place.
+    The final zero-balance code, the one text value, is folded as a number.
     """
-    rows = L.with_event_order(servicing.where(F.col(S.LOAN).isNotNull()))
+    texts = TextFolds(servicing, ["ZERO_BALANCE_CODE"])
+    rows = L.with_event_order(texts.prepare(servicing.where(F.col(S.LOAN).isNotNull())))
     order = F.col("_order")
-    code = L.last_known(F.col("ZERO_BALANCE_CODE"), order).alias("ZERO_BALANCE_CODE")
-    codes = rows.where(F.col("IS_ZERO_BALANCE")).groupBy(S.LOAN).agg(code)
-    return _numeric_history(rows, order).join(codes, S.LOAN, "left")
-
-
-def _numeric_history(rows: DataFrame, order: Column) -> DataFrame:
     upb, age, date = F.col("CURRENT_ACTUAL_UPB"), F.col("LOAN_AGE"), F.col("REPORTING_DATE")
     everywhere, zero = F.lit(True), F.col("IS_ZERO_BALANCE")
 
@@ -52,8 +45,12 @@ def _numeric_history(rows: DataFrame, order: Column) -> DataFrame:
     def present(name: str, kind: str) -> Column:
         return F.col(name) if name in rows.columns else F.lit(None).cast(kind)
 
+    def final_code(value: Column) -> Column:
+        return L.last_known(value, order, zero)
+
     aged = zero & (age.isNotNull() | date.isNotNull())
-    return rows.groupBy(S.LOAN).agg(
+    folded = rows.groupBy(S.LOAN).agg(
+        *texts.fold("ZERO_BALANCE_CODE", final_code),
         F.bool_or("IS_SERIOUSLY_DELINQUENT").alias("seriously_delinquent"),
         F.bool_or("IS_PREPAID").alias("prepaid"),
         F.bool_or("IS_LIQUIDATED").alias("liquidated"),
@@ -69,6 +66,7 @@ def _numeric_history(rows: DataFrame, order: Column) -> DataFrame:
         at(age.cast("int"), "zero_aged_age", aged),
         at(date, "zero_aged_date", aged),
     )
+    return folded.withColumn("ZERO_BALANCE_CODE", texts.finish("ZERO_BALANCE_CODE"))
 
 
 def loan_outcomes(

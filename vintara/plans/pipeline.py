@@ -102,7 +102,7 @@ def run_portfolio(
     orig = spark.read.parquet(f"{out}/orig")
     svcg = spark.read.parquet(f"{out}/svcg").drop("VINTAGE_YEAR")
     baseline = macro.baseline_macro(spark.read.parquet(f"{out}/macro"))
-    active = portfolio.active_portfolio(svcg, orig)
+    active = portfolio.active_portfolio(svcg, orig, keep_texts=True)
     tables.write_by_vintage(active, f"{out}/portfolio_snapshot")
     active = spark.read.parquet(f"{out}/portfolio_snapshot")
     rolled = scenarios.run_scenarios(active, baseline, presets, scoring)

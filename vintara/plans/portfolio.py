@@ -12,19 +12,22 @@ from vintara import schema as S
 from vintara.functions import loans as L
 from vintara.functions import risk as R
 from vintara.functions.nullsafe import clip, col_or, ratio, select_available
+from vintara.functions.textfold import TextFolds
 
 # A scorer adds one probability-like column to a frame that carries loan and macro columns.
 Scorer = Callable[[DataFrame], DataFrame]
 
 
 def latest_per_loan(
-    rows: DataFrame, mode: str = "composite", extra: Sequence[Column] = ()
+    rows: DataFrame, mode: str = "composite", extra: Sequence[Column] = (), keep_texts: bool = False
 ) -> DataFrame:
     """Latest state of each loan, plus any ``extra`` aggregates.
 
     "composite" takes the last non-null value of every column by itself; "row" takes the last
     row as it stands. Both are aggregates that fold inside each task before the shuffle, and
-    columns a caller does not use are pruned from the aggregation.
+    columns a caller does not use are pruned from the aggregation. A caller that uses the text
+    columns says so by ``keep_texts``: they are measured first and folded as numbers, by hashing;
+    otherwise a text column that is used after all is folded by sorting.
     """
     if mode not in ("composite", "row"):
         raise ValueError(f"unknown snapshot mode {mode!r}")
@@ -33,19 +36,24 @@ def latest_per_loan(
         rows = L.with_event_order(rows)
     order = F.col("_order")
 
-    def latest(name: str) -> Column:
-        value = F.col(name)
+    def latest(value: Column) -> Column:
         return L.last_known(value, order) if mode == "composite" else F.max_by(value, order)
 
-    loans = rows.where(F.col(S.LOAN).isNotNull()).groupBy(S.LOAN)
-    return loans.agg(*[latest(c).alias(c) for c in values], *extra)
+    texts = TextFolds(rows, values if keep_texts else [])
+    loans = texts.prepare(rows.where(F.col(S.LOAN).isNotNull())).groupBy(S.LOAN)
+    folded = loans.agg(*[column for c in values for column in texts.fold(c, latest)], *extra)
+    used = {c for name in values for c in texts.names(name, name)}
+    others = [c for c in folded.columns if c not in used and c != S.LOAN]
+    return folded.select(S.LOAN, *[texts.finish(c) for c in values], *others)
 
 
 def active_portfolio(
-    servicing: DataFrame, origination: DataFrame, mode: str = "composite"
+    servicing: DataFrame, origination: DataFrame, mode: str = "composite", keep_texts: bool = False
 ) -> DataFrame:
     """Loans that are not at zero balance, in their latest state, with origination columns.
 
+    ``keep_texts`` is for results that keep text columns of servicing (``latest_per_loan``).
+
     Servicing rows are reduced to one per loan before the join, so only loans are joined. The
     age of a row without a reported age needs the origination date, so the snapshot keeps both
     parts of the last row that has either and the age is finished after the join.
@@ -58,7 +66,7 @@ def active_portfolio(
     prepared, order = L.with_event_order(prepared), F.col("_order")
     known_age = F.when(reported.isNotNull() | date.isNotNull(), order) if mode == "composite" else order
     pieces = [F.max_by(reported, known_age).alias("_age"), F.max_by(date, known_age).alias("_age_date")]
-    active = latest_per_loan(prepared, mode, pieces).where(~F.col("IS_ZERO_BALANCE"))
+    active = latest_per_loan(prepared, mode, pieces, keep_texts).where(~F.col("IS_ZERO_BALANCE"))
     joined = active.join(select_available(origination, S.PANEL_ORIGINATION_COLUMNS), S.LOAN)
     age = L.loan_age_months(F.col("_age"), F.col("_age_date"), F.col("ORIGINATION_DATE"))
     return joined.withColumn(
