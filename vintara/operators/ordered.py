@@ -47,15 +47,16 @@ def running_totals(
     )
 
 
+def known_values(df: DataFrame, groups: list[str], value: str) -> DataFrame:
+    """Groups and known values of ``df``, stored, so that ``df`` is computed once for all their uses."""
+    return write_through(df.where(F.col(value).isNotNull()).select(*groups, value), "quantile-values")
+
+
 def exact_quantiles(
     df: DataFrame, groups: list[str], value: str, points: list[float]
 ) -> DataFrame:
-    """Linear-interpolation quantiles per group: columns (groups, q, quantile).
-
-    The two columns needed are stored, so that ``df`` is computed once. Nulls are ignored.
-    """
-    slim = df.where(F.col(value).isNotNull()).select(*groups, value)
-    return quantiles_of_rows(write_through(slim, "quantile-values"), groups, value, points)
+    """Linear-interpolation quantiles per group: columns (groups, q, quantile). Nulls are ignored."""
+    return quantiles_of_rows(known_values(df, groups, value), groups, value, points)
 
 
 def quantiles_of_rows(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintara.functions import risk as R
-from vintara.operators.ordered import exact_quantiles, histogram
+from vintara.operators.ordered import histogram, known_values, quantiles_of_rows
 
 
 def default_rate_by_vintage(outcomes: DataFrame) -> DataFrame:
@@ -37,8 +37,9 @@ def lgd_histogram(outcomes: DataFrame, bins: int = 40) -> DataFrame:
 
 def mean_and_median(df: DataFrame, value: str) -> DataFrame:
     """One row: mean and exact median of a column."""
-    median = exact_quantiles(df, [], value, [0.5]).select("quantile").scalar()
-    return df.agg(F.avg(value).alias("mean_value")).withColumn("median_value", median)
+    rows = known_values(df, [], value)
+    median = quantiles_of_rows(rows, [], value, [0.5]).select("quantile").scalar()
+    return rows.agg(F.avg(value).alias("mean_value")).withColumn("median_value", median)
 
 
 def top_states_by_loans(origination: DataFrame, n: int = 15) -> DataFrame:
