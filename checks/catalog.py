@@ -861,7 +861,8 @@ def _pd_model_scores(spark, sf_dir, kinds, keep=None):
 
 
 def _lgd_model_scores(spark, sf_dir, kinds):
-    data = write_through(training.lgd_split(lgd_rows(spark, sf_dir)), "lgd")
+    # Stored before the split, which counts the rows of each part.
+    data = training.lgd_split(write_through(lgd_rows(spark, sf_dir), "lgd"))
     models = training.train_lgd_models(data, None, kinds)
     return training.scored_splits(models, data, training.predict_lgd, "lgd_pred", "lgd_observed")
 

@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import functions as F
 
+from checks import catalog
 from vintara import schema as S
 from vintara.plans import macro, portfolio, scenarios, training
 
@@ -196,3 +197,11 @@ def test_boosting_uses_many_trees(spark):
     share = valid.agg(F.avg("PD_TARGET")).first()[0]
     constant = -2 * (share * math.log(share) + (1 - share) * math.log(1 - share))
     assert model.getNumTrees > 1 and losses[-1] < losses[0] and losses[-1] < constant
+
+
+def test_loss_rows_are_stored_before_their_splits_are_counted(spark, monkeypatch):
+    seen = []
+    split = training.lgd_split
+    monkeypatch.setattr(training, "lgd_split", lambda rows: seen.append(rows) or split(rows))
+    catalog._lgd_model_scores(spark, "/root/testdata/sf0.001", ("ridge",))
+    assert "lineitem" not in seen[0]._jdf.queryExecution().executedPlan().toString()
