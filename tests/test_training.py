@@ -199,6 +199,24 @@ def test_boosting_uses_many_trees(spark):
     assert model.getNumTrees > 1 and losses[-1] < losses[0] and losses[-1] < constant
 
 
+def test_learners_get_more_partitions_as_rows_grow(spark):
+    """Tasks of a learner hold a bounded number of rows; few rows stay as they are."""
+    rows = spark.range(5000).coalesce(1)
+    sizes = [len(part) for part in training.dealt(rows, 500).rdd.glom().collect()]
+    assert len(sizes) == 10 and sum(sizes) == 5000 and max(sizes) <= 510
+    assert training.dealt(rows, 5000).rdd.getNumPartitions() == 1
+
+
+def test_learners_read_dealt_rows(pd_data, lgd_data, monkeypatch):
+    parts = []
+    deal = training.dealt
+    monkeypatch.setattr(training, "dealt", lambda rows: parts.append(deal(rows, 40)) or parts[-1])
+    few = training.PdSettings(forest_trees=2, forest_depth=2)
+    models = training.train_pd_models(pd_data, few, ("forest",))
+    training.train_lgd_models(lgd_data, None, ("ridge",))
+    assert [p.rdd.getNumPartitions() for p in parts] == [18, 10]
+
+
 def test_loss_rows_are_stored_before_their_splits_are_counted(spark, monkeypatch):
     seen = []
     split = training.lgd_split

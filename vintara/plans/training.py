@@ -32,6 +32,8 @@ from vintara.plans.portfolio import Scoring
 from vintara.session import write_through
 
 UNKNOWN = "UNK"  # fixed value: stands for a missing category
+# Encoded rows that a task of a learner holds at most: about 0.9 kB each with what boosting keeps.
+ROWS_A_TASK = 100_000
 
 
 @dataclass(frozen=True)
@@ -197,6 +199,15 @@ def _split(dataset: DataFrame, split) -> DataFrame:
     return dataset if "split" in dataset.columns else split(dataset)
 
 
+def dealt(encoded: DataFrame, rows_a_task: int = ROWS_A_TASK) -> DataFrame:
+    """Stored rows in as many partitions as their number needs, so that a task does not grow with them.
+
+    A file scan of narrow encoded rows makes about one partition a core, whatever their number.
+    """
+    needed = -(-encoded.count() // rows_a_task)
+    return encoded.repartition(needed) if needed > encoded.rdd.getNumPartitions() else encoded
+
+
 def lgd_split(dataset: DataFrame) -> DataFrame:
     return fill_empty_splits(with_split(dataset))
 
@@ -220,7 +231,7 @@ def train_pd_models(
     encoded = preprocessor.transform(rows.where(F.col("split").isin("train", "valid"))).select(
         "features", F.col(label).cast("int").alias(label), "split"
     )
-    encoded = write_through(encoded, "pd-features")
+    encoded = dealt(write_through(encoded, "pd-features"))
     fit_rows = encoded.where(F.col("split") == "train")
     counts = _label_weights(fit_rows, label)
     negatives, positives = counts.get(0, 0.0), counts.get(1, 0.0)
@@ -279,7 +290,7 @@ def train_lgd_models(
     encoded = preprocessor.transform(rows.where(F.col("split").isin("train", "valid"))).select(
         "features", label, "split"
     )
-    encoded = write_through(encoded, "lgd-features")
+    encoded = dealt(write_through(encoded, "lgd-features"))
     fit_rows = encoded.where(F.col("split") == "train")
     models: dict[str, PipelineModel] = {}
     if "ridge" in kinds:
