@@ -215,6 +215,7 @@ def test_learners_read_dealt_rows(pd_data, lgd_data, monkeypatch):
     models = training.train_pd_models(pd_data, few, ("forest",))
     training.train_lgd_models(lgd_data, None, ("ridge",))
     assert [p.rdd.getNumPartitions() for p in parts] == [18, 10]
+    assert models["forest"].stages[1].getCacheNodeIds()
 
 
 def test_loss_rows_are_stored_before_their_splits_are_counted(spark, monkeypatch):
