@@ -1,5 +1,6 @@
 import math
 import random
+from threading import Barrier
 
 import numpy as np
 import pytest
@@ -224,3 +225,22 @@ def test_loss_rows_are_stored_before_their_splits_are_counted(spark, monkeypatch
     monkeypatch.setattr(training, "lgd_split", lambda rows: seen.append(rows) or split(rows))
     catalog._lgd_model_scores(spark, "/root/testdata/sf0.001", ("ridge",))
     assert "lineitem" not in seen[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_two_models_of_a_scenario_run_are_trained_at_one_time(spark, sf_dir, monkeypatch):
+    """Each training waits until the other has begun; one after the other, the wait would end in an error."""
+    both, pd_fit, lgd_fit = Barrier(2, timeout=120), training.train_pd_models, training.train_lgd_models
+
+    def fit_pd(rows, kinds):
+        both.wait()
+        return pd_fit(rows, training.PdSettings(boosting_rounds=2, boosting_depth=2), kinds)
+
+    def fit_lgd(rows, kinds):
+        both.wait()
+        return lgd_fit(rows, training.LgdSettings(boosting_rounds=2, boosting_depth=2), kinds)
+
+    monkeypatch.setattr(training, "train_pd_models", fit_pd)
+    monkeypatch.setattr(training, "train_lgd_models", fit_lgd)
+    kpis = {r["scenario_name"]: r for r in catalog.CATALOG["model_scenarios"](spark, sf_dir).collect()}
+    assert kpis.keys() == {s.scenario_name for s in S.SCENARIOS}
+    assert all(0 <= r["mean_pd"] <= 1 and 0 <= r["mean_lgd"] <= 1 for r in kpis.values())

@@ -11,6 +11,7 @@ from vintara import schema as S
 from vintara.operators import metrics
 from vintara.operators.cleaning import clean_origination, clean_servicing, keep_first
 from vintara.plans import datasets, macro, outcomes, panel, portfolio, scenarios, training, vintages
+from vintara.session import together
 from vintara.sources import loan_files, tables
 
 
@@ -62,8 +63,9 @@ def train_models(
     """
     pd_rows = datasets.with_split(spark.read.parquet(f"{out}/pd_12m"))
     lgd_rows = training.lgd_split(spark.read.parquet(f"{out}/lgd"))
-    pd_models = training.train_pd_models(pd_rows, pd_settings)
-    lgd_models = training.train_lgd_models(lgd_rows, lgd_settings)
+    pd_models, lgd_models = together(
+        spark, lambda: training.train_pd_models(pd_rows, pd_settings), lambda: training.train_lgd_models(lgd_rows, lgd_settings)
+    )
     training.save_model(pd_models["boosted"], f"{out}/models/pd")
     training.save_model(lgd_models["boosted"], f"{out}/models/lgd")
 
