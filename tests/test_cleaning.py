@@ -199,6 +199,24 @@ def test_stream_matches_batch(spark, tmp_path):
     assert sorted(map(str, streamed.collect())) == sorted(map(str, outcomes.loan_outcomes(batch, orig).collect()))
 
 
+def test_micro_batches_are_cut_finer_than_the_cores(spark, tmp_path):
+    """A batch makes several tasks for each core, so that its last round keeps few cores waiting."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    line = servicing_line("L1", "201003", "1", "0", "")
+    write_file(folder / "sample_svcg_2010.txt", [line] * 4000)
+    tasks, old = [], spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        cleaned = stream.servicing_stream(spark, str(folder))
+        query = cleaned.writeStream.foreachBatch(lambda batch, _: tasks.append(batch.rdd.getNumPartitions()))
+        query.option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", old)
+    assert tasks and tasks[0] > 2 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(stream.MIN_TASKS, None) is None
+
+
 def test_order_keys_have_no_bounds(spark):
     """Months of any century order by time, positions of any size by file, undated records last."""
     seqs = [(1 << 53) + 5, (1 << 53) + 4, 10**25, 0]
