@@ -182,3 +182,10 @@ def test_writer_needs_no_ids():
     stream.close = lambda: None
     bitplane.PlaneWriter(stream).close()
     assert stream.getvalue().endswith(bitplane.MAGIC)
+
+
+def test_id_files_are_read_back_once(spark, sf_dir):
+    """The rows read back are stored: they give both the result and the ids of each file."""
+    back = bitplane.op4_bitplane_ids(spark, sf_dir)
+    assert "MapInArrow" not in back._jdf.queryExecution().executedPlan().toString()
+    assert back.agg({"start": "min"}).first()[0] == 0

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vintara.llm.common import Columns, map_batches, open_folder, read, scratch_path
+from vintara.llm.common import Columns, map_batches, open_folder, read, scratch_path, write_through
 from vintara.llm.tokens import word_encoder
 
 MAGIC = b"BPLANE01"
@@ -204,5 +204,6 @@ def op4_bitplane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
             ids = batch.pop("ids")
             yield {**batch, "n_tokens": [len(x) // 4 for x in ids], "ids_crc32": [zlib.crc32(x) for x in ids]}
 
-    back = map_batches(read_ids(manifest, f"{folder}/files"), digest, MANIFEST + ", ids_crc32 long")
+    # Stored, as the rows are used twice: the files are read back once.
+    back = write_through(map_batches(read_ids(manifest, f"{folder}/files"), digest, MANIFEST + ", ids_crc32 long"), "ids-back")
     return with_start(back).select("doc_id", "start", "n_tokens", "ids_crc32")
