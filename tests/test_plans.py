@@ -138,3 +138,18 @@ def test_hot_group_with_many_scores(spark):
     ranked = running_totals(counts, ["g"], "v", ["n"])
     found = ranked.agg(F.max("cum_n"), F.min("all_n"), F.count_distinct("cum_n")).first()
     assert tuple(found) == (100_000, 100_000, 100_000)
+
+
+def test_rows_are_sketched_once_for_both_ends_of_all_brackets(spark, monkeypatch):
+    plans = []
+
+    def stored(df, step):
+        if step == "ordered-values":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return session.write_through(df, step)
+
+    monkeypatch.setattr(ordered, "write_through", stored)
+    rows = spark.range(1000).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("v"))
+    found = {(r["g"], r["q"]): r["quantile"] for r in ordered.exact_quantiles(rows, ["g"], "v", [0.25, 0.5]).collect()}
+    assert found == {(g, q): pytest.approx(2 * 499 * q + g) for g in (0, 1) for q in (0.25, 0.5)}
+    assert len(plans) == 1 and plans[0].count("percentile_approx(") == 1
