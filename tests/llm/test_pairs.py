@@ -87,6 +87,33 @@ def test_links_inside_components_are_counted(spark):
     assert links.count() == pairs > 2 * len(nodes)
 
 
+def test_only_shingles_of_many_nodes_take_turns(spark, monkeypatch):
+    """Groups below, at and above the size whose pairs are formed at once; all of them are linked right."""
+    taken = []
+
+    def measured(shared, size=jaccard.open_size):
+        taken.extend(r["count"] for r in shared.groupBy("token").count().collect())
+        return size(shared)
+
+    monkeypatch.setattr(jaccard, "open_size", measured)
+    docs = []
+    for group, n in enumerate((2, 7, 8, 9, 12)):
+        docs += [(len(docs) + k, text.replace("w", f"g{group}w")) for k, (_, text) in enumerate(near_copies(n, group)[:n])]
+    found = jaccard.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == brute_components(docs)
+    assert taken and min(taken) > 8
+
+
+def test_nodes_of_the_same_shingles_meet_several_pivots(spark):
+    rows = [(token, node, 100, token, node) for token in range(14) for node in range(60)]
+    shared = spark.createDataFrame(rows, "token long, node long, n int, pos int, label long")
+    pairs = {tuple(r) for r in jaccard.pivot_pairs(shared, 0, 75).collect()}
+    assert all(a < b for a, b in pairs)
+    assert 60 * 4 < len(pairs) <= 60 * jaccard.NODE_PIVOTS
+    assert not pairs & {tuple(r) for r in jaccard.pivot_pairs(shared.withColumn("label", F.lit(0)), 0, 75).collect()}
+    assert pairs != {tuple(r) for r in jaccard.pivot_pairs(shared, 1, 75).collect()}
+
+
 def test_links_of_repeated_and_odd_rows(spark, mixed_dir):
     """Repeated rows are linked with each other and with all that their text is linked with."""
     a, b = " ".join(f"w{k}" for k in range(60)), " ".join(f"w{k}" for k in range(62))

@@ -29,10 +29,16 @@ HASH_BITS = 64 - LEVEL_BITS
 GROUP_BYTES = 1_000_000
 LONG_WORD = 32
 SUFFIX_DEPTH = 3
+# A shingle of at most this many nodes gives all its pairs at once; only others take turns.
+FEW_NODES = 8
 # Turns in which a shingle's nodes meet a pivot go on while there are many more pairs left than
-# rows, and a turn leaves at most this part of the pairs.
+# rows, and a turn leaves at most this part of the pairs or finds so many links a row and a pair tried.
+# A token draws so many pivots. A node meets so many in the first turn, twice as many in each later one.
 PAIRS_A_ROW = 2
 OPEN_PART = 0.9
+LINKS_A_ROW = 0.001
+LINKS_A_PAIR = 0.02
+TOKEN_PIVOTS = 8
 NODE_PIVOTS = 8
 # Bits of the bitmap of wanted documents: for each of them, and at most (32 MB).
 BITMAP_BITS_EACH = 16
@@ -274,16 +280,19 @@ def fits(n: Column, pos: Column, other_n: Column, other_pos: Column, percent: in
 def pivot_pairs(shared: DataFrame, turn: int, percent: int) -> DataFrame:
     """Pairs (a < b) of nodes with pivots of their tokens, of other labels; other pivots each turn.
 
-    A token's pivot is its node of the smallest chance. A node meets NODE_PIVOTS of its tokens'
-    pivots, those of the smallest chance, so that there are about as many pairs as nodes however
-    many nodes a token has. One shuffle by token, one by node.
+    A token's pivots are its nodes of the smallest chance in TOKEN_PIVOTS draws of its own, so that
+    tokens of the same nodes have different pivots. A node meets NODE_PIVOTS of those that pass the
+    filters, any of them, so that there are about as many pairs as nodes however many nodes a token
+    has; twice as many each turn, but never more than rows times draws. One shuffle by token, one by node.
     """
-    chance = F.xxhash64("node", F.lit(turn)).alias("chance")
-    pivot = F.min(F.struct(chance, "node", "n", "pos", "label")).over(Window.partitionBy("token"))
-    near = fits(F.col("n"), F.col("pos"), F.col("pivot.n"), F.col("pivot.pos"), percent)
-    met = shared.withColumn("pivot", pivot).where((F.col("label") != F.col("pivot.label")) & near)
-    tried = met.select("node", F.col("pivot.chance").alias("chance"), F.col("pivot.node").alias("other")).distinct()
-    first = tried.withColumn("at", F.row_number().over(Window.partitionBy("node").orderBy("chance", "other"))).where(F.col("at") <= NODE_PIVOTS)
+    token = Window.partitionBy("token")
+    draws = [F.xxhash64("node", "token", F.lit(turn * TOKEN_PIVOTS + k)) for k in range(TOKEN_PIVOTS)]
+    drawn = F.array(*(F.min(F.struct(chance.alias("chance"), "node", "n", "pos", "label")).over(token) for chance in draws))
+    near = F.filter("drawn", lambda p: (F.col("label") != p["label"]) & fits(F.col("n"), F.col("pos"), p["n"], p["pos"], percent))
+    met = shared.withColumn("drawn", drawn).select("node", F.explode(F.array_distinct(F.transform(near, lambda p: p["node"]))).alias("other"))
+    tried = met.distinct()
+    any_of = Window.partitionBy("node").orderBy(F.xxhash64("node", "other", F.lit(turn)), "other")
+    first = tried.withColumn("at", F.row_number().over(any_of)).where(F.col("at") <= NODE_PIVOTS << turn)
     return first.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
@@ -318,8 +327,27 @@ def open_size(shared: DataFrame) -> tuple[int, int]:
     return int(found[0] or 0), int(found[1] or 0)
 
 
-def candidates(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Stored rows, classes of equal sets by node, and the tokens that several nodes' prefixes share."""
+def with_few(shared: DataFrame, percent: int) -> DataFrame:
+    """Distinct rows token, node, n, pos with ``size``, the token's nodes, and its pairs where these are few.
+
+    ``others`` are the larger nodes of a token of at most FEW_NODES that pass the filters; its rows
+    without any are left out. The windows use the shuffle by token that ``shared`` comes with.
+    """
+    token = Window.partitionBy("token")
+    later = token.orderBy("node").rowsBetween(1, FEW_NODES - 1)
+    size = F.count(F.lit(1)).over(token).cast("int")
+    sized = shared.withColumns({"others": F.collect_list(F.struct("node", "n", "pos")).over(later), "size": size})
+    near = F.filter("others", lambda o: fits(F.col("n"), F.col("pos"), o["n"], o["pos"], percent))
+    others = F.when(F.col("size") <= FEW_NODES, F.transform(near, lambda o: o["node"]))
+    return sized.withColumn("others", others).where(F.col("others").isNull() | (F.size("others") > 0))
+
+
+def candidates(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Stored rows, classes of equal sets by node, and what several nodes' prefixes share.
+
+    That is, all pairs (a < b) of nodes that pass the filters at a token of few nodes, and the
+    tokens of more nodes.
+    """
     rows = write_through(with_prefixes(docs, levels, percent), "prefixes")
     doc = F.coalesce("doc_id", F.lit(-(2**63)))
     classes = rows.where("n > 0").groupBy("node").agg(
@@ -332,12 +360,14 @@ def candidates(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> t
     postings = rows.where("prefix is not null").select("row", F.posexplode("prefix").alias("pos", "token"))
     of_row = rows.where("n > 0").select("row", "node", F.col("n").cast("int").alias("n"))
     named = several_values(postings, "row").join(of_row, "row").select("token", "node", "n", "pos")
-    shared = write_through(several_values(named, "node").distinct().withColumn("label", F.col("node")), "shared-tokens")
+    found = write_through(with_few(several_values(named, "node").distinct(), percent), "shared-tokens")
+    few = found.where("others is not null").select(F.col("node").alias("a"), F.explode("others").alias("b")).distinct()
+    shared = found.where("others is null").select("token", "node", "n", "pos", F.col("node").alias("label"))
     # Prefixes are not read any more.
     slim = write_through(rows.drop("prefix"), "rows")
     discard(rows)
     rows = slim
-    return rows, classes, shared
+    return rows, classes, few, shared
 
 
 def checked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
@@ -356,8 +386,9 @@ def jaccard_links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, D
     row is linked with; equal sets are linked, and counted without forming their pairs.
     """
     levels = count_levels(docs)
-    rows, classes, shared = candidates(docs, levels, percent)
-    links = checked(write_through(open_pairs(shared, percent), "pairs"), docs, classes, levels, percent)
+    rows, classes, few, shared = candidates(docs, levels, percent)
+    pairs = few.unionByName(open_pairs(shared, percent)).distinct()
+    links = checked(write_through(pairs, "pairs"), docs, classes, levels, percent)
     copies = rows.where("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("copies"))
     ways = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     others = ways.join(copies.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("others"))
@@ -376,21 +407,23 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` (doc_id, text) to rows doc_id, n_shingles, component_id, label and tie (text hash).
 
     Equal sets are one node. A shingle in the prefixes of several nodes links them as candidates
-    where the length and positional filters let them: at first each node with one pivot of the
-    shingle only, so that a shingle of very many nodes gives as many pairs as nodes, with another
-    pivot each turn, as long as many more pairs than rows are left and a turn leaves OPEN_PART of
+    where the length and positional filters let them. A shingle of few nodes gives all its pairs at
+    first. Of other shingles each node at first meets one pivot of the shingle only, so that a
+    shingle of very many nodes gives as many pairs as nodes, with another pivot each turn, as long as many more pairs than rows are left and a turn leaves OPEN_PART of
     them at most; then all pairs that are left, of nodes in different components. Pairs of earlier
     turns are left out: each is verified once.
     Sets without a shingle are linked with nothing. Null doc_ids take part; the smallest doc_id
     of a component leaves them out, and is null where there is no other. Repeated rows are copies.
     """
     levels = count_levels(docs)
-    rows, classes, shared = candidates(docs, levels, percent)
+    rows, classes, few, shared = candidates(docs, levels, percent)
     labels, tried, turn = None, [], 0
     n_open, n_pairs = open_size(shared)
     pivots = n_pairs > PAIRS_A_ROW * n_open
-    while n_open:
+    while n_open or (labels is None and not few.isEmpty()):
         pairs = pivot_pairs(shared, turn, percent) if pivots else open_pairs(shared, percent)
+        if labels is None:
+            pairs = few.unionByName(pairs).distinct()
         if tried:
             pairs = pairs.join(reduce(DataFrame.unionByName, tried), ["a", "b"], "left_anti")
         pairs = write_through(pairs, "pairs")
@@ -404,7 +437,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             shared = write_through(still_open(shared, labels), "open-tokens")
             most = OPEN_PART * n_pairs
             n_open, n_pairs = open_size(shared)
-            turn, pivots = turn + 1, PAIRS_A_ROW * n_open < n_pairs <= most
+            linked = found.count() >= max(LINKS_A_ROW * n_open, LINKS_A_PAIR * pairs.count())
+            turn, pivots = turn + 1, PAIRS_A_ROW * n_open < n_pairs and (n_pairs <= most or linked)
         else:
             n_open = 0
         discard(before, found, *([old] if old is not None else []))
