@@ -250,6 +250,17 @@ def test_counts_stay_right_when_bitmaps_let_everything_through(spark, monkeypatc
     assert Counter((r["phrase"], r["n"]) for r in found.collect()) == Counter((" ".join(w), n) for (_, w), n in counts.items() if n >= 20)
 
 
+def test_only_phrases_that_can_reach_the_threshold_are_summed(spark):
+    """A log of three shards, each visited twice, with keys that differ by their check alone."""
+    counts = {(2, key, check): [(key * 7 + check * 3 + shard) % 11 for shard in range(3)] for key in range(50) for check in range(2)}
+    log = [(*phrase, 5, n, shard + again, shard) for phrase, ns in counts.items() for shard, n in enumerate(ns) if n for again in (0, 3)]
+    frame = spark.createDataFrame(log, "k int, key long, check int, doc int, n long, visit int, shard int")
+    found = collocations.totals(frame, 2, 3, 20)
+    expected = {phrase: (sum(ns), sum(ns[:2])) for phrase, ns in counts.items() if sum(ns) >= 20}
+    assert {(r["k"], r["key"], r["check"]): (r["n"], r["before"]) for r in found.collect()} == expected
+    assert "LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_phrases_with_one_key_are_told_apart():
     text = collocations.Text(["a b a b. b a", "a"], ["x", "y"], [1, 2])
     text.grow()

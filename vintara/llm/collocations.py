@@ -175,19 +175,26 @@ def scan(shard: DataFrame, words: bool, longest: int, maps: Broadcast | None) ->
                 for k, at in active(text, *known, longest):
                     yield text.counted(k, at)
 
-    return map_batches(shard, run, COUNTED).groupBy(*KEY).agg(F.sum("n").alias("n"), F.min("doc").alias("doc"))
+    return map_batches(shard, run, COUNTED).repartition("key").groupBy(*KEY).agg(F.sum("n").alias("n"), F.min("doc").alias("doc"))
 
 
-def totals(log: DataFrame, visit: int, shards: int) -> DataFrame:
-    """Count of each phrase over the shards it was counted in, and without those new in ``visit`` (``before``).
+def totals(log: DataFrame, visit: int, shards: int, threshold: int) -> DataFrame:
+    """Phrases with at least ``threshold`` occurrences over the shards they were counted in.
 
-    Two visits of a shard give a phrase the same count; it is taken once.
+    That is, their count, and that without what is new in ``visit`` (``before``). Two visits of a
+    shard give a phrase the same count; it is taken once. A sum that reaches the threshold has a
+    shard with its share of it, so other phrases, nearly all, are left out before the sums, by
+    ``key`` alone: what that lets through by chance is dropped after. The join uses the buckets of
+    ``log`` and keeps a bucket's few keys in memory.
     """
     def over(some: Column) -> Column:
         counts = [F.coalesce(F.max(F.when((F.col("shard") == k) & some, F.col("n"))), F.lit(0)) for k in range(shards)]
         return reduce(Column.__add__, counts)
 
-    return log.groupBy(*KEY).agg(over(F.lit(True)).alias("n"), over(F.col("visit") < visit).alias("before"), F.min("doc").alias("doc"))
+    able = log.where(F.col("n") * shards >= threshold).select("key").hint("shuffle_hash")
+    sums = log.join(able, "key", "left_semi").groupBy(*KEY)
+    found = sums.agg(over(F.lit(True)).alias("n"), over(F.col("visit") < visit).alias("before"), F.min("doc").alias("doc"))
+    return found.where(F.col("n") >= threshold)
 
 
 def bitmap(keys: DataFrame) -> np.ndarray | None:
@@ -226,16 +233,16 @@ def counted_phrases(texts: DataFrame, longest: int, threshold: int, shards: int)
         maps = spark.sparkContext.broadcast([packed(reached), packed(_union(recent))]) if recent else None
         counted = scan(texts.where(F.col("shard") == visit % shards).drop("shard"), visit < shards, longest, maps)
         counted = counted.withColumns({"visit": F.lit(visit), "shard": F.lit(visit % shards)})
-        counted.write.mode("append").bucketBy(buckets, *KEY).sortBy("k").option("path", folder).saveAsTable(name)
+        counted.write.mode("append").bucketBy(buckets, "key").sortBy("k").option("path", folder).saveAsTable(name)
         if maps:
             maps.destroy()
         log = spark.table(name)
-        new = totals(log.where((F.col("k") < longest) & (F.col("k") * shards > visit)), visit, shards)
-        found = bitmap(new.where((F.col("n") >= threshold) & (F.col("before") < threshold)))
+        new = totals(log.where((F.col("k") < longest) & (F.col("k") * shards > visit)), visit, shards, threshold)
+        found = bitmap(new.where(F.col("before") < threshold))
         cycle = [*cycle, found][-shards:]
         reached = _union([m for m in (reached, found) if m is not None])
         visit += 1
-    counted = write_through(totals(log, visit, shards).where(F.col("n") >= threshold).drop("before"), "frequent-phrases")
+    counted = write_through(totals(log, visit, shards, threshold).drop("before"), "frequent-phrases")
     spark.sql(f"drop table {name}")
     remove(spark, folder)
     return counted
