@@ -114,6 +114,27 @@ def test_nodes_of_the_same_shingles_meet_several_pivots(spark):
     assert pairs != {tuple(r) for r in jaccard.pivot_pairs(shared, 1, 75).collect()}
 
 
+def test_only_sets_that_can_reach_the_threshold_move(spark, monkeypatch):
+    """Texts of two passages, each in two of them, and a pair that is near enough; prefixes are not stored."""
+    stored = []
+
+    def noted(df, step, write=jaccard.write_through):
+        out = write(df, step)
+        stored.append((step, out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "write_through", noted)
+    passages = [" ".join(f"p{k}x{j}" for j in range(50)) for k in range(12)]
+    docs = [(k, f"{passages[k]} {passages[(k + 1) % 12]}") for k in range(12)]
+    docs += [(12, "a text of its own " * 2), (13, "a text of its own " * 2 + "and more")]
+    docs += [(14, " ".join(f"y{j}" for j in range(90))), (15, " ".join(f"y{j}" for j in range(92)))]
+    found = jaccard.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == brute_components(docs)
+    rows = {step: n for step, _, n in stored}
+    assert rows["pairs"] > 5 and rows["likely-pairs"] < 4 and rows["verified-links"] >= 1
+    assert not any("prefix" in columns for _, columns, _ in stored)
+
+
 def test_links_of_repeated_and_odd_rows(spark, mixed_dir):
     """Repeated rows are linked with each other and with all that their text is linked with."""
     a, b = " ".join(f"w{k}" for k in range(60)), " ".join(f"w{k}" for k in range(62))
@@ -166,6 +187,15 @@ def test_filters_lose_no_pair(a, b, percent):
         assert jaccard.suffix_distance(x, y, 10**6) <= len(a ^ b)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.sets(st.integers(0, 2**64 - 1), min_size=1, max_size=90), st.sets(st.integers(0, 300), min_size=1, max_size=40), st.integers(0, 90), st.integers(50, 95))
+def test_sketches_lose_no_pair(a, b, shared, percent):
+    b = b | set(sorted(a)[:shared])
+    x, y = (jaccard.sketch(np.array(sorted(s), np.uint64)) for s in (a, b))
+    assert jaccard.may_reach(x, y, percent) or 100 * len(a & b) < percent * len(a | b)
+    assert jaccard.may_reach(x, x, percent)
+
+
 def test_components_of_long_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, k) for k in range(101, 160)] + [(7, 7), (2, 1)]
     rows = components.components(spark.createDataFrame(links, "a long, b long")).collect()

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import xxhash
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -147,36 +146,45 @@ def set_identity(tokens: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
-def with_prefixes(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """For each row its set's size, identity (``node``, ``check``) and prefix in rare-first order.
+def with_nodes(docs: DataFrame, levels: np.ndarray) -> DataFrame:
+    """For each row its set's size and identity (``node``, ``check``)."""
+
+    def run(batches: Iterator[Columns]) -> Iterator[Columns]:
+        for batch in batches:
+            out: Columns = {"doc_id": batch["doc_id"], "tie": batch["tie"], "n": [], "node": [], "check": []}
+            for hashes in shingle_sets(batch["text"]):
+                node, check = set_identity(ordered_tokens(hashes, levels)) if len(hashes) else (None, None)
+                for name, value in (("n", len(hashes)), ("node", node), ("check", check)):
+                    out[name].append(value)
+            yield out
+
+    return map_batches(docs.select("doc_id", "text", F.xxhash64("text").alias("tie")), run, "doc_id long, tie long, n long, node long, check long")
+
+
+def prefix_tokens(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
+    """Rows token, node, place of each set's prefix in rare-first order; place is n * 2^32 + pos.
 
     Sets that reach the threshold share a token of their prefixes. Within a task only the first of
-    equal sets carries its prefix, so that copies don't add to it. ``row`` numbers the rows, in
-    fewer digits than identities have; it holds for the stored result only.
+    equal sets gives its prefix, so that copies don't add to it. The rows come from the texts and are not
+    stored; they name their set, so that nothing has to be joined to them.
     """
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         seen: set[int] = set()
-        row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            size = len(batch["text"])
-            out: Columns = {"row": list(range(row, row + size)), "doc_id": batch["doc_id"], "tie": batch["tie"]}
-            out |= {"n": [], "node": [], "check": [], "prefix": []}
-            row += size
+            tokens, nodes, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for hashes in shingle_sets(batch["text"]):
-                tokens = ordered_tokens(hashes, levels)
-                n = len(tokens)
-                node, check = set_identity(tokens) if n else (None, None)
-                prefix = None
+                n = len(hashes)
+                whole = ordered_tokens(hashes, levels)
+                node = set_identity(whole)[0]
                 if n and node not in seen:
                     seen.add(node)
-                    prefix = tokens[: n - least_overlap(n, percent) + 1].view(np.int64)
-                for name, value in (("n", n), ("node", node), ("check", check), ("prefix", prefix)):
-                    out[name].append(value)
-            yield out
+                    tokens.append(whole[: n - least_overlap(n, percent) + 1])
+                    nodes.append(np.full(len(tokens[-1]), node, np.int64))
+                    places.append((n << 32) + np.arange(len(tokens[-1])))
+            yield {"token": np.concatenate(tokens).view(np.int64), "node": np.concatenate(nodes), "place": np.concatenate(places)}
 
-    schema = "row long, doc_id long, tie long, n long, node long, check long, prefix array<long>"
-    return map_batches(docs.select("doc_id", "text", F.xxhash64("text").alias("tie")), run, schema)
+    return map_batches(docs.select("text"), run, "token long, node long, place long")
 
 
 def suffix_distance(x: np.ndarray, y: np.ndarray, most: int, depth: int = SUFFIX_DEPTH) -> int:
@@ -215,15 +223,37 @@ def reaches(x: np.ndarray, y: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * overlap >= percent * (n - overlap)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Those of the distinct ``pairs`` (a, b) whose ``sets`` (node, tokens; repeated ones are one) reach the threshold."""
+def sketch(tokens: np.ndarray) -> bytes:
+    """The size of a set and a bit for each of 4 to 8 times as many classes: whether it has an odd number of tokens there."""
+    bits = max(64, 1 << (4 * len(tokens) - 1).bit_length())
+    odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return len(tokens).to_bytes(8, "little") + np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def may_reach(x: bytes, y: bytes, percent: int = PERCENT) -> bool:
+    """Whether two sets can reach the threshold by their sketches.
+
+    A class that is odd in one of them alone has a token that only one of them has, so sets of
+    fewer tokens in common than the threshold asks for show in most cases, and no others do.
+    """
+    both = int.from_bytes(x[:8], "little") + int.from_bytes(y[:8], "little")
+    u, v = np.frombuffer(x, np.uint8, offset=8), np.frombuffer(y, np.uint8, offset=8)
+    while len(u) != len(v):
+        u, v = (u, v) if len(u) > len(v) else (v, u)
+        u = u[: len(u) // 2] ^ u[len(u) // 2 :]
+    return int(np.bitwise_count(u ^ v).sum()) <= both - 2 * -(-percent * both // (100 + percent))
+
+
+def sets_reach(x: bytes, y: bytes, percent: int = PERCENT) -> bool:
+    return reaches(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT, test: Callable[[bytes, bytes, int], bool] = sets_reach) -> DataFrame:
+    """Those of the distinct ``pairs`` (a, b) whose ``sets`` (node, tokens; repeated ones are one) pass the test."""
 
     def check(batches: Iterator[Columns]) -> Iterator[Columns]:
         for batch in batches:
-            hits = [
-                k for k, (x, y) in enumerate(zip(batch["x"], batch["y"], strict=True))
-                if reaches(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
-            ]
+            hits = [k for k, (x, y) in enumerate(zip(batch["x"], batch["y"], strict=True)) if test(x, y, percent)]
             yield {"a": [batch["a"][k] for k in hits], "b": [batch["b"][k] for k in hits]}
 
     # Repeated rows give a set once for each task that has them; both joins read one shuffle of the sets.
@@ -233,8 +263,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     return map_batches(pairs.join(x, "a").join(y, "b"), check, "a long, b long")
 
 
-def token_sets(docs: DataFrame, wanted: DataFrame, levels: np.ndarray) -> DataFrame:
-    """Whole ordered sets (binary) of at least the nodes in ``wanted`` (node, doc, tie), by node.
+def token_sets(docs: DataFrame, wanted: DataFrame, levels: np.ndarray, form: Callable[[np.ndarray], bytes] = np.ndarray.tobytes) -> DataFrame:
+    """Whole ordered sets (binary, or another ``form``) of at least the nodes in ``wanted`` (node, doc, tie), by node.
 
     ``wanted`` names a document of each node. A bitmap of the hashes of these documents goes to
     the tasks, which form the sets of documents that it has as they read them, so that texts are
@@ -263,7 +293,7 @@ def token_sets(docs: DataFrame, wanted: DataFrame, levels: np.ndarray) -> DataFr
             named = {set_identity(t)[0]: t for t in sets if len(t)}
             new = [node for node in named if node not in seen]
             seen.update(new)
-            yield {"node": new, "tokens": [named[node].tobytes() for node in new]}
+            yield {"node": new, "tokens": [form(named[node]) for node in new]}
 
     doc = F.coalesce("doc_id", F.lit(-(2**63)))
     texts = docs.select("text", doc.alias("doc"), F.xxhash64("text").alias("tie")).select("text", place("doc", "tie").alias("place"))
@@ -348,7 +378,7 @@ def candidates(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> t
     That is, all pairs (a < b) of nodes that pass the filters at a token of few nodes, and the
     tokens of more nodes.
     """
-    rows = write_through(with_prefixes(docs, levels, percent), "prefixes")
+    rows = write_through(with_nodes(docs, levels), "rows")
     doc = F.coalesce("doc_id", F.lit(-(2**63)))
     classes = rows.where("n > 0").groupBy("node").agg(
         F.min("doc_id").alias("low"), F.min(doc).alias("doc"), F.min_by("tie", doc).alias("tie"),
@@ -357,24 +387,27 @@ def candidates(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> t
     same = F.assert_true(F.col("check") == F.col("other"), F.lit("two sets share a node number"))
     classes = write_through(classes.withColumn("sure", same).where(F.col("sure").isNull()).drop("check", "other", "sure"), "classes")
 
-    postings = rows.where("prefix is not null").select("row", F.posexplode("prefix").alias("pos", "token"))
-    of_row = rows.where("n > 0").select("row", "node", F.col("n").cast("int").alias("n"))
-    named = several_values(postings, "row").join(of_row, "row").select("token", "node", "n", "pos")
-    found = write_through(with_few(several_values(named, "node").distinct(), percent), "shared-tokens")
+    n, pos = F.shiftright("place", 32).cast("int").alias("n"), (F.col("place") % (1 << 32)).cast("int").alias("pos")
+    several = several_values(prefix_tokens(docs, levels, percent), "node").distinct().select("token", "node", n, pos)
+    found = write_through(with_few(several, percent), "shared-tokens")
     few = found.where("others is not null").select(F.col("node").alias("a"), F.explode("others").alias("b")).distinct()
     shared = found.where("others is null").select("token", "node", "n", "pos", F.col("node").alias("label"))
-    # Prefixes are not read any more.
-    slim = write_through(rows.drop("prefix"), "rows")
-    discard(rows)
-    rows = slim
     return rows, classes, few, shared
 
 
 def checked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """Those of the stored ``pairs`` (a, b) of nodes whose sets reach the threshold, stored."""
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = token_sets(docs, classes.join(asked, "node").select("node", "doc", "tie"), levels)
-    return write_through(verified(pairs, sets, percent), "verified-links")
+    """Those of the stored ``pairs`` (a, b) of nodes whose sets reach the threshold, stored.
+
+    Sketches, which are far smaller than the sets, go first, so that only sets of the pairs that they leave move.
+    """
+    def sets(some: DataFrame, form: Callable[[np.ndarray], bytes]) -> DataFrame:
+        asked = some.select(F.col("a").alias("node")).union(some.select("b")).distinct()
+        return token_sets(docs, classes.join(asked, "node").select("node", "doc", "tie"), levels, form)
+
+    likely = write_through(verified(pairs, sets(pairs, sketch), percent, may_reach), "likely-pairs")
+    links = write_through(verified(likely, sets(likely, np.ndarray.tobytes), percent), "verified-links")
+    discard(likely)
+    return links
 
 
 def jaccard_links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
