@@ -191,7 +191,7 @@ def totals(log: DataFrame, visit: int, shards: int, threshold: int) -> DataFrame
         counts = [F.coalesce(F.max(F.when((F.col("shard") == k) & some, F.col("n"))), F.lit(0)) for k in range(shards)]
         return reduce(Column.__add__, counts)
 
-    able = log.where(F.col("n") * shards >= threshold).select("key").hint("shuffle_hash")
+    able = log.where(F.col("n") >= -(-threshold // shards)).select("key").hint("shuffle_hash")
     sums = log.join(able, "key", "left_semi").groupBy(*KEY)
     found = sums.agg(over(F.lit(True)).alias("n"), over(F.col("visit") < visit).alias("before"), F.min("doc").alias("doc"))
     return found.where(F.col("n") >= threshold)
@@ -237,7 +237,7 @@ def counted_phrases(texts: DataFrame, longest: int, threshold: int, shards: int)
         if maps:
             maps.destroy()
         log = spark.table(name)
-        new = totals(log.where((F.col("k") < longest) & (F.col("k") * shards > visit)), visit, shards, threshold)
+        new = totals(log.where((F.col("k") < longest) & (F.col("k") > visit // shards)), visit, shards, threshold)
         found = bitmap(new.where(F.col("before") < threshold))
         cycle = [*cycle, found][-shards:]
         reached = _union([m for m in (reached, found) if m is not None])
