@@ -4,7 +4,7 @@ from threading import Barrier
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import functions as F
@@ -244,3 +244,46 @@ def test_the_two_models_of_a_scenario_run_are_trained_at_one_time(spark, sf_dir,
     kpis = {r["scenario_name"]: r for r in catalog.CATALOG["model_scenarios"](spark, sf_dir).collect()}
     assert kpis.keys() == {s.scenario_name for s in S.SCENARIOS}
     assert all(0 <= r["mean_pd"] <= 1 and 0 <= r["mean_lgd"] <= 1 for r in kpis.values())
+
+
+class CountedForest(RandomForestClassifier):
+    fits = []
+
+    def _fit(self, dataset):
+        CountedForest.fits.append((self.getNumTrees(), self.getSeed(), dataset.rdd.getNumPartitions()))
+        return super()._fit(dataset)
+
+
+def test_a_forest_of_many_rows_is_fitted_in_groups_of_trees(spark, tmp_path):
+    draw = random.Random(3)
+    rows = [(DenseVector([draw.random(), draw.random()]), 0) for _ in range(900)]
+    rows = [(x, int(draw.random() < 0.1 + 0.8 * (x[0] > 0.4))) for x, _ in rows]
+    df = spark.createDataFrame(rows, ["features", "y"]).repartition(40).cache()
+    learner = CountedForest(labelCol="y", numTrees=10, maxDepth=3, cacheNodeIds=True, checkpointInterval=-1, seed=5)
+    CountedForest.fits = []
+    forest = training.fit_forest(learner, df, 900, 900 * 4)
+    sizes, seeds, parts = zip(*CountedForest.fits)
+    assert sorted(sizes) == [3, 3, 4] and len(set(seeds)) == 3
+    assert set(parts) == {max(spark.sparkContext.defaultParallelism, 10)}
+    assert forest.getNumTrees == 10 and forest.getOrDefault("numTrees") == 10 and forest.getSeed() == 5
+    scored = forest.transform(df)
+    assert scored.where("prediction = y").count() > 700
+    path = str(tmp_path / "forest")
+    forest.save(path)
+    assert type(forest).load(path).transform(df).select("probability").exceptAll(scored.select("probability")).count() == 0
+
+
+def test_a_forest_of_few_rows_is_one_fit(spark):
+    df = spark.createDataFrame([(DenseVector([float(i)]), i % 2) for i in range(50)], ["features", "y"]).coalesce(1)
+    learner = CountedForest(labelCol="y", numTrees=6, maxDepth=2, seed=5)
+    CountedForest.fits = []
+    forest = training.fit_forest(learner, df, 50)
+    assert [n for n, *_ in CountedForest.fits] == [6]
+    assert forest.toDebugString.split("\n", 1)[1] == learner.fit(df).toDebugString.split("\n", 1)[1]
+
+
+def test_dealt_rows_are_read_without_a_shuffle(spark):
+    dealt = training.dealt(spark.range(3000).coalesce(2), 100)
+    assert dealt.rdd.getNumPartitions() == 30 and dealt.count() == 3000
+    assert "Exchange" not in dealt._jdf.queryExecution().executedPlan().toString()
+    assert max(len(part) for part in dealt.rdd.glom().collect()) <= 200
