@@ -287,3 +287,29 @@ def test_dealt_rows_are_read_without_a_shuffle(spark):
     assert dealt.rdd.getNumPartitions() == 30 and dealt.count() == 3000
     assert "Exchange" not in dealt._jdf.queryExecution().executedPlan().toString()
     assert max(len(part) for part in dealt.rdd.glom().collect()) <= 200
+
+
+class CountedBoosting(GBTClassifier):
+    fits = []
+
+    def _fit(self, dataset):
+        CountedBoosting.fits.append(self.getMaxIter())
+        return super()._fit(dataset)
+
+
+def test_rounds_after_the_best_are_cut_off_not_fitted_again(spark):
+    draw = random.Random(6)
+    rows = [(DenseVector([draw.random(), draw.random()]), int(draw.random() < 0.5), 1.0) for _ in range(300)]
+    df = spark.createDataFrame(rows, ["features", "y", "_w"]).coalesce(1).cache()
+    learner = CountedBoosting(labelCol="y", weightCol="_w", maxDepth=2, stepSize=0.2, subsamplingRate=0.8, seed=1)
+    # The best of the first 6 rounds is the last one, of the next 15 the eighth.
+    losses = [9, 8, 7, 6, 5, 4, 4, 3, 5, 5, 5, 5, 5, 5, 5]
+    CountedBoosting.fits = []
+    model = training.fit_boosted(learner, df, df, 40, 3, lambda m, v: [float(x) for x in losses[: m.getNumTrees]])
+    assert CountedBoosting.fits == [6, 15]
+    again = learner.copy({learner.maxIter: 8}).fit(df)
+    assert model.getNumTrees == 8 and model.getMaxIter() == 8 and model.treeWeights == again.treeWeights
+    assert model.toDebugString.split("\n", 1)[1] == again.toDebugString.split("\n", 1)[1]
+    assert model.featureImportances == again.featureImportances
+    columns = ["prediction", "probability"]
+    assert model.transform(df).select(columns).exceptAll(again.transform(df).select(columns)).count() == 0
